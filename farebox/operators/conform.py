@@ -156,6 +156,29 @@ def column_types(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
+def drift_report(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Changed columns between two frames and how many rows of the newer one fill them."""
+    changes = schema_diff(column_types(old.schema), column_types(new.schema))
+    spark = new.sparkSession
+    if not changes:
+        return spark.createDataFrame(
+            [], "column_name string, change string, old_type string, new_type string, filled bigint"
+        )
+    counted = [F.count(ch.column) if ch.new_type else F.lit(0).cast("bigint") for ch in changes]
+    counts = new.agg(F.count("*"), *[c.alias(f"c{i}") for i, c in enumerate(counted)])
+    rows = [
+        F.struct(
+            F.lit(ch.column).alias("column_name"),
+            F.lit(ch.change).alias("change"),
+            F.lit(ch.old_type).cast("string").alias("old_type"),
+            F.lit(ch.new_type).cast("string").alias("new_type"),
+            F.col(f"c{i}").alias("filled"),
+        )
+        for i, ch in enumerate(changes)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def schema_fingerprint(schema: T.StructType) -> str:
     """Hash of the sorted column names and types; the same in every process."""
     text = ",".join(f"{c}:{t}" for c, t in sorted(column_types(schema).items()))
@@ -212,10 +235,13 @@ def convert_booleans(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return _map_columns(df, {c: convert.to_boolean(F.col(c)) for c in columns})
 
 
-def conform_values(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """All value steps of a descriptor, in order."""
-    df = pad_codes(trim_strings(df), spec.code_widths)
-    df = parse_timestamps(df, spec.timestamp_formats)
+def conform_text(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Steps that need the raw text: trimming, code widths and timestamp formats."""
+    return parse_timestamps(pad_codes(trim_strings(df), spec.code_widths), spec.timestamp_formats)
+
+
+def derive_values(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Steps on typed columns: assembled timestamps, date-time pairs and booleans."""
     df = assemble_timestamp(df, spec.parts)
     df = combine_date_time(df, spec.pairs)
     return convert_booleans(df, spec.booleans)

@@ -11,13 +11,11 @@ from pyspark.sql import types as T
 
 from farebox.operators.conform import (
     cast_declared,
-    conform_values,
-    pad_codes,
-    parse_timestamps,
+    conform_text,
+    derive_values,
     require_schema,
     schema_fingerprint,
     standardize_columns,
-    trim_strings,
 )
 from farebox.operators.quality import quality_counts, quality_gate
 from farebox.sources.descriptor import DatasetSpec
@@ -60,11 +58,8 @@ def conform(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     parsed before the declared types are applied; the schema is checked on the
     declared columns, then derived columns and booleans are made.
     """
-    df = standardize_columns(raw)
-    df = pad_codes(trim_strings(df), spec.code_widths)
-    df = cast_declared(parse_timestamps(df, spec.timestamp_formats), spec)
-    require_schema(df, spec)
-    return conform_values(df, spec)
+    df = cast_declared(conform_text(standardize_columns(raw), spec), spec)
+    return derive_values(require_schema(df, spec), spec)
 
 
 def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table) -> IngestRecord:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from farebox.functions.timeparts import day_bucket
 from farebox.operators.joins import area_hour_join, hour_join, lookup_join, reduce_per_area_hour
+from farebox.sources.scratch import stage
 
 AREA, AREA_TIME = "county_name", "datetime_local"
 HOME_STATE = "36"
@@ -61,6 +62,8 @@ def integrate(
     """
     if per_trip not in ("one", "many"):
         raise ValueError(f"per_trip must be 'one' or 'many', not {per_trip!r}")
-    side = air_per_area_hour(air, measures) if per_trip == "one" else home_state(air)
+    # The planner cannot tell how far the reduction shrinks the measurements and
+    # would shuffle the trips; staging the result shows it the real size.
+    side = stage(air_per_area_hour(air, measures), "air") if per_trip == "one" else home_state(air)
     wide = with_air(with_zones(with_weather(trips, weather), zones), side)
     return wide.withColumn("day_timestamp", day_bucket(F.col("weather_time")))

@@ -14,6 +14,8 @@ from farebox.operators.summaries import is_wet
 from farebox.sources.tables import Table
 
 PROVENANCE = ("data_source", "creation_time", "refresh_time", "schema_version")
+THROUGH = "_through_version"
+"""Version of the trip table that a stored product covers."""
 PICKUP = "tpep_pickup_datetime"
 
 
@@ -131,9 +133,18 @@ def bump_provenance(df: DataFrame, table: Table, source: str) -> DataFrame:
 # -- stored products -----------------------------------------------------------
 
 
-def store_product(table: Table, state: DataFrame, source: str, generation: int) -> None:
-    """Write a new generation. Readers see the old one until the new one is complete."""
-    table.write_batch(bump_provenance(state, table, source), generation)
+def store_product(table: Table, state: DataFrame, source: str, through: int) -> None:
+    """Write the next generation. Readers see the old one until the new one is complete."""
+    covered = state.withColumn(THROUGH, F.lit(through))
+    table.append(bump_provenance(covered, table, source))
+
+
+def covered_version(table: Table) -> int | None:
+    """Trip version a stored product covers; ``None`` when it has no rows or does not exist."""
+    if table.version() is None:
+        return None
+    row = table.read_latest().select(THROUGH).limit(1).first()
+    return row[THROUGH] if row else None
 
 
 def read_product(table: Table, spec: ProductSpec) -> DataFrame:
@@ -142,5 +153,5 @@ def read_product(table: Table, spec: ProductSpec) -> DataFrame:
 
 def merged_state(table: Table, new_trips: DataFrame, spec: ProductSpec) -> DataFrame:
     """Stored state plus the partials of new trips."""
-    old = table.read_latest().drop(*PROVENANCE)
+    old = table.read_latest()
     return merge_state([old, product_state(new_trips, spec)], spec.key_names, spec.measures)

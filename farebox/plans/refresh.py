@@ -15,6 +15,7 @@ from farebox.plans import integrate as wide
 from farebox.plans.products import (
     PRODUCTS,
     ProductSpec,
+    covered_version,
     merged_state,
     product_state,
     store_product,
@@ -136,9 +137,9 @@ def _dimensions(catalog: Catalog) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(catalog.table(n).read() for n in ("weather", "zones", "air_quality"))
 
 
-def integrated_rows(catalog: Catalog, since: int | None = None) -> DataFrame:
-    """Trips (or only those after a version) with the current dimensions."""
-    trips = catalog.table("trips").read(since=since)
+def integrated_rows(catalog: Catalog, since: int | None = None, upto: int | None = None) -> DataFrame:
+    """Trips (or only those between two versions) with the current dimensions."""
+    trips = catalog.table("trips").read(as_of=upto, since=since)
     return wide.integrate(trips, *_dimensions(catalog), measures=catalog.measures)
 
 
@@ -156,6 +157,14 @@ def extend_integrated(catalog: Catalog) -> int | None:
     return target
 
 
+def rebuild_integrated(catalog: Catalog) -> None:
+    """Integrate every batch again, each in its own place."""
+    reached = None
+    for version in catalog.integrated.versions():
+        catalog.integrated.write_batch(integrated_rows(catalog, reached, version), version)
+        reached = version
+
+
 def write_borough_layout(catalog: Catalog) -> None:
     """Derive the borough layout from the day layout, as a new generation."""
     catalog.by_borough.append(catalog.integrated.read())
@@ -222,25 +231,22 @@ def backfill_air(catalog: Catalog, since: int | None) -> None:
 # -- products --------------------------------------------------------------------
 
 
-def rebuild_product(catalog: Catalog, spec: ProductSpec, generation: int | None = None) -> None:
+def rebuild_product(catalog: Catalog, spec: ProductSpec) -> None:
     """Recompute a product from the integrated table."""
-    table = catalog.product(spec.name)
-    if generation is None:
-        generation = 0 if table.version() is None else table.version() + 1
     state = product_state(catalog.integrated.read(), spec)
-    store_product(table, state, catalog.integrated.path, generation)
+    store_product(catalog.product(spec.name), state, catalog.integrated.path, catalog.integrated.version())
 
 
 def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
-    """Merge the trips a product does not have yet into its stored state.
-
-    The batch number of such a product is the trip version it has reached.
-    """
+    """Merge the trips a product does not cover yet into its stored state."""
     table = catalog.product(spec.name)
-    reached, target = table.version(), catalog.integrated.version()
-    if reached == target:
+    covered, target = covered_version(table), catalog.integrated.version()
+    if covered == target:
         return False
-    new_trips = catalog.integrated.read(since=reached)
+    if covered is None:
+        rebuild_product(catalog, spec)
+        return True
+    new_trips = catalog.integrated.read(since=covered)
     store_product(table, merged_state(table, new_trips, spec), f"incremental_merge:{table.path}", target)
     return True
 
@@ -250,7 +256,7 @@ def bootstrap(catalog: Catalog) -> None:
     now = current_state(catalog)
     extend_integrated(catalog)
     for spec in catalog.products.values():
-        rebuild_product(catalog, spec, catalog.integrated.version() if spec.from_new_trips else 0)
+        rebuild_product(catalog, spec)
     save_state(catalog, now)
 
 
@@ -279,7 +285,7 @@ def refresh(catalog: Catalog) -> list[str]:
     if "air_quality" in changes:
         backfill_air(catalog, changes["air_quality"])
     if "zones" in changes:
-        catalog.integrated.write_batch(integrated_rows(catalog), catalog.table("trips").version())
+        rebuild_integrated(catalog)
     refreshed = affected_products(changes, catalog.products)
     for name in refreshed:
         spec = catalog.products[name]

@@ -9,13 +9,13 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from farebox.operators.conform import column_types, conform_values, schema_diff
 from farebox.operators.conform import (
     align_to,
-    pad_codes,
-    parse_timestamps,
+    column_types,
+    conform_text,
+    derive_values,
+    schema_diff,
     standardize_columns,
-    trim_strings,
 )
 from farebox.operators.merge import rows_with_new_key
 from farebox.operators.quality import drop_null_keys, quality_gate
@@ -58,11 +58,9 @@ def conform_update(
     new_types: Mapping[str, T.DataType] | None = None,
 ) -> DataFrame:
     """Conform an update file to the types of the stored table; new columns are allowed."""
-    df = pad_codes(trim_strings(standardize_columns(raw)), spec.code_widths)
-    df = parse_timestamps(df, spec.timestamp_formats)
-    # Derived columns come from the declared types, flags from their words.
-    df = conform_values(align_to(df, spec.struct(new_types)), spec)
-    return align_to(df, target, new_types)
+    text = conform_text(standardize_columns(raw), spec)
+    typed = derive_values(align_to(text, spec.struct(), new_types), spec)
+    return align_to(typed, target, new_types)
 
 
 def schema_change_text(target: T.StructType, update: T.StructType) -> str:

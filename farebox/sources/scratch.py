@@ -42,6 +42,24 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    jpath, fs = _hadoop_path(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jpath, fs = _hadoop_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
