@@ -147,3 +147,8 @@ def station_grid(station_rows: DataFrame, start: Column, hours: int, output: str
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Default values for missing key parts."""
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+def latest_rows(df: DataFrame, time: str) -> DataFrame:
+    """Rows of the latest ``time`` in the frame, found by value instead of by file position."""
+    return df.filter(F.col(time) == df.agg(F.max(time)).scalar())
