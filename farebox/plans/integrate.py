@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from farebox.functions.timeparts import day_bucket
 from farebox.operators.joins import area_hour_join, hour_join, lookup_join, reduce_per_area_hour
@@ -58,7 +58,9 @@ def integrate(
 
     ``per_trip="one"`` keeps the trip grain: air quality is the mean over the
     stations of the area and hour. ``per_trip="many"`` repeats a trip for every
-    station row, with all station columns; demand counted on it counts stations too.
+    station row, with all station columns; demand counted on it counts stations
+    too. To get such counts without repeating any row, add up ``station_rows``
+    over the trip-grain table.
     """
     if per_trip not in ("one", "many"):
         raise ValueError(f"per_trip must be 'one' or 'many', not {per_trip!r}")
@@ -67,3 +69,8 @@ def integrate(
     side = stage(air_per_area_hour(air, measures), "air") if per_trip == "one" else home_state(air)
     wide = with_air(with_zones(with_weather(trips, weather), zones), side)
     return wide.withColumn("day_timestamp", day_bucket(F.col("weather_time")))
+
+
+def station_rows() -> Column:
+    """How many rows a trip of the ``one`` form takes in the ``many`` form."""
+    return F.greatest(F.coalesce(F.col("air_q_measurements"), F.lit(0)), F.lit(1))

@@ -82,6 +82,7 @@ def gmt_shift(spark, sf_dir):
     """Local measurement time as GMT date and time texts; the day rolls over."""
     gmt = shift_hours(F.col("datetime_local"), 5)
     return roles.plain(roles.air_quality(spark, sf_dir)).select(
+        "state_code",
         "site_num",
         "datetime_local",
         F.date_format(gmt, "yyyy-MM-dd").alias("date_gmt"),
@@ -181,7 +182,7 @@ FROM (SELECT date_trunc('hour', MAX(ts)) + to_hours(CAST(i AS INTEGER)) AS times
     + f"""SELECT {', '.join(STATION)}, t + to_hours(CAST(24 + i AS INTEGER)) AS local_time,
   t + to_hours(CAST(29 + i AS INTEGER)) AS gmt_time FROM stations, last, range(72) AS r(i)""",
     "gmt_shift": with_(EV, ZONES, AIR)
-    + """SELECT site_num, datetime_local, strftime(datetime_local + INTERVAL 5 HOUR, '%Y-%m-%d') AS date_gmt,
+    + """SELECT state_code, site_num, datetime_local, strftime(datetime_local + INTERVAL 5 HOUR, '%Y-%m-%d') AS date_gmt,
   strftime(datetime_local + INTERVAL 5 HOUR, '%H:%M') AS time_gmt FROM air""",
     "index_clip": with_(EV)
     + """SELECT event_id, CAST(LEAST(GREATEST(round_even(value * 4, 0), 0), 500) AS INTEGER) AS aqi,

@@ -13,11 +13,10 @@ from farebox.operators.rowsets import (
     snapshot_diff,
     union_all,
 )
-from farebox.operators.summaries import is_wet
+from farebox.operators.summaries import is_wet, zone_monthly_demand
 from farebox.plans import integrate as wide
 from farebox.registry import roles
 from farebox.registry.sql import (
-    EV,
     HISTORY,
     INTEGRATED,
     LINE_KEY,
@@ -32,6 +31,7 @@ from farebox.registry.sql import (
     mean,
     with_,
 )
+from farebox.registry.sql import wide as wide_sql
 from farebox.sources.scratch import scratch_path, stage
 from farebox.sources.tables import Table
 
@@ -69,6 +69,12 @@ def enrich_air_many(spark, sf_dir):
     return roles.plain(integrated_frame(spark, sf_dir, "many").select(*TRIP, *columns))
 
 
+def station_weighted_demand(spark, sf_dir):
+    """Zone demand as the ``many`` form counts it, from the trip-grain table."""
+    weight = wide.station_rows()
+    return roles.plain(zone_monthly_demand(integrated_frame(spark, sf_dir), weight=weight))
+
+
 INTEGRATED_COLUMNS = [
     *["vendor_id", "tpep_pickup_datetime", "tpep_dropoff_datetime", "pu_location_id", "do_location_id"],
     *["trip_distance", "fare_amount", "store_and_fwd_flag", "weather_time", "weather_temp", "weather_rhum"],
@@ -95,7 +101,7 @@ def _distance_by_rain(spark, sf_dir, hint):
 
 
 def join_broadcast(spark, sf_dir):
-    """Inner hour join with the dimension broadcast, which its hour grain bounds."""
+    """Inner hour join with the stored dimension broadcast, if its size allows."""
     return _distance_by_rain(spark, sf_dir, "broadcast")
 
 
@@ -160,6 +166,7 @@ QUERIES = {
         enrich_zones_both_ends,
         enrich_air_one,
         enrich_air_many,
+        station_weighted_demand,
         integrated,
         join_broadcast,
         join_shuffle,
@@ -195,6 +202,9 @@ FROM trips t LEFT JOIN zones p ON pu_location_id = p.location_id LEFT JOIN zones
 FROM trips t LEFT JOIN zones p ON pu_location_id = p.location_id
 LEFT JOIN (SELECT * FROM air WHERE state_code = '36') a
   ON p.borough = a.county_name AND date_trunc('hour', t.tpep_pickup_datetime) = a.datetime_local""",
+    "station_weighted_demand": with_(ROLES, f"station_grain AS ({wide_sql(air='air')})")
+    + """SELECT pu_zone, CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP) AS month, COUNT(*) AS count
+FROM station_grain GROUP BY 1, 2""",
     "integrated": with_(INTEGRATED) + f"SELECT {', '.join(INTEGRATED_COLUMNS)} FROM integrated",
     "join_broadcast": _BY_RAIN,
     "join_shuffle": _BY_RAIN,

@@ -1,8 +1,8 @@
 """The test tables in the roles of the city datasets.
 
 ``events`` plays the trips; ``nation`` and ``region`` the zone lookup; hourly
-summaries of the ``error`` events the weather; the ``signup`` events the
-air-quality measurements. ``lineitem`` with its orders, customers and suppliers
+summaries of the ``error`` events the weather; hourly summaries of the
+``signup`` events per zone the air-quality measurements. ``lineitem`` with its orders, customers and suppliers
 is the large fact. ``sql`` holds the same definitions for the other side.
 """
 
@@ -135,26 +135,33 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "weather", _weather)
 
 
-def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One measurement per signup event, in the region of the user's zone."""
+def _air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    signups = events(spark, sf_dir).filter(F.col("event_type") == "signup")
-    placed = lookup_join(
-        signups.withColumn("place", F.col("user_id") % 26),
-        zones(spark, sf_dir),
-        "place",
-        "location_id",
-        {"borough": "county_name"},
+    readings = (
+        events(spark, sf_dir)
+        .filter(F.col("event_type") == "signup")
+        .groupBy(
+            F.when(k % 10 == 9, "34").otherwise("36").alias("state_code"),
+            (F.col("user_id") % 26).alias("place"),
+            hour_bucket(F.col("ts")).alias("datetime_local"),
+        )
+        .agg(exact_avg(F.when(k % 10 != 0, F.col("value"))).alias("sample_measurement"))
     )
+    placed = lookup_join(readings, zones(spark, sf_dir), "place", "location_id", {"borough": "county_name"})
     return placed.select(
-        F.when(k % 10 == 9, "34").otherwise("36").alias("state_code"),
+        "state_code",
         "county_name",
-        F.col("event_id").cast("string").alias("site_num"),
-        F.when(k != 0, F.col("value")).alias("sample_measurement"),
-        hour_bucket(F.col("ts")).alias("datetime_local"),
+        F.col("place").cast("string").alias("site_num"),
+        "sample_measurement",
+        "datetime_local",
     )
 
 
+def air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One station per zone: its hourly reading from the signup events, in the zone's region."""
+    return stored(spark, sf_dir, "air-quality", _air_quality)
+
+
 # -- history and update ------------------------------------------------------------
 
 # The update repeats the last two days of history.

@@ -53,11 +53,13 @@ WEATHER = f"""weather AS (
       CASE WHEN SUM(k) % 7 = 0 THEN NULL WHEN SUM(k) % 3 = 0 THEN 0.0::DOUBLE ELSE {mean('k')} END AS prcp
     FROM ev WHERE event_type = 'error' GROUP BY 1))"""
 
-AIR = """air AS (
-  SELECT CASE WHEN k % 10 = 9 THEN '34' ELSE '36' END AS state_code, borough AS county_name,
-    CAST(event_id AS VARCHAR) AS site_num, CASE WHEN k <> 0 THEN value END AS sample_measurement,
-    date_trunc('hour', ts) AS datetime_local
-  FROM ev LEFT JOIN zones ON user_id % 26 = location_id WHERE event_type = 'signup')"""
+AIR = f"""air AS (
+  SELECT state_code, borough AS county_name, CAST(place AS VARCHAR) AS site_num, sample_measurement, datetime_local
+  FROM (SELECT CASE WHEN k % 10 = 9 THEN '34' ELSE '36' END AS state_code, user_id % 26 AS place,
+      date_trunc('hour', ts) AS datetime_local,
+      {mean('CASE WHEN k % 10 <> 0 THEN value END')} AS sample_measurement
+    FROM ev WHERE event_type = 'signup' GROUP BY 1, 2, 3)
+  LEFT JOIN zones ON place = location_id)"""
 
 AIR_ONE = f"""air_one AS (
   SELECT county_name, datetime_local, {mean('sample_measurement')} AS sample_measurement,

@@ -16,7 +16,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
+# Removed when the Python process ends.
+_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -61,21 +62,27 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    configured = spark.conf.get(_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
+    """The folder of this application in the shared scratch storage."""
     context = spark.sparkContext
+    app = context.applicationId
+    configured = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if configured:
+        return f"{configured.rstrip('/')}/farebox/{app}"
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    app = context.applicationId
     if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="farebox-")
-    return _local_roots[app]
+        _local_roots[app] = tempfile.TemporaryDirectory(prefix="farebox-", ignore_cleanup_errors=True)
+    return _local_roots[app].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet."""
-    return f"{scratch_root(spark)}/farebox/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application wrote to scratch."""
+    remove_path(spark, scratch_root(spark))
 
 
 def _read_back(df: DataFrame, path: str) -> DataFrame:
