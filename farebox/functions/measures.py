@@ -7,19 +7,26 @@ incremental rebuild give the very same result.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
-SCALE = 4
+SCALE = 6
 TOTAL_TYPE = f"decimal(38,{SCALE})"
-
-
-def fixed_point(c: Column) -> Column:
-    """``c`` with four decimals. A number that does not fit raises; it is never dropped."""
-    return c.cast(f"decimal(18,{SCALE})")
+_LOW_BITS = 20
 
 
 def exact_sum(c: Column) -> Column:
-    return F.sum(fixed_point(c)).cast(TOTAL_TYPE)
+    """Sum of ``c`` in units of six decimals. A number that does not fit raises; none is dropped.
+
+    Adding decimals row by row is slow, and one ``bigint`` could overflow on a
+    large table. So the low and the high bits of the units are summed apart as
+    ``bigint``, inside generated code, and put together once per group.
+    """
+    units = F.rint(c * F.lit(float(10**SCALE))).cast("bigint")
+    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(28,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1)))
+    return ((high * F.lit(2**_LOW_BITS) + low) * F.lit(Decimal(1).scaleb(-SCALE))).cast(TOTAL_TYPE)
 
 
 def ratio(total: Column, n: Column) -> Column:

@@ -100,7 +100,7 @@ QUERIES = {
 
 
 def rounded_total(column: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({column} AS DECIMAL(18,4))), 0) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(CAST({column} AS DECIMAL(18,6))), 0) AS DOUBLE)"
 
 
 _MONTH = "CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP)"

@@ -9,6 +9,7 @@ is the large fact. ``sql`` holds the same definitions for the other side.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from farebox.functions.measures import exact_avg
 from farebox.functions.timeparts import hour_bucket
@@ -17,12 +18,19 @@ from farebox.operators.joins import lookup_join
 from farebox.plans.refresh import Catalog
 from farebox.sources.scratch import path_exists, scratch_path
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table; its zone-less timestamps become session (UTC) timestamps."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table; its zone-less timestamps become session (UTC) timestamps.
+
+    The schema of a file is looked up once; later reads need no job for it.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[path]).parquet(path)
     naive = [c for c, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
@@ -36,13 +44,13 @@ def plain(df: DataFrame) -> DataFrame:
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A derived table kept for the session, as a real installation keeps its dimensions."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    frame = None
-    if key not in _stored or not path_exists(spark, f"{_stored[key]}/_SUCCESS"):
+    if key not in _stored or not path_exists(spark, f"{_stored[key][0]}/_SUCCESS"):
         frame = build(spark, sf_dir)
         path = scratch_path(spark, name)
         frame.write.parquet(path)
-        _stored[key] = path
-    return spark.read.parquet(_stored[key])
+        _stored[key] = path, frame.schema
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def number() -> Column:
@@ -145,7 +153,7 @@ def _air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("user_id") % 26).alias("place"),
             hour_bucket(F.col("ts")).alias("datetime_local"),
         )
-        .agg(exact_avg(F.when(k % 10 != 0, F.col("value"))).alias("sample_measurement"))
+        .agg(F.round(exact_avg(F.when(k % 10 != 0, F.col("value"))), 2).alias("sample_measurement"))
     )
     placed = lookup_join(readings, zones(spark, sf_dir), "place", "location_id", {"borough": "county_name"})
     return placed.select(

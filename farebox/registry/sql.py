@@ -34,7 +34,8 @@ ZONES = """zones AS (
 
 
 def total(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
+    """Fixed-point sum; through its text, since that conversion to double is exact."""
+    return f"CAST(CAST(SUM(CAST({expr} AS DECIMAL(18,6))) AS VARCHAR) AS DOUBLE)"
 
 
 def mean(expr: str) -> str:
@@ -57,7 +58,7 @@ AIR = f"""air AS (
   SELECT state_code, borough AS county_name, CAST(place AS VARCHAR) AS site_num, sample_measurement, datetime_local
   FROM (SELECT CASE WHEN k % 10 = 9 THEN '34' ELSE '36' END AS state_code, user_id % 26 AS place,
       date_trunc('hour', ts) AS datetime_local,
-      {mean('CASE WHEN k % 10 <> 0 THEN value END')} AS sample_measurement
+      {half_up(mean('CASE WHEN k % 10 <> 0 THEN value END'), 2)} AS sample_measurement
     FROM ev WHERE event_type = 'signup' GROUP BY 1, 2, 3)
   LEFT JOIN zones ON place = location_id)"""
 
