@@ -25,7 +25,7 @@ from farebox.registry import QUERIES, roles  # noqa: E402
 from farebox.registry.enrich import integrated_frame  # noqa: E402
 from farebox.session import build_session, scoped_conf  # noqa: E402
 from farebox.sources.readers import evaluate  # noqa: E402
-from farebox.sources.scratch import scratch_path  # noqa: E402
+from farebox.sources.scratch import clear_scratch, scratch_path  # noqa: E402
 from farebox.sources.tables import Table  # noqa: E402
 
 HEADLINE = [
@@ -121,6 +121,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -32,9 +32,8 @@ def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None
 
     Sorting everything or taking ``limit(n)`` would pass the sample through one
     task, so the cut is found by counting instead: rows are counted per leading
-    lot digits, twice, until one group around the cut holds about one row in
-    2**32. Rows below that group are taken where they are read; only the group
-    itself is ordered. ``columns`` draw the lot (default: all) and must tell
+    lot digits until the group around the cut is small. Rows below that group
+    are taken where they are read; only the group itself is ordered. ``columns`` draw the lot (default: all) and must tell
     different rows apart; exact copies are counted, not sorted.
     """
     names = df.columns
@@ -51,28 +50,38 @@ def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None
     return head.unionByName(tail)
 
 
+# Lot digits added per count: 4096 groups, few enough to combine well in each task.
+_DIGITS = 3
+# The group around the cut may be ordered when it has no more rows than this.
+_ORDERED = 100_000
+
+
 def _cut_prefix(drawn: DataFrame, prefix: str, n: int) -> tuple[str | None, int]:
-    """Lot prefix in which the ``n``-th smallest row lies, and how many of its rows are wanted."""
+    """Lot prefix in which the ``n``-th smallest row lies, and how many of its rows are wanted.
+
+    Ends at 2**48 groups at the latest: what shares twelve digits then is copies
+    of one row, which the caller counts.
+    """
     while True:
-        digits = len(prefix) + 4
+        digits = len(prefix) + _DIGITS
         counts = (
             drawn.filter(F.col("_lot").startswith(prefix))
             .groupBy(F.substring("_lot", 1, digits).alias("prefix"))
             .agg(F.count("*").alias("rows"))
         )
-        # At most 16**4 groups by construction, so one task may order them.
+        # At most 4096 groups by construction, so one task may order them.
         upto = F.sum("rows").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
         cut = (
             counts.withColumn("upto", upto)
             .filter(F.col("upto") >= n)
             .orderBy("prefix")
-            .select("prefix", (F.lit(n) - F.col("upto") + F.col("rows")).alias("need"))
+            .select("prefix", "rows", (F.lit(n) - F.col("upto") + F.col("rows")).alias("need"))
             .first()
         )
         if cut is None:
             return None, 0
         prefix, n = cut["prefix"], cut["need"]
-        if digits >= 8:
+        if cut["rows"] <= _ORDERED or digits >= 12:
             return prefix, n
 
 

@@ -20,7 +20,7 @@ from farebox.operators.conform import prefix_columns
 
 
 # Largest dimension that a caller's wish to broadcast is followed for.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from farebox.operators.joins import BROADCAST_LIMIT, planned_bytes
+
 
 def key_condition(
     left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False
@@ -21,13 +23,17 @@ def key_condition(
 def rows_with_new_key(source: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key ``existing`` does not have (insert when not matched).
 
-    ``source`` must have passed the quality gate. ``existing`` is first narrowed
-    to the keys of the source; for a small source the planner broadcasts those,
-    and the history is filtered where it is read. Then its keys are made
-    distinct, which removes any hot key before the anti join.
+    ``source`` must have passed the quality gate. When its keys are small enough
+    to broadcast, history is filtered by them where it is read, and nothing of
+    it is shuffled but the few keys found. Otherwise the keys of history are
+    made distinct first, map-side, so that a hot key does not reach one task.
     """
     names = list(keys)
-    seen = existing.select(*names).join(source.select(*names), names, "left_semi").distinct()
+    wanted, stored = source.select(*names), existing.select(*names)
+    if planned_bytes(wanted) <= BROADCAST_LIMIT:
+        seen = stored.join(F.broadcast(wanted), names, "left_semi").distinct()
+    else:
+        seen = stored.distinct()
     return source.join(seen, names, "left_anti")
 
 

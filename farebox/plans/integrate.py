@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farebox.functions.timeparts import day_bucket
+from farebox.functions.timeparts import day_bucket, hour_bucket
 from farebox.operators.joins import area_hour_join, hour_join, lookup_join, reduce_per_area_hour
 from farebox.sources.scratch import stage
 
@@ -19,13 +19,18 @@ HOME_STATE = "36"
 MEASURES = ("sample_measurement",)
 
 
+def with_hour(trips: DataFrame) -> DataFrame:
+    """The hour a trip starts in, the key of the hourly dimensions."""
+    return trips.withColumn("weather_time", hour_bucket(F.col("tpep_pickup_datetime")))
+
+
 def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return hour_join(trips, weather, "tpep_pickup_datetime", "timestamp", "weather_", "weather_time")
 
 
-def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Borough and zone of both trip ends."""
-    for end in ("pu", "do"):
+def with_zones(trips: DataFrame, zones: DataFrame, ends: Sequence[str] = ("pu", "do")) -> DataFrame:
+    """Borough and zone of both trip ends, or of one."""
+    for end in ends:
         names = {"borough": f"{end}_borough", "zone": f"{end}_zone"}
         trips = lookup_join(trips, zones, f"{end}_location_id", "location_id", names)
     return trips
@@ -41,6 +46,15 @@ def air_per_area_hour(air: DataFrame, measures: Sequence[str] = MEASURES) -> Dat
     return reduce_per_area_hour(home_state(air), AREA, AREA_TIME, measures)
 
 
+def staged_air(air: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """``air_per_area_hour`` written to scratch.
+
+    The planner cannot tell how far the reduction shrinks the measurements and
+    would shuffle the trips; the written result shows it the real size.
+    """
+    return stage(air_per_area_hour(air, measures), "air")
+
+
 def with_air(trips: DataFrame, air: DataFrame) -> DataFrame:
     """Attach air quality by pickup borough and hour; ``air`` decides how many rows per trip."""
     return area_hour_join(trips, air, "pu_borough", "weather_time", AREA, AREA_TIME, "air_q_")
@@ -64,9 +78,7 @@ def integrate(
     """
     if per_trip not in ("one", "many"):
         raise ValueError(f"per_trip must be 'one' or 'many', not {per_trip!r}")
-    # The planner cannot tell how far the reduction shrinks the measurements and
-    # would shuffle the trips; staging the result shows it the real size.
-    side = stage(air_per_area_hour(air, measures), "air") if per_trip == "one" else home_state(air)
+    side = staged_air(air, measures) if per_trip == "one" else home_state(air)
     wide = with_air(with_zones(with_weather(trips, weather), zones), side)
     return wide.withColumn("day_timestamp", day_bucket(F.col("weather_time")))
 

@@ -56,7 +56,7 @@ class Catalog:
 
     @property
     def state(self) -> Table:
-        return self.table("pipeline_state")
+        return self.table("state")
 
     def product(self, name: str) -> Table:
         return self.table(f"products/{name}")
@@ -251,6 +251,14 @@ def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
     return True
 
 
+def bootstrap_state(catalog: Catalog) -> bool:
+    """Record the present versions as the baseline if there is none; tables that do not exist are skipped."""
+    if catalog.state.version() is not None:
+        return False
+    save_state(catalog, current_state(catalog))
+    return True
+
+
 def bootstrap(catalog: Catalog) -> None:
     """First build of the integrated table and all products, and the baseline state."""
     now = current_state(catalog)

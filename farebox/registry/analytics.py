@@ -12,7 +12,6 @@ from farebox.operators.rowsets import difference_counts
 from farebox.operators.joins import lookup_join
 from farebox.plans import integrate as wide
 from farebox.registry import roles
-from farebox.registry.enrich import integrated_frame
 from farebox.registry.sql import INTEGRATED, TRIPS, ZONES, half_up, mean, total, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
@@ -24,17 +23,21 @@ def _zoned(spark, sf_dir):
     return wide.with_zones(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir))
 
 
-def _pickup_zoned(spark, sf_dir):
-    names = {"borough": "pu_borough", "zone": "pu_zone"}
-    return lookup_join(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir), "pu_location_id", "location_id", names)
+def pickup_zoned(spark, sf_dir):
+    return wide.with_zones(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir), ["pu"])
 
 
-def _weathered(spark, sf_dir, trips=None):
-    return wide.with_weather(trips if trips is not None else roles.trips(spark, sf_dir), roles.weather(spark, sf_dir))
+def weathered(spark, sf_dir):
+    return wide.with_weather(roles.trips(spark, sf_dir), roles.weather(spark, sf_dir))
+
+
+def aired(spark, sf_dir):
+    air = wide.staged_air(roles.air_quality(spark, sf_dir))
+    return wide.with_air(wide.with_hour(pickup_zoned(spark, sf_dir)), air)
 
 
 def trips_per_borough(spark, sf_dir):
-    return s.trips_per_area(_pickup_zoned(spark, sf_dir))
+    return s.trips_per_area(pickup_zoned(spark, sf_dir))
 
 
 def avg_duration_per_day(spark, sf_dir):
@@ -42,32 +45,32 @@ def avg_duration_per_day(spark, sf_dir):
 
 
 def avg_fare_per_borough(spark, sf_dir):
-    return s.average_fare_per_area(_pickup_zoned(spark, sf_dir))
+    return s.average_fare_per_area(pickup_zoned(spark, sf_dir))
 
 
 def fare_one_borough(spark, sf_dir):
-    return s.average_fare_in_area(_pickup_zoned(spark, sf_dir), "ASIA")
+    return s.average_fare_in_area(pickup_zoned(spark, sf_dir), "ASIA")
 
 
 def zone_monthly_demand(spark, sf_dir):
-    return roles.plain(s.zone_monthly_demand(_pickup_zoned(spark, sf_dir)))
+    return roles.plain(s.zone_monthly_demand(pickup_zoned(spark, sf_dir)))
 
 
 def distance_by_rain(spark, sf_dir):
-    return s.distance_by_rain(_weathered(spark, sf_dir))
+    return s.distance_by_rain(weathered(spark, sf_dir))
 
 
 def hourly_demand_air(spark, sf_dir):
-    return roles.plain(s.hourly_demand_and_air(integrated_frame(spark, sf_dir)))
+    return roles.plain(s.hourly_demand_and_air(aired(spark, sf_dir)))
 
 
 def demand_air_correlation(spark, sf_dir):
-    hourly = s.hourly_demand_and_air(integrated_frame(spark, sf_dir))
+    hourly = s.hourly_demand_and_air(aired(spark, sf_dir))
     return s.correlation_of(hourly, "air_quality", "taxi_demand").select(F.round("correlation", 6).alias("correlation"))
 
 
 def rain_demand_variation(spark, sf_dir):
-    return s.rain_demand_variation(_weathered(spark, sf_dir, _pickup_zoned(spark, sf_dir)))
+    return s.rain_demand_variation(wide.with_weather(pickup_zoned(spark, sf_dir), roles.weather(spark, sf_dir)))
 
 
 def peak_hour_by_weekday(spark, sf_dir):
@@ -143,7 +146,7 @@ def layouts_agree(spark, sf_dir):
 
 def cached_agrees(spark, sf_dir):
     """Zone demand from a held projection and from the source, compared; one row per zone and month."""
-    base = _pickup_zoned(spark, sf_dir).select("pu_zone", "tpep_pickup_datetime")
+    base = pickup_zoned(spark, sf_dir).select("pu_zone", "tpep_pickup_datetime")
     with held(base) as memory:
         kept = Table(spark, scratch_path(spark, "cached-demand"))
         kept.append(s.zone_monthly_demand(memory))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from farebox.operators.conform import evolve_union
 from farebox.operators.mergeable import merge_state
 from farebox.operators.quality import quality_gate
+from farebox.operators.rowsets import union_all
 from farebox.plans import integrate as wide
 from farebox.plans import products as p
 from farebox.plans import refresh as r
@@ -192,13 +193,33 @@ def _refreshed(spark, sf_dir) -> r.Catalog:
     return _roots[key]
 
 
+def stored_state(spark, sf_dir):
+    """Baseline of the tables, recorded once and read back, with the rows each version holds."""
+    catalog = _raw_catalog(spark, sf_dir)
+    if not r.bootstrap_state(catalog) or r.bootstrap_state(catalog):
+        raise RuntimeError("the baseline must be recorded exactly once")
+    state = r.load_state(catalog)
+    counts = [
+        catalog.table(name).read().agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"))
+        for name in catalog.raw
+    ]
+    columns = F.size("columns").alias("column_count")
+    return state.join(union_all(counts), "table_name").select("table_name", "version", columns, "row_count")
+
+
 def detect_table_changes(spark, sf_dir):
     catalog = _raw_catalog(spark, sf_dir)
     before = r.current_state(catalog)
     _load_updates(catalog, spark, sf_dir)
     changes = r.detect_changes(before, r.current_state(catalog))
     joined = [F.concat_ws(",", c).alias(c) for c in ("added", "removed", "retyped")]
-    return changes.select("table_name", "old_version", "new_version", *joined, "status")
+    counts = [
+        catalog.table(name).read(since=0).agg(F.lit(name).alias("table_name"), F.count("*").alias("new_rows"))
+        for name in catalog.raw
+    ]
+    return changes.join(union_all(counts), "table_name").select(
+        "table_name", "old_version", "new_version", *joined, "status", "new_rows"
+    )
 
 
 def products_to_refresh(spark, sf_dir):
@@ -318,6 +339,7 @@ QUERIES = {
         stream_update,
         read_asof,
         table_history,
+        stored_state,
         detect_table_changes,
         products_to_refresh,
         increment_integration,
@@ -365,10 +387,19 @@ UNION ALL SELECT vendor_id, tpep_pickup_datetime, NULL, passenger_count FROM tri
 FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')""",
     "table_history": """SELECT CAST(CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS INTEGER) AS _batch_id,
   COUNT(*) AS row_count, TRUE AS committed FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1""",
-    "detect_table_changes": """SELECT * FROM (VALUES
-  ('trips', 0, 1, '', '', '', 'changed'), ('weather', 0, 1, 'humidity', '', '', 'changed'),
-  ('air_quality', 0, 1, '', '', '', 'changed'), ('zones', 0, 0, '', '', '', 'same'))
-  AS t(table_name, old_version, new_version, added, removed, retyped, status)""",
+    "stored_state": with_(ROLES)
+    + f"""SELECT t AS table_name, CAST(0 AS INTEGER) AS version, CAST(c AS INTEGER) AS column_count, n AS row_count FROM (
+  SELECT 'trips' AS t, 19 AS c, COUNT(*) AS n FROM trips WHERE {HISTORY}
+  UNION ALL SELECT 'weather', 8, COUNT(*) FROM weather WHERE timestamp < {_CUT}
+  UNION ALL SELECT 'zones', 4, COUNT(*) FROM zones
+  UNION ALL SELECT 'air_quality', 5, COUNT(*) FROM air WHERE datetime_local < {_CUT})""",
+    "detect_table_changes": with_(ROLES, _NOVEL_TRIPS)
+    + f"""SELECT t AS table_name, CAST(0 AS INTEGER) AS old_version, CAST(v AS INTEGER) AS new_version, a AS added,
+  '' AS removed, '' AS retyped, CASE v WHEN 1 THEN 'changed' ELSE 'same' END AS status, n AS new_rows FROM (
+  SELECT 'trips' AS t, 1 AS v, '' AS a, COUNT(*) AS n FROM novel
+  UNION ALL SELECT 'weather', 1, 'humidity', COUNT(*) FROM weather WHERE timestamp >= {_CUT}
+  UNION ALL SELECT 'zones', 0, '', 0
+  UNION ALL SELECT 'air_quality', 1, '', COUNT(*) FROM air WHERE datetime_local >= {_CUT})""",
     "products_to_refresh": "SELECT 'weather_impact_summary' AS product, TRUE AS listed",
     "increment_integration": with_(
         ROLES,

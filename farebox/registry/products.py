@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from farebox.operators import summaries as s
 from farebox.plans import products as p
 from farebox.registry import roles
-from farebox.registry.enrich import integrated_frame
+from farebox.registry.analytics import aired, pickup_zoned, weathered
 from farebox.registry.sql import INTEGRATED, half_up, mean, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
@@ -15,9 +15,18 @@ from farebox.sources.tables import Table
 _SOURCE = "integrated_by_date"
 
 
+# Each product is built from trips with only the dimension it needs.
+_BASES = {
+    p.ZONE_STATISTICS.name: pickup_zoned,
+    p.WEATHER_SUMMARY.name: weathered,
+    p.AIR_SUMMARY.name: aired,
+    p.MOBILITY_SUMMARY.name: roles.trips,
+}
+
+
 def _stored(spark, sf_dir, spec) -> Table:
     table = Table(spark, scratch_path(spark, spec.name))
-    p.store_product(table, p.product_state(integrated_frame(spark, sf_dir), spec), _SOURCE, 0)
+    p.store_product(table, p.product_state(_BASES[spec.name](spark, sf_dir), spec), _SOURCE, 0)
     return table
 
 

@@ -7,10 +7,11 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Semantics: one time zone for every calendar key.
+# Semantics: one time zone for every calendar key; overflow is an error, not a wrong number.
 # Skew: AQE splits oversized join and rebalance partitions at run time.
 SETTINGS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -11,10 +11,12 @@ sys.path.insert(0, str(ROOT / "tests"))
 @pytest.fixture(scope="session")
 def spark():
     from farebox.session import build_session
+    from farebox.sources.scratch import clear_scratch
 
     session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

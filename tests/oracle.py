@@ -62,6 +62,7 @@ def compare(df, con, sql: str) -> str | None:
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from farebox.session import build_session
+    from farebox.sources.scratch import clear_scratch
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -87,6 +88,7 @@ def main() -> int:
             problem = verdict = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += problem is not None
         print(f"{'FAIL' if problem else 'pass'} {time.perf_counter() - started:6.2f}s {name}: {verdict}", flush=True)
+    clear_scratch(spark)
     print(f"{bad} failed of {len(args.names) or len(todo)}")
     return bool(bad)
 
