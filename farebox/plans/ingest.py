@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
 
@@ -62,13 +63,13 @@ def conform(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     return derive_values(require_schema(df, spec), spec)
 
 
-def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table) -> IngestRecord:
-    """Conform, check and store one frame as batch 0 of ``table``."""
+def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table, batch: int = 0) -> IngestRecord:
+    """Conform, check and store one frame as a batch of ``table``."""
     started = time.monotonic()
     conformed = conform(df, spec)
     clean = quality_gate(conformed, spec.primary_keys)
-    table.write_batch(clean, 0)
-    kept = table.read().count()
+    table.write_batch(clean, batch)
+    kept = table.read(as_of=batch, since=batch - 1).count()
     if spec.primary_keys:
         counts = quality_counts(conformed.select(*spec.primary_keys), spec.primary_keys).first()
         processed, null_key = counts["processed"], counts["null_key"]
@@ -87,14 +88,21 @@ def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table) -> IngestRecord
     )
 
 
-def ingest_dataset(spark: SparkSession, spec: DatasetSpec, table: Table) -> IngestRecord:
-    return ingest_frame(read_raw(spark, spec), spec, table)
+def ingest_dataset(spark: SparkSession, spec: DatasetSpec, table: Table, batch: int = 0) -> IngestRecord:
+    return ingest_frame(read_raw(spark, spec), spec, table, batch)
 
 
 def ingest_all(
     spark: SparkSession, specs: Iterable[DatasetSpec], table_of: Callable[[str], Table]
 ) -> list[IngestRecord]:
-    return [ingest_dataset(spark, spec, table_of(spec.name)) for spec in specs]
+    """Load every dataset. Datasets that share a table become its batches, in order."""
+    loaded: Counter[str] = Counter()
+    records = []
+    for spec in specs:
+        table = table_of(spec.name)
+        records.append(ingest_dataset(spark, spec, table, loaded[table.path]))
+        loaded[table.path] += 1
+    return records
 
 
 def ingest_log(spark: SparkSession, records: Iterable[IngestRecord]) -> DataFrame:

@@ -128,11 +128,21 @@ def air_quality_spec(path: str = "datasets/air_quality.csv") -> DatasetSpec:
     )
 
 
+MONTHS = ("01", "02", "03")
+
+# Which managed table a dataset is loaded into; the months are batches of one table.
+TABLE_OF = {
+    "weather": "weather",
+    "taxi_zone_lookup": "zones",
+    "air_quality": "air_quality",
+    **{f"taxi_trips_{month}": "trips" for month in MONTHS},
+}
+
+
 def city_specs(root: str = "datasets") -> list[DatasetSpec]:
-    months = ("01", "02", "03")
     return [
         weather_spec(f"{root}/weather.csv"),
-        *[trips_spec(f"{root}/yellow_tripdata_2024-{m}.parquet", f"taxi_trips_{m}") for m in months],
+        *[trips_spec(f"{root}/yellow_tripdata_2024-{m}.parquet", f"taxi_trips_{m}") for m in MONTHS],
         zones_spec(f"{root}/taxi_zone_lookup.csv"),
         air_quality_spec(f"{root}/air_quality.csv"),
     ]
