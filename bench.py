@@ -74,6 +74,8 @@ def ratios(spark, sf_dir: str) -> dict[str, float]:
 
     with scoped_conf(spark, NO_PLANNER_CHOICE):
         joins = [QUERIES[name](spark, sf_dir) for name in ("join_shuffle", "join_broadcast")]
+        for join in joins:
+            evaluate(join)
         out["broadcast_vs_shuffle"] = measure(joins[0]) / measure(joins[1])
 
     peak = s.peak_hour_by_weekday(day)

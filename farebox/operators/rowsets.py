@@ -95,9 +95,11 @@ def novel_rows(update: DataFrame, history: DataFrame, event_time: str | None = N
     names = update.columns
     past = history.select(*names)
     if event_time is not None:
-        low, high = update.agg(F.min(event_time), F.max(event_time)).first()
-        t = F.col(event_time)
-        past = past.filter(t.isNull() if low is None else t.isNull() | t.between(low, high))
+        # As text, since Python would read the instants in the driver's own time zone.
+        low, high = update.agg(*[f(event_time).cast("string") for f in (F.min, F.max)]).first()
+        t, kind = F.col(event_time), update.schema[event_time].dataType
+        span = t.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        past = past.filter(t.isNull() if low is None else t.isNull() | span)
     past = _suspects(past, update, names)
     tagged = (
         update.withColumn("_known", F.lit(0))

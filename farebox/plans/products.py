@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -102,7 +101,7 @@ def build_product(trips: DataFrame, spec: ProductSpec) -> DataFrame:
 
 
 def with_provenance(
-    df: DataFrame, source: str, created: datetime | None = None, version: float = 1.0
+    df: DataFrame, source: str, created: str | None = None, version: float = 1.0
 ) -> DataFrame:
     """Add where a product comes from, when it was made and refreshed, and its version."""
     creation = F.current_timestamp() if created is None else F.lit(created).cast("timestamp")
@@ -116,11 +115,12 @@ def with_provenance(
     )
 
 
-def provenance_of(table: Table) -> tuple[datetime | None, float]:
-    """Creation time and version of a stored product; ``(None, 0.0)`` when it does not exist."""
+def provenance_of(table: Table) -> tuple[str | None, float]:
+    """Creation time (as text) and version of a stored product; ``(None, 0.0)`` when it does not exist."""
     if table.version() is None:
         return None, 0.0
-    row = table.read_latest().select("creation_time", "schema_version").limit(1).first()
+    created = F.col("creation_time").cast("string").alias("creation_time")
+    row = table.read_latest().select(created, "schema_version").limit(1).first()
     return (row["creation_time"], float(row["schema_version"])) if row else (None, 0.0)
 
 

@@ -172,15 +172,17 @@ def write_borough_layout(catalog: Catalog) -> None:
 
 def _touched(target: DataFrame, source_time: DataFrame, time: str) -> DataFrame:
     """Target rows in the day partitions that the source's times fall into."""
-    days = source_time.select(F.date_trunc("day", F.col(time)).alias("day")).distinct()
+    days = source_time.select(F.date_trunc("day", F.col(time)).alias("day")).dropna().distinct()
     # Few days are pruned one by one, many as one range; both are partition filters.
-    listed = [r["day"] for r in days.orderBy("day").limit(1001).collect() if r["day"] is not None]
+    # They travel as text: Python would read them in the driver's own time zone.
+    text = F.col("day").cast("string").alias("day")
+    listed = [F.lit(row["day"]).cast("timestamp") for row in days.orderBy("day").limit(1001).select(text).collect()]
     if not listed:
         return target.filter(F.lit(False))
     if len(listed) <= 1000:
         return target.filter(F.col("day_timestamp").isin(listed))
-    low, high = days.agg(F.min("day"), F.max("day")).first()
-    return target.filter(F.col("day_timestamp").between(low, high))
+    last = days.agg(F.max("day").cast("string").alias("day")).first()["day"]
+    return target.filter(F.col("day_timestamp").between(listed[0], F.lit(last).cast("timestamp")))
 
 
 def backfill(

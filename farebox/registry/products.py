@@ -57,8 +57,9 @@ def product_provenance(spark, sf_dir):
     first, _ = p.provenance_of(table)
     p.store_product(table, table.read_latest(), _SOURCE, 0)
     shown = p.read_product(table, spec)
+    made = F.lit(first).cast("timestamp")
     return shown.groupBy("data_source", "schema_version").agg(
-        F.bool_and((F.col("creation_time") == F.lit(first)) & (F.col("refresh_time") > F.lit(first))).alias("times_ok"),
+        F.bool_and((F.col("creation_time") == made) & (F.col("refresh_time") > made)).alias("times_ok"),
         F.sum("taxi_demand").alias("taxi_demand"),
     )
 
