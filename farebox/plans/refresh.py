@@ -133,14 +133,29 @@ def dependency_frame(spark: SparkSession, products: Mapping[str, ProductSpec] =
 # -- integrated table ------------------------------------------------------------
 
 
-def _dimensions(catalog: Catalog) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(catalog.table(n).read() for n in ("weather", "zones", "air_quality"))
+def _span(df: DataFrame, time: str) -> tuple[str | None, str | None]:
+    """First and last hour in a frame, as text."""
+    hour = F.date_trunc("hour", F.col(time))
+    return tuple(df.agg(F.min(hour).cast("string"), F.max(hour).cast("string")).first())
+
+
+def _within(dim: DataFrame, time: str, span: tuple[str | None, str | None]) -> DataFrame:
+    """Rows of an hourly dimension inside a span; the scan skips files and row groups by it."""
+    low, high = (F.lit(t).cast("timestamp") for t in span)
+    return dim.filter(F.col(time).between(low, high))
 
 
 def integrated_rows(catalog: Catalog, since: int | None = None, upto: int | None = None) -> DataFrame:
-    """Trips (or only those between two versions) with the current dimensions."""
+    """Trips (or only those between two versions) with the current dimensions.
+
+    An increment reads the hourly dimensions only for the hours of its trips.
+    """
     trips = catalog.table("trips").read(as_of=upto, since=since)
-    return wide.integrate(trips, *_dimensions(catalog), measures=catalog.measures)
+    weather, zones, air = (catalog.table(n).read() for n in ("weather", "zones", "air_quality"))
+    if since is not None:
+        span = _span(trips, "tpep_pickup_datetime")
+        weather, air = _within(weather, "timestamp", span), _within(air, wide.AREA_TIME, span)
+    return wide.integrate(trips, weather, zones, air, measures=catalog.measures)
 
 
 def extend_integrated(catalog: Catalog) -> int | None:
@@ -218,9 +233,8 @@ def backfill_air(catalog: Catalog, since: int | None) -> None:
     table = catalog.table("air_quality")
     hours = [wide.AREA, wide.AREA_TIME]
     late = wide.home_state(table.read(since=since)).select(*hours).distinct()
-    rows = wide.air_per_area_hour(
-        table.read().join(late, hours, "left_semi"), catalog.measures
-    )
+    readings = _within(table.read(), wide.AREA_TIME, _span(late, wide.AREA_TIME))
+    rows = wide.air_per_area_hour(readings.join(late, hours, "left_semi"), catalog.measures)
     backfill(
         catalog.integrated,
         rows,
