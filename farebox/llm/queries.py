@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import quality_ledger, secret_scan, sql, url_filter
+from farebox.llm import packing, quality_ledger, secret_scan, sql, token_files, url_filter
 from farebox.llm.tables import read_table
+from farebox.sources.scratch import scratch_path
 
 # The rules the URL query is asked to apply.
 URL_RULES = (
@@ -51,9 +53,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 tokens."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to token files and read back."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, path, with_ids=False)
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_token_files": op9_token_files,
 }
 ORACLES = {"op2_url_filter": sql.URL_FILTER, "op5_quality_rules": sql.QUALITY_RULES, "op6_secret_scan": sql.SECRET_SCAN}

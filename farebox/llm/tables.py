@@ -2,16 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import farebox
 from farebox.sources.scratch import stage
 
-__all__ = ["input_parts", "read_table", "slots", "stage"]
+__all__ = ["input_parts", "map_batches", "read_table", "slots", "stage", "text_or_empty"]
 
-# Bytes of input Parquet that one task of a keyed exchange should get.
-TASK_BYTES = 8 << 20
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Let Spark hand this package to the Python tasks, whether or not it is installed there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(farebox.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="farebox-")) / "farebox.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the tasks."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str]) -> DataFrame:
