@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import packing, quality_ledger, secret_scan, sql, token_files, url_filter
+from farebox.llm import decontaminate, language_id, packing, quality_ledger, secret_scan, sql, token_files, url_filter
 from farebox.llm.tables import read_table
 from farebox.sources.scratch import scratch_path
 
@@ -19,6 +19,22 @@ URL_RULES = (
 )
 
 
+def learned_languages(docs: DataFrame) -> language_id.LanguageModel:
+    """A model from the rows that are not held out."""
+    return language_id.fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
+
+
+def held_out():
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    found = language_id.predict_languages(docs, learned_languages(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page, carried over canonical and redirect links."""
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
@@ -67,11 +83,19 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, with_ids=False)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, with the item."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_files": op9_token_files,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {"op2_url_filter": sql.URL_FILTER, "op5_quality_rules": sql.QUALITY_RULES, "op6_secret_scan": sql.SECRET_SCAN}

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 import farebox
 from farebox.sources.scratch import stage
@@ -31,7 +32,7 @@ def _ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand in the tasks."""
     _ship(df.sparkSession)
     return df.mapInArrow(function, schema)
