@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import decontaminate, language_id, packing, quality_ledger, secret_scan, sql, token_files, url_filter
+from farebox.llm import decontaminate, jaccard_join, language_id, packing, quality_ledger, secret_scan, sql, token_files, url_filter
 from farebox.llm.tables import read_table
 from farebox.sources.scratch import scratch_path
 
@@ -41,6 +41,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.page_links(pages), URL_RULES)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links of 80 % shared five-word shingles."""
+    return jaccard_join.similar_classes(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the verdict of the prose policy for every document."""
     book = quality_ledger.ledger(quality_ledger.measure(read_table(spark, sf_dir, "documents", ["doc_id", "text"])))
@@ -92,6 +97,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
