@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import decontaminate, jaccard_join, language_id, packing, quality_ledger, secret_scan, sql, token_files, url_filter
+from farebox.llm import decontaminate, jaccard_join, language_id, packing, quality_ledger, repeats, secret_scan, sql, token_files, url_filter
 from farebox.llm.tables import read_table
 from farebox.sources.scratch import scratch_path
 
@@ -41,6 +41,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.page_links(pages), URL_RULES)
 
 
+def op3_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that start elsewhere too."""
+    left = repeats.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return left.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document under links of 80 % shared five-word shingles."""
     return jaccard_join.similar_classes(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -97,6 +104,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
+    "op3_suffix_repeats": op3_suffix_repeats,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
