@@ -1,8 +1,72 @@
-"""From raw documents to packed sequences: the stages in order, each on all that its predecessor kept."""
+"""From raw documents to packed sequences: the stages in order, each on all that its predecessor kept.
+
+Every stage but the last returns the columns of its input. Rows with null or empty texts, repeated rows
+and additional columns are allowed everywhere; what a stage does with them is said where it is defined.
+SQL cannot tokenise, so there is no SQL for the result; tests compare it with a plain version.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from farebox.llm import decontaminate, jaccard_join, language_id, packing, queries, secret_scan
+from farebox.llm.tables import read_table, stage
 
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose language is identified; those without a letter go."""
+    return language_id.keep_identified(docs, queries.learned_languages(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, that with the least id.
+
+    Rows with the same id are one document, of which the row with the least text hash stays. Rows with
+    a null id are documents of their own; they go when they repeat one that has an id.
+    """
+    classes = jaccard_join.similar_classes(docs.select("doc_id", "text"))
+    kept = stage(classes.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct(), "kept")
+    found = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    body = F.xxhash64("text")
+    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), body)).orderBy(body)
+    return found.withColumn("__copy", F.row_number().over(same)).where("__copy = 1").drop("__copy")
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents that hold no passage of the benchmark."""
+    return decontaminate.drop_leaks(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, with a mark in place of each secret; ``n_chars`` follows the text."""
+    text = secret_scan.redacted(F.col("text"), F.col("__spans"))
+    changed = secret_scan.find_spans(docs, into="__spans").withColumn("text", text)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn("n_chars", F.when(F.size("__spans") > 0, length).otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids and their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark),
+    ("secret scan", redact_secrets),
+    ("best-fit packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each written as Parquet and read again by the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), "pipeline")
+    return docs

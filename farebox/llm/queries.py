@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farebox.llm import decontaminate, jaccard_join, language_id, packing, quality_ledger, repeats, secret_scan, sql, token_files, url_filter
+from farebox.llm import chat_tools, decontaminate, jaccard_join, language_id, packing, quality_ledger, repeats, secret_scan, sql, token_files, url_filter
 from farebox.llm.tables import read_table
 from farebox.sources.scratch import scratch_path
 
@@ -81,6 +81,54 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Tools that the turns of the conversations stand for.
+TOOLS = {
+    "configure": {
+        "type": "object",
+        "properties": {"instructions": {"type": "string", "minLength": 1}},
+        "required": ["instructions"],
+        "additionalProperties": False,
+    },
+    "ask": {
+        "type": "object",
+        "properties": {
+            "question": {"type": "string", "minLength": 1, "maxLength": 2000},
+            "words": {"type": "integer", "minimum": 3},
+        },
+        "required": ["question", "words"],
+        "additionalProperties": False,
+    },
+}
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as tool calls: system and user turns call, an assistant turn answers the turn before it.
+
+    Every call comes after the one that opens its conversation.
+    """
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    call_id = F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"))
+    opening = F.concat(call_id, F.lit("0"))
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    asked = F.to_json(F.struct(words.alias("words"), F.col("text").alias("question")))
+    told = F.to_json(F.struct(F.col("text").alias("instructions")))
+    calls = turns.where("role IN ('system', 'user')").select(
+        "conv_id",
+        F.concat(call_id, F.col("turn").cast("string")).alias("call_id"),
+        "turn",
+        F.when(F.col("role") == "user", "ask").otherwise("configure").alias("name"),
+        F.when(F.col("role") == "user", asked).otherwise(told).alias("arguments"),
+        F.when(F.col("turn") > 0, F.array(opening)).otherwise(F.array().cast("array<string>")).alias("after"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id",
+        F.concat(call_id, (F.col("turn") - 1).cast("string")).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return chat_tools.link_calls(calls, results, TOOLS)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -108,8 +156,14 @@ QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
+    "op7_tool_calls": op7_tool_calls,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_files": op9_token_files,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES = {"op2_url_filter": sql.URL_FILTER, "op5_quality_rules": sql.QUALITY_RULES, "op6_secret_scan": sql.SECRET_SCAN}
+ORACLES = {
+    "op2_url_filter": sql.URL_FILTER,
+    "op5_quality_rules": sql.QUALITY_RULES,
+    "op6_secret_scan": sql.SECRET_SCAN,
+    "op7_tool_calls": sql.TOOL_CALLS,
+}

@@ -114,8 +114,9 @@ def find_spans(
     text: str = "text",
     classes: tuple[EntropyClass, ...] = ENTROPY_CLASSES,
     allow: tuple[str, ...] = ALLOW_LIST,
+    into: str = "spans",
 ) -> DataFrame:
-    """The rows with ``spans``: structs (at, rank, until, body), ordered by start, then kind.
+    """The rows with a column ``into``: structs (at, rank, until, body), ordered by start, then kind.
 
     ``rank`` counts assign, access, hex and then the entropy classes. All columns of the rows stay. A
     null or empty text has no spans. Spans of different kinds may overlap; those of one kind do not.
@@ -133,7 +134,7 @@ def find_spans(
         listed = f"NOT x.body rlike {allowed} AND " if allowed else ""
         found.append(f"filter({hits}, x -> {listed}{_entropy('x.body', c.alphabet)} >= {c.bits}D)")
     scan = docs.withColumn("__scanned", F.coalesce(F.col(text), F.lit("")))
-    return scan.withColumn("spans", F.sort_array(F.concat(*map(F.expr, found)))).drop("__scanned")
+    return scan.withColumn(into, F.sort_array(F.concat(*map(F.expr, found)))).drop("__scanned")
 
 
 def kind_names(classes: tuple[EntropyClass, ...] = ENTROPY_CLASSES) -> list[str]:
