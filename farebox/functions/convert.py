@@ -26,10 +26,17 @@ def to_boolean(c: Column) -> Column:
 
 
 def to_type(c: Column, data_type: T.DataType) -> Column:
-    """Lenient conversion of ``c`` to ``data_type``."""
+    """Lenient conversion of ``c`` to ``data_type``.
+
+    Numbers that are not finite ("NaN", "Infinity", or too large for the type) become NULL like other
+    bad text: one of them would make every mean of its column useless.
+    """
     if isinstance(data_type, T.BooleanType):
         return to_boolean(c)
-    return c.try_cast(data_type)
+    value = c.try_cast(data_type)
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return value
 
 
 def parse_timestamp(c: Column, fmt: str) -> Column:

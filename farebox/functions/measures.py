@@ -1,32 +1,21 @@
-"""Aggregate expressions whose result does not depend on task order.
+"""Aggregate expressions.
 
-Sums of doubles change in the last digits with the order in which tasks
-finish. Summing fixed-point numbers makes a re-run, a lost executor or an
-incremental rebuild give the very same result.
+Sums and means take whole values, however small or large. The order in which tasks finish can
+change the last digits of a sum of doubles; ``shown`` takes these away where a number is presented,
+and nothing is rounded before that.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, functions as F
 
-SCALE = 6
-TOTAL_TYPE = f"decimal(38,{SCALE})"
-_LOW_BITS = 20
-
+# Digits after the point that do not depend on the order of adding up.
+STABLE_DIGITS = 6
 
-def exact_sum(c: Column) -> Column:
-    """Sum of ``c`` in units of six decimals. A number that does not fit raises; none is dropped.
 
-    Adding decimals row by row is slow, and one ``bigint`` could overflow on a
-    large table. So the low and the high bits of the units are summed apart as
-    ``bigint``, inside generated code, and put together once per group.
-    """
-    units = F.rint(c * F.lit(float(10**SCALE))).cast("bigint")
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(28,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1)))
-    return ((high * F.lit(2**_LOW_BITS) + low) * F.lit(Decimal(1).scaleb(-SCALE))).cast(TOTAL_TYPE)
+def total(c: Column) -> Column:
+    """Sum of the non-NULL values; NULL without one."""
+    return F.sum(c.cast("double"))
 
 
 def ratio(total: Column, n: Column) -> Column:
@@ -34,9 +23,14 @@ def ratio(total: Column, n: Column) -> Column:
     return F.try_divide(total.cast("double"), n.cast("double"))
 
 
-def exact_avg(c: Column) -> Column:
-    """Mean of the non-NULL values, from an exact sum."""
-    return ratio(exact_sum(c), F.count(c))
+def mean(c: Column) -> Column:
+    """Mean of the non-NULL values."""
+    return F.avg(c.cast("double"))
+
+
+def shown(c: Column, digits: int = STABLE_DIGITS) -> Column:
+    """Rounded for a reader; a number that lies between two is not tipped over by its last digits."""
+    return F.round(F.round(c, STABLE_DIGITS), digits)
 
 
 def correlation(a: Column, b: Column) -> Column:

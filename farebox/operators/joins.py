@@ -1,6 +1,6 @@
 """Enrichment joins and key overlap.
 
-No join here broadcasts a side of unknown size. A dimension that comes from a stored
+No join here broadcasts a side unless its caller says so. A dimension that comes from a stored
 table has its real size known to the planner, which broadcasts it below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges; in
 that case AQE splits a fact key that is too large (the fact is always the
@@ -14,25 +14,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farebox.functions.measures import exact_avg
+from farebox.functions.measures import mean
 from farebox.functions.timeparts import hour_bucket
 from farebox.operators.conform import prefix_columns
 
 
-# Largest dimension that a caller's wish to broadcast is followed for.
-BROADCAST_LIMIT = 16 * 1024 * 1024
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's size of a frame; for a stored table this is its size on disk."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def bounded_broadcast(dim: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """``dim`` marked for broadcast if it is within ``limit``, otherwise left to the planner."""
-    return F.broadcast(dim) if planned_bytes(dim) <= limit else dim
-
-
 def _flagged_left_join(fact: DataFrame, dim: DataFrame, condition: Column, flag: str | None) -> DataFrame:
     """Left join; ``flag`` says whether the dimension had a row, whatever its values are."""
     if flag is None:
@@ -53,13 +39,14 @@ def hour_join(
 ) -> DataFrame:
     """Attach the dimension row of the hour an event falls into.
 
-    ``hint`` asks for a join strategy: ``merge``, or ``broadcast`` within the size limit.
+    ``hint`` asks for a join strategy, ``merge`` or ``broadcast``; without one the planner chooses by
+    the size of the dimension. Ask for ``broadcast`` only where that size is known to stay small.
     """
     side = prefix_columns(dim, prefix)
     flag = f"{prefix}matched"
     fact = fact.withColumn(hour_column, hour_bucket(F.col(event_time)))
     if hint:
-        side = bounded_broadcast(side) if hint == "broadcast" else side.hint(hint)
+        side = side.hint(hint)
     condition = F.col(hour_column) == F.col(prefix + dim_time)
     if how == "left":
         return _flagged_left_join(fact, side, condition, flag).drop(prefix + dim_time)
@@ -87,7 +74,7 @@ def reduce_per_area_hour(
     return (
         measurements.filter(F.col(area).isNotNull() & F.col(time).isNotNull())
         .groupBy(area, time)
-        .agg(*[exact_avg(F.col(m)).alias(m) for m in measures], F.count("*").alias("measurements"))
+        .agg(*[mean(F.col(m)).alias(m) for m in measures], F.count("*").alias("measurements"))
     )
 
 

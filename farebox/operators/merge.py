@@ -2,38 +2,30 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from farebox.operators.joins import BROADCAST_LIMIT, planned_bytes
 
-
-def key_condition(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False
-) -> Column:
+def key_condition(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Column:
     """Equality of all keys; ``null_safe`` lets NULL match NULL."""
-    condition = F.lit(True)
-    for k in keys:
-        same = left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k]
-        condition = condition & same
-    return condition
+    pairs = [(left[k], right[k]) for k in keys]
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    return functools.reduce(operator.and_, same)
 
 
 def rows_with_new_key(source: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key ``existing`` does not have (insert when not matched).
 
-    ``source`` must have passed the quality gate. When its keys are small enough
-    to broadcast, history is filtered by them where it is read, and nothing of
-    it is shuffled but the few keys found. Otherwise the keys of history are
-    made distinct first, map-side, so that a hot key does not reach one task.
+    ``source`` must have passed the quality gate. History is cut down to the keys of the source first,
+    so only keys that meet go on; the planner broadcasts the source's keys if their size
+    allows it, and then nothing of history is shuffled but the few keys found. They are made
+    distinct map-side, so a hot key does not reach one task.
     """
     names = list(keys)
-    wanted, stored = source.select(*names), existing.select(*names)
-    if planned_bytes(wanted) <= BROADCAST_LIMIT:
-        seen = stored.join(F.broadcast(wanted), names, "left_semi").distinct()
-    else:
-        seen = stored.distinct()
+    seen = existing.select(*names).join(source.select(*names), names, "left_semi").distinct()
     return source.join(seen, names, "left_anti")
 
 

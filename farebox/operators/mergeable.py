@@ -1,8 +1,8 @@
 """Aggregates that can be brought up to date from new rows alone.
 
-The stored state of a measure is its unrounded exact total and its number of
+The stored state of a measure is its unrounded total and its number of
 non-NULL values. Both add up, so old state plus the partials of new rows equals
-a rebuild over all rows; averages and rounding happen only when the state is
+a rebuild over all rows, but for the last digits of a sum; averages and rounding happen only when the state is
 read.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from farebox.functions.measures import TOTAL_TYPE, exact_sum, ratio
+from farebox.functions.measures import ratio, shown, total
 
 DEMAND = "taxi_demand"
 
@@ -45,7 +45,7 @@ def partial_state(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure
     """State of the rows in ``df``; ``keys`` are columns of it."""
     columns = [F.count("*").alias(DEMAND)]
     for m in measures:
-        columns += [exact_sum(F.col(m.column)).alias(m.total), F.count(m.column).alias(m.filled)]
+        columns += [total(F.col(m.column)).alias(m.total), F.count(m.column).alias(m.filled)]
     return df.groupBy(*keys).agg(*columns)
 
 
@@ -59,7 +59,7 @@ def merge_state(
         union = union.unionByName(state.select(*names))
     columns = [F.sum(DEMAND).alias(DEMAND)]
     for m in measures:
-        columns += [F.sum(m.total).cast(TOTAL_TYPE).alias(m.total), F.sum(m.filled).alias(m.filled)]
+        columns += [F.sum(m.total).alias(m.total), F.sum(m.filled).alias(m.filled)]
     return union.groupBy(*keys).agg(*columns)
 
 
@@ -68,8 +68,8 @@ def present_state(state: DataFrame, keys: Sequence[str], measures: Sequence[Meas
     columns = [F.col(k) for k in keys] + [F.col(DEMAND)]
     for m in measures:
         average = ratio(F.col(m.total), F.col(m.filled))
-        columns.append((average if m.avg_digits is None else F.round(average, m.avg_digits)).alias(m.average))
+        columns.append((average if m.avg_digits is None else shown(average, m.avg_digits)).alias(m.average))
         if m.show_total:
-            total = F.col(m.total) if m.total_digits is None else F.round(F.col(m.total), m.total_digits)
-            columns.append(total.cast("double").alias(m.total))
+            whole = F.col(m.total) if m.total_digits is None else shown(F.col(m.total), m.total_digits)
+            columns.append(whole.alias(m.total))
     return state.select(*columns)

@@ -52,8 +52,8 @@ def signed_counts(left: DataFrame, right: DataFrame, columns: Sequence[str] | No
 
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """``left`` minus ``right``, each copy counted (the result of ``exceptAll``)."""
-    return repeat_rows(signed_counts(left, right), _COPIES)
+    """``left`` minus ``right``, each copy counted."""
+    return left.exceptAll(right)
 
 
 def difference_counts(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def avg_duration_per_day(spark, sf_dir):
 
 
 def avg_fare_per_borough(spark, sf_dir):
-    return s.average_fare_per_area(pickup_zoned(spark, sf_dir))
+    return roles.plain(s.average_fare_per_area(pickup_zoned(spark, sf_dir)))
 
 
 def fare_one_borough(spark, sf_dir):

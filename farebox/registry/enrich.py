@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from farebox.functions.measures import exact_avg
+from farebox.functions import measures
 from farebox.operators.joins import hour_join, key_overlap
 from farebox.operators.rowsets import (
     difference_counts,
@@ -96,7 +96,7 @@ def _distance_by_rain(spark, sf_dir, hint):
         hint=hint,
     )
     known = joined.dropna(subset=["weather_prcp"])
-    average = F.round(exact_avg(F.col("trip_distance")), 2).alias("avg_trip_distance")
+    average = measures.shown(measures.mean(F.col("trip_distance")), 2).alias("avg_trip_distance")
     return known.groupBy(is_wet("weather_prcp").alias("is_raining")).agg(average)
 
 

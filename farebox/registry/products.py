@@ -8,7 +8,7 @@ from farebox.operators import summaries as s
 from farebox.plans import products as p
 from farebox.registry import roles
 from farebox.registry.analytics import aired, pickup_zoned, weathered
-from farebox.registry.sql import INTEGRATED, half_up, mean, with_
+from farebox.registry.sql import INTEGRATED, half_up, mean, total, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
 
@@ -110,7 +110,7 @@ QUERIES = {
 
 
 def rounded_total(column: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({column} AS DECIMAL(18,6))), 0) AS DOUBLE)"
+    return f"ROUND({total(column)}, 0)"
 
 
 _MONTH = "CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP)"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from farebox.functions.measures import exact_avg
+from farebox.functions.measures import STABLE_DIGITS, mean, shown
 from farebox.functions.timeparts import hour_bucket
 from farebox.operators.conform import convert_booleans, standardize_columns
 from farebox.operators.joins import lookup_join
@@ -35,10 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
+# Means that are returned as they are; their last digits depend on the order of adding up.
+MEANS = ("air_q_sample_measurement", "air_quality", "avg_air_quality", "avg_fare", "sample_measurement")
+
+
 def plain(df: DataFrame) -> DataFrame:
-    """Timestamps without zone, the type the comparison side returns."""
-    zoned = [c for c, t in df.dtypes if t == "timestamp"]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+    """As the comparison side returns it: timestamps without zone, means without unstable digits."""
+    changed = {c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"}
+    changed |= {c: F.round(c, STABLE_DIGITS) for c in MEANS if c in df.columns}
+    return df.withColumns(changed) if changed else df
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -118,13 +123,13 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     k_total = F.sum("k")
-    rain = F.when(k_total % 7 != 0, F.when(k_total % 3 == 0, F.lit(0.0)).otherwise(exact_avg(F.col("k"))))
+    rain = F.when(k_total % 7 != 0, F.when(k_total % 3 == 0, F.lit(0.0)).otherwise(shown(mean(F.col("k")))))
     return (
         events(spark, sf_dir)
         .filter(F.col("event_type") == "error")
         .groupBy(hour_bucket(F.col("ts")).alias("timestamp"))
         .agg(
-            exact_avg(F.col("value")).alias("temp"),
+            shown(mean(F.col("value"))).alias("temp"),
             k_total.cast("double").alias("rhum"),
             rain.alias("prcp"),
         )
@@ -153,7 +158,7 @@ def _air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("user_id") % 26).alias("place"),
             hour_bucket(F.col("ts")).alias("datetime_local"),
         )
-        .agg(F.round(exact_avg(F.when(k % 10 != 0, F.col("value"))), 2).alias("sample_measurement"))
+        .agg(shown(mean(F.when(k % 10 != 0, F.col("value"))), 2).alias("sample_measurement"))
     )
     placed = lookup_join(readings, zones(spark, sf_dir), "place", "location_id", {"borough": "county_name"})
     return placed.select(

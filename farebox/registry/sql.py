@@ -34,12 +34,12 @@ ZONES = """zones AS (
 
 
 def total(expr: str) -> str:
-    """Fixed-point sum; through its text, since that conversion to double is exact."""
-    return f"CAST(CAST(SUM(CAST({expr} AS DECIMAL(18,6))) AS VARCHAR) AS DOUBLE)"
+    """Sum of whole values, without the digits that depend on the order of adding up."""
+    return f"ROUND(SUM(CAST({expr} AS DOUBLE)), 6)"
 
 
 def mean(expr: str) -> str:
-    return f"{total(expr)} / NULLIF(COUNT({expr}), 0)"
+    return f"ROUND(AVG(CAST({expr} AS DOUBLE)), 6)"
 
 
 def half_up(expr: str, digits: int) -> str:

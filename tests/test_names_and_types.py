@@ -105,12 +105,25 @@ def test_correlation(spark):
     assert corr([]) is None
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
+def test_means_take_whole_values(spark):
+    df = spark.createDataFrame([(1.2e-7,), (3.4e-7,), (1.4e-6,), (None,)], "x double")
+    assert df.agg(measures.mean(F.col("x"))).first()[0] == pytest.approx(6.2e-7, rel=1e-12)
+    assert df.agg(measures.total(F.col("x"))).first()[0] == pytest.approx(1.86e-6, rel=1e-12)
+    assert df.limit(0).agg(measures.total(F.col("x"))).first()[0] is None
+
+
+def test_shown_numbers_do_not_depend_on_order(spark):
     df = spark.range(1000).select((F.col("id") * 0.1).alias("x"))
-    sums = {df.repartition(n).agg(measures.exact_sum(F.col("x"))).first()[0] for n in (1, 3, 7)}
+    sums = {df.repartition(n).agg(measures.shown(measures.total(F.col("x")), 2)).first()[0] for n in (1, 3, 7)}
     assert len(sums) == 1
 
 
+def test_numbers_that_are_not_finite_become_null(spark):
+    texts = [("NaN",), ("Infinity",), ("-inf",), ("1e999",), ("2.5",), (None,), ("x",)]
+    got = one(spark, "x string", texts, convert.to_type(F.col("x"), T.DoubleType()))
+    assert [g[0] for g in got] == [None, None, None, None, 2.5, None, None]
+
+
 def test_clipped_index(spark):
     got = one(spark, "x double", [(0.125,), (0.375,), (200.0,), (-1.0,), (None,)], measures.clipped_index(F.col("x"), 4.0, 0, 500))
     assert [g[0] for g in got] == [0, 2, 500, 0, None]

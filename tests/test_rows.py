@@ -216,15 +216,14 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     assert "ReadSchema: struct<pu_zone:string,tpep_pickup_datetime:timestamp>" in plan
 
 
-def test_broadcast_follows_the_size(spark, tmp_path):
-    spark.range(1000).write.parquet(str(tmp_path / "d"))
+def test_the_planner_chooses_the_join(spark, tmp_path):
+    spark.range(1000).withColumn("ts", F.timestamp_seconds("id")).write.parquet(str(tmp_path / "d"))
     dim = spark.read.parquet(str(tmp_path / "d"))
-    fact = spark.range(10).withColumnRenamed("id", "f")
-    small = fact.join(joins.bounded_broadcast(dim), F.col("f") == F.col("id"))
-    assert "BroadcastHashJoin" in plan_text(small)
+    fact = spark.range(10).select(F.timestamp_seconds("id").alias("at"))
+    joined = joins.hour_join(fact, dim, "at", "ts", "d_", "hour")
+    assert "BroadcastHashJoin" in plan_text(joined)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = fact.join(joins.bounded_broadcast(dim, limit=10), F.col("f") == F.col("id"))
-        assert "BroadcastHashJoin" not in plan_text(large)
+        assert "BroadcastHashJoin" not in plan_text(joins.hour_join(fact, dim, "at", "ts", "d_", "hour"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
