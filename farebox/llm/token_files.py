@@ -53,7 +53,7 @@ def _hash(dictionary: bytes) -> str:
 def train_dictionary(
     docs: DataFrame, tokenizer: str, cut: Callable = spaced_words, end_id: int = 0, size: int = DICTIONARY_BYTES
 ) -> bytes:
-    """A dictionary from the ``SAMPLE_DOCS`` documents that come first by the hash of their id.
+    """A dictionary from about ``SAMPLE_DOCS`` documents, those whose hashed id is below a limit.
 
     Of each, the first ``SAMPLE_IDS`` ids are used. Empty when the sample is too small to train on.
     """
@@ -65,7 +65,8 @@ def train_dictionary(
                 ids = [(x + end)[: 4 * SAMPLE_IDS] for x in encode(part)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
-    chosen = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
     # A prefix of the text yields the prefix of the ids that is used; a token has few characters.
     start = chosen.select(F.substring("text", 1, 16 * SAMPLE_IDS).alias("text"))
     sample = [bytes(r.ids) for r in map_batches(start, serialise, "ids binary").collect()]
@@ -126,7 +127,7 @@ def write_token_files(
     """Write all documents in ascending id order below ``path``, a folder that all executors share.
 
     A null or empty text is the end id alone. Null ids come first; rows with the same id are all
-    written, in the order of their texts. Other columns are left out. An empty table writes no segment.
+    written, in an order that depends on their texts only. Other columns are left out. An empty table writes no segment.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     spark = docs.sparkSession
@@ -134,7 +135,8 @@ def write_token_files(
     spark.createDataFrame([(_hash(dictionary), dictionary)], "dictionary string, bytes binary").write.parquet(
         f"{path}/dictionary"
     )
-    ordered = rows.repartitionByRange(slots(docs), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    keyed = rows.repartitionByRange(slots(docs), "doc_id", F.xxhash64("text"))
+    ordered = keyed.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     map_batches(ordered, _writer(tokenizer, cut, end_id, dictionary), _SEGMENT).write.parquet(f"{path}/segments")
 
 

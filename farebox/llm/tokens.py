@@ -10,61 +10,102 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+
+import numpy as np
 
 # Characters for which definitions of white space differ, or that are no plain separators.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]")
+_ODD = re.compile(r"[\x85\xa0 ᠎ -‏ -  -⁯　﻿]")
 _RUNS = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-_TWO = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+_TWO = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c")
+
+
+# Before a piece that stands for itself, where pieces otherwise stand for a blank and themselves.
+_AS_IS = "\x01"
+
+
+def _odd(text: str) -> bool:
+    return not text.isascii() and _ODD.search(text) is not None or any(c in text for c in "\x01\x1c\x1d\x1e\x1f")
 
 
 def words(text: str) -> list[str]:
     """Pieces for vocabularies that drop white space."""
-    return [text] if not text.isascii() and _ODD.search(text) or _has_control(text) else text.split()
+    return [text] if _odd(text) else text.split()
 
 
 def spaced_words(text: str) -> list[str]:
-    """Pieces for byte-level vocabularies, where a word keeps the white space before it."""
-    if not text.isascii() and _ODD.search(text) or _has_control(text):
-        return [text]
+    """Pieces for byte-level vocabularies, where a word keeps the white space before it.
+
+    A piece stands for a blank and itself; one that begins with a line end or with the mark for itself.
+    """
+    if _odd(text):
+        return [_AS_IS + text]
     if any(two in text for two in _TWO):
-        return _RUNS.findall(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + piece for piece in rest]] if first else [" " + piece for piece in rest]
+        return [_AS_IS + piece for piece in _RUNS.findall(text)]
+    pieces = text.replace("\n", " \n").split(" ")
+    pieces[0] = _AS_IS + pieces[0]
+    return pieces
 
 
-def _has_control(text: str) -> bool:
-    return any(c in text for c in "\x1c\x1d\x1e\x1f")
+def _spaced(piece: str) -> str:
+    return piece[1:] if piece[:1] == _AS_IS else piece if piece[:1] == "\n" else " " + piece
 
 
 class Encoder:
     """Encodes texts to the bytes of their ids as little-endian unsigned 32-bit integers.
 
-    ``known`` distinct pieces are remembered; beyond that the memory starts afresh.
+    Up to ``limit`` distinct pieces are remembered; then those that were needed only once go.
     """
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], known: int = 250_000):
+    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._cut, self._limit, self._known = cut, known, {}
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = list(pieces)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
-                ids = array("I", found.ids)
-                self._known[piece] = ids.tobytes()
+        self._cut, self._limit = cut, limit
+        self._known: dict[str, bytes] = {}
+        self._again: set[str] = set()
+        # Dropped white space separates pieces; kept white space begins them.
+        self._spaced = cut is spaced_words
+
+    def _plain(self, piece: str) -> bool:
+        """Whether the piece can stand among others in one text without changing their ids."""
+        if self._spaced and piece[:1] == "\n":
+            piece = piece[1:]
+        return piece.isprintable() and piece != "" and " " not in piece
+
+    def _learn(self, new: list[str]) -> None:
+        plain, other = [], []
+        for piece in new:
+            (plain if self._plain(piece) else other).append(piece)
+        for at in range(0, len(plain), 64):
+            part = plain[at : at + 64]
+            whole = [_spaced(piece) for piece in part] if self._spaced else [piece + " " for piece in part]
+            found = self._tokenizer.encode("".join(whole), add_special_tokens=False)
+            ends = np.cumsum([len(piece) for piece in whole])
+            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.ids))
+            last = 4 * np.searchsorted(begins, ends)
+            ids, before = array("I", found.ids).tobytes(), 0
+            for piece, until in zip(part, last.tolist()):
+                self._known[piece] = ids[before:until]
+                before = until
+        for at in range(0, len(other), 1024):
+            part = other[at : at + 1024]
+            whole = [_spaced(piece) for piece in part] if self._spaced else part
+            for piece, found in zip(part, self._tokenizer.encode_batch(whole, add_special_tokens=False)):
+                self._known[piece] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(text) for text in texts]
         pieces = set().union(*cut)
+        self._again |= pieces.difference(pieces.difference(self._known))
         if len(self._known) > self._limit:
-            self._known.clear()
-        self._learn(pieces - self._known.keys())
+            self._known = {piece: self._known[piece] for piece in self._again}
+            if len(self._known) > self._limit // 2:
+                self._known.clear()
+            self._again.clear()
+        self._learn(list(pieces.difference(self._known)))
         return [b"".join(map(self._known.__getitem__, c)) for c in cut]
 
 
