@@ -1,7 +1,7 @@
 """N-gram Jaccard join: documents whose shingle sets overlap enough, as connected classes.
 
 Equal sets form a class first. The search over classes is a T-occurrence search: a pair that reaches the
-similarity shares at least T shingles, hence one of the rarest of each side. Posting lists of those
+similarity shares at least T shingles, hence several of the rarest of each side. Posting lists of those
 rare shingles give candidate pairs and, joined up, blocks of classes that may be similar. Every class is
 sent to its block once. There, DivideSkip finds the links: the short inverted lists of a query are merged,
 the longest are set aside, and candidates with enough occurrences are probed for the shingles of the long
@@ -31,10 +31,12 @@ NUMERATOR, DENOMINATOR = 4, 5
 SKETCH_BITS = 18
 # Longer posting lists are not paired up but join their members in a block.
 LONG_LIST = 64
+# A candidate pair shares this part of its smaller set among the rare shingles.
+RARE_SHARE = 16
 # Shingles that one task compares at a time.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 4_000_000
 _FLUSH = 250_000
-_POSTING = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<u4"), ("at", "<u4")])
+_POSTING = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 
 
 def least_overlap(total: np.ndarray | int):
@@ -42,6 +44,11 @@ def least_overlap(total: np.ndarray | int):
     return -(-NUMERATOR * total // (NUMERATOR + DENOMINATOR))
 
 
+def least_rare(n):
+    """Rare shingles that a partner of a set of ``n`` shares at least; the set has as many more of them."""
+    return np.maximum(1, n // RARE_SHARE)
+
+
 def _signature(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -97,11 +104,14 @@ def _frequencies(sketches: DataFrame) -> np.ndarray:
 
 
 def _rarest(shingles: np.ndarray, frequency: np.ndarray) -> np.ndarray:
-    """The shingles of a set that one of its partners must share, rarest first."""
+    """The rarest shingles of a set; of these, every partner shares ``least_rare`` or more.
+
+    A partner lacks at most a fifth of the set, so it has that many of any fifth and so many more.
+    """
     n = len(shingles)
     rank = frequency[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     order = np.lexsort((shingles, rank))
-    return shingles[order[: n - -(-NUMERATOR * n // DENOMINATOR) + 1]]
+    return shingles[order[: n - -(-NUMERATOR * n // DENOMINATOR) + int(least_rare(n))]]
 
 
 def _post(size: int, frequency: np.ndarray, buckets: int):
@@ -131,7 +141,7 @@ def _post(size: int, frequency: np.ndarray, buckets: int):
                     seen.add(cls)
                     rare = _rarest(shingles, frequency)
                     rows = np.empty(len(rare), _POSTING)
-                    rows["key"], rows["cls"], rows["n"], rows["at"] = rare, cls, len(shingles), np.arange(len(rare))
+                    rows["key"], rows["cls"], rows["n"] = rare, cls, len(shingles)
                     held.append(rows)
                     count += len(rows)
                 if count >= _FLUSH:
@@ -143,18 +153,21 @@ def _post(size: int, frequency: np.ndarray, buckets: int):
     return run
 
 
-def _pairs_of(rows: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Pairs of classes within lists that sizes and positions do not rule out."""
-    out = [np.zeros((0, 2), np.int64)]
+def _pairs_of(rows: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """((a, b, least shared) of pairs within lists whose sizes do not rule them out, lists of each pair)."""
+    out = [np.zeros((0, 3), np.int64)]
     for size in np.unique(length):
         left, right = np.triu_indices(size, 1)
         lists = rows[first[length == size][:, None] + np.arange(size)]
         a, b = lists[:, left].ravel(), lists[:, right].ravel()
-        na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
-        possible = DENOMINATOR * np.minimum(na, nb) >= NUMERATOR * np.maximum(na, nb)
-        possible &= np.minimum(na - a["at"], nb - b["at"]) >= least_overlap(na + nb)
-        out.append(np.stack([a["cls"][possible], b["cls"][possible]], axis=1))
-    return np.unique(np.concatenate(out), axis=0)
+        low, high = np.minimum(a["n"], b["n"]).astype(np.int64), np.maximum(a["n"], b["n"]).astype(np.int64)
+        possible = DENOMINATOR * low >= NUMERATOR * high
+        out.append(np.stack([a["cls"], b["cls"], least_rare(low)], axis=1)[possible])
+    pairs = np.concatenate(out)
+    order = np.lexsort(pairs.T)
+    pairs = pairs[order]
+    begin = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])[: len(pairs)])
+    return pairs[begin], np.diff(np.append(begin, len(pairs)))
 
 
 def _match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,14 +183,15 @@ def _match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))
     length = np.diff(np.append(first, len(rows)))
     short = (length > 1) & (length <= LONG_LIST)
-    pairs = _pairs_of(rows, first[short], length[short])
-    names = ["key", "a", "b"]
+    pairs, seen = _pairs_of(rows, first[short], length[short])
+    names = ["key", "a", "b", "least", "seen"]
     if len(pairs):
-        columns = [pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+        columns = [pa.nulls(len(pairs), pa.int64()), *map(pa.array, pairs.T.copy()), pa.array(seen)]
         yield pa.RecordBatch.from_arrays(columns, names=names)
     long = np.repeat(length > LONG_LIST, length)
     if long.any():
-        columns = [pa.array(rows["key"][long].view(np.int64)), pa.array(rows["cls"][long]), pa.nulls(long.sum(), pa.int64())]
+        none = pa.nulls(long.sum(), pa.int64())
+        columns = [pa.array(rows["key"][long].view(np.int64)), pa.array(rows["cls"][long]), none, none, none]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
@@ -273,6 +287,14 @@ def _compare(size: int):
     return run
 
 
+def _enough(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """Candidate pairs: what they share in short lists, and may share in long ones, reaches the least."""
+    counted = found.groupBy("a", "b").agg(F.sum("seen").alias("seen"), F.first("least").alias("least"))
+    more = {end: listed.select(F.col("cls").alias(end), F.col("lists").alias(f"more_{end}")) for end in "ab"}
+    known = counted.join(more["a"], "a", "left").join(more["b"], "b", "left").na.fill(0, ["more_a", "more_b"])
+    return known.where("seen >= least - least(more_a, more_b)").select("a", "b")
+
+
 def _blocks(edges: DataFrame, classes: DataFrame) -> DataFrame:
     """(cls, doc_id, block, whole): blocks of joined classes, cut by family where they are too large."""
     joined = components(edges, "a", "b").withColumnsRenamed({"node": "cls"})
@@ -308,15 +330,22 @@ def similar_classes(
     members = described.where("sketch IS NULL").drop("sketch")
     classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     posted = map_batches(rows.select("text"), _post(size, frequency, parts), "bucket int, postings binary")
-    found = stage(map_batches(posted.repartition(parts, "bucket"), _match, "key long, a long, b long"), "candidates")
-    pairs = stage(found.where("key IS NULL").select("a", "b").distinct(), "pairs")
+    schema = "key long, a long, b long, least long, seen long"
+    found = stage(map_batches(posted.repartition(parts, "bucket"), _match, schema), "candidates")
     lists = found.where("key IS NOT NULL").select("key", F.col("a").alias("cls"))
+    listed = lists.groupBy("cls").agg(F.count("*").alias("lists")).join(classes, "cls").select("cls", "n", "lists")
+    listed = stage(listed, "listed")
+    pairs = stage(_enough(found.where("key IS NULL"), listed), "pairs")
+    # Only classes with so many long lists can have a partner that shares nothing but those.
+    alone = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) / RARE_SHARE))
+    lists = lists.join(listed.where(F.col("lists") >= alone).select("cls"), "cls")
     hubs = lists.groupBy("key").agg(F.min("cls").alias("hub"))
     spokes = lists.join(hubs, "key").where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     blocks = stage(_blocks(stage(pairs.union(spokes.distinct()), "edges"), classes), "blocks")
     # Of the rows with the id of a class's first document, one that is of this class.
     bodies = rows.join(blocks.select("doc_id").distinct(), "doc_id")
-    bodies = map_batches(bodies, _only_class(size), "cls long, text string").dropDuplicates(["cls"])
+    bodies = map_batches(bodies, _only_class(size), "cls long, text string")
+    bodies = stage(bodies.dropDuplicates(["cls"]), "bodies")
     sent = blocks.select("cls", "block").join(bodies, "cls").select("block", "cls", "text")
     sent = sent.repartition(parts, "block").sortWithinPartitions("block")
     labels = stage(map_batches(sent, _search(size), "cls long, label long"), "labels")
