@@ -57,7 +57,7 @@ class Encoder:
     Up to ``limit`` distinct pieces are remembered; then those that were needed only once go.
     """
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 600_000):
+    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
