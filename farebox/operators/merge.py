@@ -35,12 +35,14 @@ def fill_unmatched(
     on: Sequence[tuple[str, str]],
     columns: Sequence[str],
     matched_flag: str,
+    replace: bool = False,
 ) -> DataFrame:
     """Give target rows that had no match the values of ``source``.
 
     ``on`` pairs target and source columns; ``source`` must hold one row per key.
     Only rows whose flag is false change, so a matched row with NULL values is
-    left alone and a second run does nothing.
+    left alone and a second run does nothing. With ``replace`` matched rows whose key is in
+    ``source`` get its values too: right where they are a summary that has changed.
     """
     # Unmatched target rows with a key the source lacks keep their values too.
     side = source.select(
@@ -48,7 +50,7 @@ def fill_unmatched(
         *[F.col(c).alias(f"_new_{c}") for c in columns],
         F.lit(True).alias("_found"),
     )
-    condition = ~F.col(matched_flag)
+    condition = F.lit(True) if replace else ~F.col(matched_flag)
     for t, s in on:
         condition = condition & (F.col(t) == F.col(f"_key_{s}"))
     joined = target.join(side, condition, "left")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
 
@@ -95,16 +94,30 @@ def ingest_dataset(spark: SparkSession, spec: DatasetSpec, table: Table, batch:
 def ingest_all(
     spark: SparkSession, specs: Iterable[DatasetSpec], table_of: Callable[[str], Table]
 ) -> list[IngestRecord]:
-    """Load every dataset. Datasets that share a table become its batches, in order."""
-    loaded: Counter[str] = Counter()
+    """Load every dataset in full, in place of what its table held; those that share a table become its batches."""
+    loaded: dict[str, int] = {}
     records = []
     for spec in specs:
         table = table_of(spec.name)
-        records.append(ingest_dataset(spark, spec, table, loaded[table.path]))
-        loaded[table.path] += 1
+        if table.path in loaded:
+            batch = loaded[table.path] + 1
+            records.append(ingest_dataset(spark, spec, table, batch))
+        else:
+            batch, record = load_afresh(spark, spec, table)
+            records.append(record)
+        loaded[table.path] = batch
     return records
 
 
+def load_afresh(spark: SparkSession, spec: DatasetSpec, table: Table) -> tuple[int, IngestRecord]:
+    """A full load: once it is complete, none of the batches before it counts. Returns its batch as well."""
+    version = table.version()
+    batch = 0 if version is None else version + 1
+    if batch:
+        table.start_at(batch)
+    return batch, ingest_dataset(spark, spec, table, batch)
+
+
 def ingest_log(spark: SparkSession, records: Iterable[IngestRecord]) -> DataFrame:
     rows = [tuple(asdict(r)[f] for f in INGEST_LOG_SCHEMA.names) for r in records]
     return spark.createDataFrame(rows, INGEST_LOG_SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +20,8 @@ from farebox.plans.products import (
     product_state,
     store_product,
 )
-from farebox.sources.tables import BATCH, Table
+from farebox.sources.scratch import stage
+from farebox.sources.tables import Table
 
 STATE_SCHEMA = T.StructType(
     [
@@ -116,20 +117,18 @@ def detect_changes(before: DataFrame, now: DataFrame) -> DataFrame:
     return compared.withColumn("status", status)
 
 
-def affected_products(
-    changed: Iterable[str], products: Mapping[str, ProductSpec] = PRODUCTS
-) -> list[str]:
-    """Products that depend on a changed table."""
-    names = set(changed)
-    return [name for name, spec in products.items() if spec.depends_on & names]
-
-
 def dependency_frame(spark: SparkSession, products: Mapping[str, ProductSpec] = PRODUCTS) -> DataFrame:
     """The dependency map as rows (product, dependency)."""
     rows = [(name, dep) for name, spec in products.items() for dep in sorted(spec.depends_on)]
     return spark.createDataFrame(rows, "product string, dependency string")
 
 
+def products_behind(changes: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """(product) that depend on a table in ``changes`` (table_name); ``dependencies`` as above."""
+    hit = dependencies.join(changes, F.col("dependency") == F.col("table_name"), "left_semi")
+    return hit.select("product").distinct()
+
+
 # -- integrated table ------------------------------------------------------------
 
 
@@ -162,13 +161,17 @@ def extend_integrated(catalog: Catalog) -> int | None:
     """Append the trips the integrated table does not have yet.
 
     Its batch number is the trip version it has reached, so a repeated run
-    after a failure replaces the same batch and never appends twice.
+    after a failure replaces the same batch and never appends twice. When the trips have been loaded
+    afresh, the integrated table starts afresh too.
     """
-    reached = catalog.integrated.version()
-    target = catalog.table("trips").version()
+    reached, trips = catalog.integrated.version(), catalog.table("trips")
+    target = trips.version()
     if reached == target:
         return None
-    catalog.integrated.write_batch(integrated_rows(catalog, since=reached), target)
+    if reached is not None and trips.start() > reached:
+        catalog.integrated.start_at(target)
+        reached = None
+    catalog.integrated.write_batch(integrated_rows(catalog, since=reached, upto=target), target)
     return target
 
 
@@ -186,18 +189,12 @@ def write_borough_layout(catalog: Catalog) -> None:
 
 
 def _touched(target: DataFrame, source_time: DataFrame, time: str) -> DataFrame:
-    """Target rows in the day partitions that the source's times fall into."""
-    days = source_time.select(F.date_trunc("day", F.col(time)).alias("day")).dropna().distinct()
-    # Few days are pruned one by one, many as one range; both are partition filters.
-    # They travel as text: Python would read them in the driver's own time zone.
-    text = F.col("day").cast("string").alias("day")
-    listed = [F.lit(row["day"]).cast("timestamp") for row in days.orderBy("day").limit(1001).select(text).collect()]
-    if not listed:
-        return target.filter(F.lit(False))
-    if len(listed) <= 1000:
-        return target.filter(F.col("day_timestamp").isin(listed))
-    last = days.agg(F.max("day").cast("string").alias("day")).first()["day"]
-    return target.filter(F.col("day_timestamp").between(listed[0], F.lit(last).cast("timestamp")))
+    """Target rows in the day partitions that the source's times fall into.
+
+    The days are a small stored table, so the planner prunes the partitions by them.
+    """
+    days = source_time.select(F.date_trunc("day", F.col(time)).alias("day_timestamp")).dropna().distinct()
+    return target.join(stage(days, "days"), "day_timestamp", "left_semi").select(*target.columns)
 
 
 def backfill(
@@ -206,11 +203,13 @@ def backfill(
     prefix: str,
     on: Mapping[str, str],
     time: str,
+    replace: bool = False,
 ) -> None:
     """Give integrated rows without a match the late dimension rows in ``source``.
 
     ``on`` maps target columns to (unprefixed) source columns, ``time`` is the
-    source's hour. Only the touched day partitions are read and rewritten.
+    source's hour. Only the touched day partitions are read and rewritten. With ``replace`` rows
+    with a match get the new values as well.
     """
     keys = list(on.values())
     unique = one_row_per_key(source.dropna(subset=keys), keys)
@@ -218,7 +217,7 @@ def backfill(
     columns = [prefix + c for c in unique.columns if c not in keys]
     target = _touched(integrated.read(with_batch=True), unique, time)
     filled = fill_unmatched(
-        target, side, [(t, prefix + s) for t, s in on.items()], columns, f"{prefix}matched"
+        target, side, [(t, prefix + s) for t, s in on.items()], columns, f"{prefix}matched", replace
     )
     integrated.replace_partitions(filled)
 
@@ -229,7 +228,10 @@ def backfill_weather(catalog: Catalog, since: int | None) -> None:
 
 
 def backfill_air(catalog: Catalog, since: int | None) -> None:
-    """Air quality of the hours that got measurements, over all stations of the hour."""
+    """Air quality of the hours that got measurements, over all stations of the hour.
+
+    Trips of an hour that had measurements get the new mean too, as a build from scratch gives them.
+    """
     table = catalog.table("air_quality")
     hours = [wide.AREA, wide.AREA_TIME]
     late = wide.home_state(table.read(since=since)).select(*hours).distinct()
@@ -241,6 +243,7 @@ def backfill_air(catalog: Catalog, since: int | None) -> None:
         "air_q_",
         {"pu_borough": wide.AREA, "weather_time": wide.AREA_TIME},
         wide.AREA_TIME,
+        replace=True,
     )
 
 
@@ -259,7 +262,7 @@ def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
     covered, target = covered_version(table), catalog.integrated.version()
     if covered == target:
         return False
-    if covered is None:
+    if covered is None or covered < catalog.integrated.start():
         rebuild_product(catalog, spec)
         return True
     new_trips = catalog.integrated.read(since=covered)
@@ -295,25 +298,29 @@ def refresh(catalog: Catalog) -> list[str]:
         bootstrap(catalog)
         return list(catalog.products)
     # One row per table; a table missing from the state was not watched before.
-    changes = {
-        r["table_name"]: r["old_version"]
-        for r in detect_changes(before, now).collect()
-        if r["status"] in ("changed", "first_seen")
-    }
-    if not changes:
+    found = detect_changes(before, now).where("status IN ('changed', 'first_seen')").select("table_name", "old_version")
+    changes = {r["table_name"]: r["old_version"] for r in found.collect()}
+    # Also when the state knows the trips: the integrated table may have missed them in a failed run.
+    extended = extend_integrated(catalog) is not None
+    if not changes and not extended:
         return []
-    if "trips" in changes:
-        extend_integrated(catalog)
-    if "weather" in changes:
-        backfill_weather(catalog, changes["weather"])
-    if "air_quality" in changes:
-        backfill_air(catalog, changes["air_quality"])
-    if "zones" in changes:
+    afresh = [n for n, old in changes.items() if n != "trips" and old is not None and catalog.table(n).start() > old]
+    whole = "zones" in changes or bool(afresh)
+    if whole:
         rebuild_integrated(catalog)
-    refreshed = affected_products(changes, catalog.products)
+    else:
+        if "weather" in changes:
+            backfill_weather(catalog, changes["weather"])
+        if "air_quality" in changes:
+            backfill_air(catalog, changes["air_quality"])
+    moved = [(name,) for name in changes] + [("trips",)] * extended
+    moved_frame = catalog.spark.createDataFrame(moved, "table_name string")
+    # One row per product.
+    behind = {r["product"] for r in products_behind(moved_frame, dependency_frame(catalog.spark, catalog.products)).collect()}
+    refreshed = [name for name in catalog.products if name in behind]
     for name in refreshed:
         spec = catalog.products[name]
-        if spec.from_new_trips and "zones" not in changes:
+        if spec.from_new_trips and not whole:
             extend_product(catalog, spec)
         else:
             rebuild_product(catalog, spec)

@@ -64,9 +64,13 @@ def conform_update(
 
 
 def schema_change_text(target: T.StructType, update: T.StructType) -> str:
-    old, new = column_types(target), column_types(update)
-    added = [c.column for c in schema_diff(old, new) if c.change == "added"]
-    return f"added column(s): {', '.join(added)}" if added else "none"
+    """Columns the update adds (+) or has in another type (~) than the table, in order; empty if none.
+
+    A column the update lacks is no change of the table: it is NULL in the new rows.
+    """
+    marks = {"added": "+", "retyped": "~"}
+    found = schema_diff(column_types(target), column_types(update))
+    return " ".join(marks[c.change] + c.column for c in found if c.change in marks)
 
 
 def merge_insert_only(source: DataFrame, existing: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -229,9 +229,35 @@ def products_to_refresh(spark, sf_dir):
     since = F.lit(roles.UPDATE_START).cast("timestamp")
     catalog.table("weather").append(roles.weather(spark, sf_dir).filter(F.col("timestamp") >= since))
     changed = r.detect_changes(before, r.current_state(catalog)).filter(F.col("status") == "changed")
-    rows = r.dependency_frame(spark).join(changed, F.col("dependency") == F.col("table_name"))
-    listed = r.affected_products([x["table_name"] for x in changed.select("table_name").collect()])
-    return rows.select("product").distinct().withColumn("listed", F.col("product").isin(listed))
+    behind = r.products_behind(changed, r.dependency_frame(spark))
+    return behind.withColumn("n_new", F.lit(catalog.table("weather").read(since=0).count()).cast("long"))
+
+
+def refresh_late_station(spark, sf_dir):
+    """Trips with the air quality of their hour, when a second station reports after the first refresh."""
+    catalog = _raw_catalog(spark, sf_dir)
+    air = catalog.table("air_quality").read()
+    r.refresh(catalog)
+    late = air.withColumns({"site_num": F.lit("late"), "sample_measurement": F.col("sample_measurement") + 20})
+    catalog.table("air_quality").append(late)
+    r.refresh(catalog)
+    columns = ["vendor_id", "tpep_pickup_datetime", "air_q_sample_measurement", "air_q_measurements"]
+    return roles.plain(catalog.integrated.read().where("air_q_matched").select(*columns))
+
+
+def reload_table(spark, sf_dir):
+    """Demand per zone after the trips have been loaded, extended, and loaded afresh with the history only."""
+    catalog = _raw_catalog(spark, sf_dir)
+    trips = catalog.table("trips")
+    _, update = roles.split_trips(spark, sf_dir)
+    history = trips.read()
+    trips.append(update)
+    r.refresh(catalog)
+    trips.start_at(2)
+    trips.write_batch(history, 2)
+    r.refresh(catalog)
+    shown = p.read_product(catalog.product("taxi_zone_statistics"), p.ZONE_STATISTICS)
+    return shown.groupBy("pu_zone").agg(F.sum("taxi_demand").alias("taxi_demand"))
 
 
 def increment_integration(spark, sf_dir):
@@ -342,6 +368,8 @@ QUERIES = {
         stored_state,
         detect_table_changes,
         products_to_refresh,
+        refresh_late_station,
+        reload_table,
         increment_integration,
         backfill_late_weather,
         backfill_late_air,
@@ -362,6 +390,24 @@ _NOVEL_TRIPS = f"""novel AS (SELECT DISTINCT * FROM trips WHERE {UPDATE}
 _BASE = with_(INTEGRATED)
 _LINES = ", ".join(LINE_COLUMNS)
 _CUT = f"TIMESTAMP '{roles.UPDATE_START}'"
+LATE_STATION = (
+    with_(
+        ROLES,
+        f"""reported AS (SELECT * EXCLUDE (site_num) FROM air WHERE datetime_local < {_CUT})""",
+        """stations AS (SELECT * FROM reported UNION ALL BY NAME SELECT * REPLACE (sample_measurement + 20 AS sample_measurement)
+  FROM reported)""",
+        """per_hour AS (SELECT county_name, datetime_local, ROUND(AVG(sample_measurement), 6) AS level, COUNT(*) AS n
+  FROM stations WHERE state_code = '36' AND county_name IS NOT NULL GROUP BY 1, 2)""",
+    )
+    + f"""SELECT vendor_id, tpep_pickup_datetime, level AS air_q_sample_measurement, n AS air_q_measurements
+FROM trips JOIN zones ON pu_location_id = location_id
+JOIN per_hour ON borough = county_name AND date_trunc('hour', tpep_pickup_datetime) = datetime_local WHERE {HISTORY}"""
+)
+RELOADED = (
+    with_(ROLES)
+    + f"""SELECT zone AS pu_zone, COUNT(*) AS taxi_demand FROM trips LEFT JOIN zones ON pu_location_id = location_id
+WHERE {HISTORY} GROUP BY 1"""
+)
 
 ORACLES = {
     "merge_new_keys": with_(_NEW) + f"SELECT {_LINES} FROM novel",
@@ -373,9 +419,9 @@ UNION ALL SELECT {_LINES}, l_returnflag, 1 FROM novel""",
     + f"""SELECT *, CAST(0 AS INTEGER) AS _batch_id FROM trips WHERE {HISTORY} UNION ALL SELECT *, 1 FROM novel""",
     "update_records": with_(TRIPS, _NEW, _NOVEL_TRIPS.replace("novel", "novel_trips", 1))
     + f"""SELECT 'lines' AS dataset, n AS rows_in_update, CAST(0 AS BIGINT) AS null_keys, n - i AS duplicates,
-  i AS inserted, 'added column(s): l_note' AS schema_change
+  i AS inserted, '+l_note' AS schema_change
 FROM (SELECT (SELECT COUNT(*) FROM {NEW_LINES}) AS n, (SELECT COUNT(*) FROM novel) AS i)
-UNION ALL SELECT 'taxi_trips', n, 0, n - i, i, 'none' FROM (SELECT
+UNION ALL SELECT 'taxi_trips', n, 0, n - i, i, '' FROM (SELECT
   (SELECT COUNT(*) + COUNT(CASE WHEN trip_distance IS NULL THEN 1 END) FROM trips WHERE {UPDATE}) AS n,
   (SELECT COUNT(*) FROM novel_trips) AS i)""",
     "evolve_schema_append": with_(TRIPS)
@@ -400,7 +446,10 @@ FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')""",
   UNION ALL SELECT 'weather', 1, 'humidity', COUNT(*) FROM weather WHERE timestamp >= {_CUT}
   UNION ALL SELECT 'zones', 0, '', 0
   UNION ALL SELECT 'air_quality', 1, '', COUNT(*) FROM air WHERE datetime_local >= {_CUT})""",
-    "products_to_refresh": "SELECT 'weather_impact_summary' AS product, TRUE AS listed",
+    "products_to_refresh": with_(ROLES)
+    + f"SELECT 'weather_impact_summary' AS product, COUNT(*) AS n_new FROM weather WHERE timestamp >= {_CUT}",
+    "refresh_late_station": LATE_STATION,
+    "reload_table": RELOADED,
     "increment_integration": with_(
         ROLES,
         f"""early_weather AS (SELECT * FROM weather WHERE timestamp < {_CUT})""",

@@ -115,10 +115,6 @@ class DatasetSpec:
         fields = {**self.columns, **(extra or {})}
         return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
 
-    def with_columns(self, extra: Mapping[str, T.DataType]) -> DatasetSpec:
-        """The descriptor of an update file that brings new columns."""
-        return replace(self, columns={**self.columns, **extra}, raw_names=(*self.raw_names, *extra))
-
     def at(self, path: str) -> DatasetSpec:
         return replace(self, path=path)
 

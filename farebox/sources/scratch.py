@@ -8,6 +8,7 @@ back to a temporary folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,6 +44,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; the parent of the target is made."""
+    old, fs = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     jpath, fs = _hadoop_path(spark, path)
     stream = fs.create(jpath, True)
@@ -68,7 +78,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if configured:
         return f"{configured.rstrip('/')}/farebox/{app}"
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
     if app not in _local_roots:
         _local_roots[app] = tempfile.TemporaryDirectory(prefix="farebox-", ignore_cleanup_errors=True)

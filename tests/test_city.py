@@ -119,9 +119,9 @@ def test_city(spark, tmp_path):
     ]
     got = [(x.dataset, x.rows_in_update, x.duplicates, x.inserted, x.schema_change) for x in records]
     assert got == [
-        ("weather", 3, 1, 2, "added column(s): humidity"),
-        ("air_quality", 3, 2, 1, "added column(s): aqi"),
-        ("trips", 2, 1, 1, "none"),
+        ("weather", 3, 1, 2, "+humidity"),
+        ("air_quality", 3, 2, 1, "+aqi"),
+        ("trips", 2, 1, 1, ""),
     ]
     assert sorted(refresh.refresh(catalog)) == sorted(products.PRODUCTS)
     wide = {x["tpep_pickup_datetime"].strftime("%m-%d %H"): x for x in catalog.integrated.read().collect()}

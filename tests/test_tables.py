@@ -239,7 +239,7 @@ def test_new_trips(spark, catalog):
     new = [(1, H(1, 10), 1, 2.0, 10.0), (4, H(1, 10), 1, 6.0, 1.0), (5, H(3, 10), 2, None, None), (5, H(3, 10), 2, None, None)]
     spec = trips_spec(name="trips")
     record = load_update(catalog.table("trips"), trip_rows(spark, new).drop("store_and_fwd_flag"), spec, event_time="tpep_pickup_datetime")
-    assert (record.rows_in_update, record.duplicates, record.inserted, record.schema_change) == (4, 2, 2, "none")
+    assert (record.rows_in_update, record.duplicates, record.inserted, record.schema_change) == (4, 2, 2, "")
     assert sorted(r.refresh(catalog)) == sorted(p.PRODUCTS)
     check_equals_rebuild(catalog)
     table = catalog.product("taxi_zone_statistics")
@@ -321,11 +321,50 @@ def test_detect_changes(spark):
     assert got["gone"][0] == "dropped" and got["new"][0] == "first_seen"
 
 
-def test_affected_products():
-    assert r.affected_products(["weather"]) == ["weather_impact_summary"]
-    assert r.affected_products(["zones"]) == ["taxi_zone_statistics"]
-    assert len(r.affected_products(["trips"])) == 4
-    assert r.affected_products([]) == []
+def test_products_behind(spark):
+    def behind(*names):
+        changes = spark.createDataFrame([(n,) for n in names], "table_name string")
+        return {x["product"] for x in r.products_behind(changes, r.dependency_frame(spark)).collect()}
+
+    assert behind("weather") == {"weather_impact_summary"}
+    assert behind("zones") == {"taxi_zone_statistics"}
+    assert len(behind("trips")) == 4
+    assert behind() == set()
+
+
+@pytest.mark.parametrize("step", ["next", "away", "rewrite"])
+def test_a_crash_loses_nothing(spark, tmp_path, step, monkeypatch):
+    """The write stops before the new folder is moved, after the old one is away, or within a rewrite."""
+    t = Table(spark, str(tmp_path / "t"), {"k": T.IntegerType()})
+    t.append(spark.createDataFrame([(1, 1), (2, 2)], "a int, k int"))
+
+    def fail(*_):
+        raise OSError("crash")
+
+    with monkeypatch.context() as m:
+        if step == "rewrite":
+            m.setattr(Table, "_carry_out", fail)
+            change = lambda: t.replace_partitions(t.read(with_batch=True).where("k = 1").withColumn("a", F.lit(9)))
+        else:
+            moves, move = [], Table._move
+            stop = 0 if step == "next" else 1
+            m.setattr(Table, "_move", lambda *x: fail() if len(moves) == stop else (moves.append(x), move(*x)))
+            change = lambda: t.write_batch(spark.createDataFrame([(9, 1), (2, 2)], "a int, k int"), 0)
+        with pytest.raises(OSError):
+            change()
+    got = sorted(tuple(x) for x in t.read().collect())
+    assert got == ([(1, 1), (2, 2)] if step == "next" else [(2, 2), (9, 1)])
+
+
+def test_a_table_loaded_afresh(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"))
+    for x in (1, 2, 3):
+        if x == 3:
+            t.start_at(2)
+            assert t.read().count() == 2
+        t.append(spark.createDataFrame([(x,)], "a int"))
+    assert [x.a for x in t.read().collect()] == [3] and t.versions() == [2] and t.start() == 2
+    assert sorted(x.a for x in t.read(as_of=1).collect()) == [1, 2]
 
 
 # -- keyed updates and the stream ----------------------------------------------------------------
@@ -351,7 +390,7 @@ def test_keyed_update_with_new_column(spark, root, tmp_path):
     raw = spark.read.option("header", "true").csv(update.path)
     record = load_update(table, raw, update, {"humidity": T.DoubleType()})
     assert (record.rows_in_update, record.null_keys, record.duplicates, record.inserted) == (4, 1, 2, 1)
-    assert record.schema_change == "added column(s): humidity"
+    assert record.schema_change == "+humidity"
     got = sorted(tuple(x) for x in table.read().select("hour", "temp", "humidity").collect())
     assert got == [(0, 1.5, None), (1, 2.5, None), (2, 3.0, 71.5)]
     assert str(table.read().filter("hour = 2").select(F.col("timestamp").cast("string")).first()[0]) == "2024-01-01 02:00:00"
