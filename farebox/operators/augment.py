@@ -11,22 +11,44 @@ from farebox.operators.ranking import first_rows
 from farebox.operators.rowsets import repeat_rows, union_all
 
 
+# Lot digits added per count: 4096 groups, few enough to combine well in each task.
+_DIGITS = 3
+
+
 def quota(df: DataFrame, share: float) -> int:
     """Number of rows that make up ``share`` of the frame, rounded up."""
     return math.ceil(df.count() * share)
 
 
-def sample_with_replacement(df: DataFrame, share: float, seed: int) -> DataFrame:
-    """Seeded sample where a row may come more than once; the size is ``share`` on average."""
-    return df.sample(withReplacement=True, fraction=share, seed=seed)
-
-
 def row_draw(columns: Sequence[str], seed: int) -> Column:
     """Reproducible 32-hex-digit lot of a row: MD5 of the seed and the columns."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
+def sample_with_replacement(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """Exactly ``n`` rows, each drawn from all rows; none from an empty frame.
+
+    Rows have a position in the order of their lots: rows with the same first lot digits are
+    numbered on their own, after a count of those before them. Draws are hashed onto positions and
+    meet the rows in an equi-join. ``columns`` draw the lot (default: all) and should tell rows apart.
+    """
+    names, size = df.columns, df.count()
+    if not size:
+        return df
+    drawn = df.withColumn("_lot", row_draw(columns or names, seed)).withColumn("_group", F.substring("_lot", 1, _DIGITS))
+    # At most 4096 groups by construction, so one task may add them up.
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = drawn.groupBy("_group").agg(F.count("*").alias("_rows"))
+    starts = groups.select("_group", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_group").orderBy("_lot", *names))
+    placed = drawn.withColumn("_inside", inside).join(starts, "_group")
+    placed = placed.select(*names, (F.col("_start") + F.col("_inside") - 1).alias("_at"))
+    lot = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string"))), 1, 15), 16, 10)
+    draws = df.sparkSession.range(n).groupBy((lot.cast("long") % F.lit(size)).alias("_at")).agg(F.count("*").alias("_take"))
+    return repeat_rows(placed.join(draws, "_at").drop("_at"), "_take")
+
+
 def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows (or all): those with the smallest lots.
 
@@ -50,8 +72,6 @@ def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None
     return head.unionByName(tail)
 
 
-# Lot digits added per count: 4096 groups, few enough to combine well in each task.
-_DIGITS = 3
 # The group around the cut may be ordered when it has no more rows than this.
 _ORDERED = 100_000
 

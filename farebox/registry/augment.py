@@ -26,8 +26,9 @@ def sample_exact_n(spark, sf_dir):
 
 
 def sample_replacement(spark, sf_dir):
-    """About 7 % of the events, some more than once."""
-    return roles.plain(a.sample_with_replacement(_events(spark, sf_dir), 0.07, SEED))
+    """As many events as make up 7 %, some more than once."""
+    events = _events(spark, sf_dir)
+    return roles.plain(a.sample_with_replacement(events, a.quota(events, 0.07), SEED, ["event_id"]))
 
 
 def duplicate_injection(spark, sf_dir):
@@ -153,6 +154,14 @@ def _drawn(seed: int) -> str:
 
 ORACLES = {
     "sample_exact_n": with_(EV) + f"SELECT * FROM {_drawn(SEED)}",
+    "sample_replacement": with_(
+        EV,
+        f"""placed AS (SELECT event_id, ts, user_id, value, k,
+    row_number() OVER (ORDER BY md5('{SEED}|' || event_id)) - 1 AS place, COUNT(*) OVER () AS n FROM ev)""",
+        f"""draws AS (SELECT CAST('0x' || substr(md5('{SEED}|' || i), 1, 15) AS BIGINT) AS d
+    FROM range((SELECT CAST(ceil(COUNT(*) * 0.07) AS BIGINT) FROM ev)) AS r(i))""",
+    )
+    + "SELECT event_id, ts, user_id, value, k FROM draws JOIN placed ON place = d % (SELECT COUNT(*) FROM ev)",
     "duplicate_injection": with_(EV)
     + f"SELECT event_id, ts, user_id, value, k FROM ev UNION ALL SELECT * FROM {_drawn(SEED + 1)}",
     "time_shift": with_(TRIPS, "latest AS (SELECT MAX(tpep_pickup_datetime) AS t FROM trips)")

@@ -32,8 +32,10 @@ def test_sample_exact_is_the_smallest_lots(spark):
 def test_quota_and_replacement(spark):
     df = spark.range(1001)
     assert a.quota(df, 0.015) == math.ceil(1001 * 0.015)
-    size = a.sample_with_replacement(df, 0.5, 1).count()
-    assert 350 < size < 650
+    got = Counter(r["id"] for r in a.sample_with_replacement(df, 2000, 1).collect())
+    assert sum(got.values()) == 2000 and set(got) <= set(range(1001)) and max(got.values()) > 1
+    assert a.sample_with_replacement(df, 0, 1).count() == 0
+    assert a.sample_with_replacement(df.limit(0), 5, 1).count() == 0
 
 
 def test_shift_keeps_durations(spark):
