@@ -123,8 +123,8 @@ def schema_violations(actual: T.StructType, spec: DatasetSpec) -> list[Violation
 class SchemaError(ValueError):
     def __init__(self, dataset: str, violations: list[Violation]):
         self.violations = violations
-        lines = [f"{v.kind} {v.column}: expected {v.expected}, got {v.actual}" for v in violations]
-        super().__init__(f"[{dataset}] schema check failed\n  " + "\n  ".join(lines))
+        found = "; ".join(f"{v.column} ({v.kind}; declared {v.expected}, found {v.actual})" for v in violations)
+        super().__init__(f"{len(violations)} columns of {dataset} do not fit its descriptor: {found}")
 
 
 def require_schema(df: DataFrame, spec: DatasetSpec) -> DataFrame:

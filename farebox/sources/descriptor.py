@@ -5,11 +5,14 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from farebox.functions.names import snake_case_all, to_snake_case
+from farebox.sources.scratch import read_text
 
 # Type words a descriptor may use.
 TYPE_WORDS: dict[str, T.DataType] = {
@@ -119,7 +122,7 @@ class DatasetSpec:
         return replace(self, path=path)
 
 
-def load_specs(path: str) -> dict[str, DatasetSpec]:
-    """All descriptors of a JSON file, by dataset name."""
-    with open(path, encoding="utf-8") as handle:
-        return {name: DatasetSpec.from_dict(name, conf) for name, conf in json.load(handle).items()}
+def load_specs(path: str, spark: SparkSession | None = None) -> dict[str, DatasetSpec]:
+    """All descriptors of a JSON file, by dataset name; with a session the file may lie in any storage it reads."""
+    text = read_text(spark, path) if spark else Path(path).read_text(encoding="utf-8")
+    return {name: DatasetSpec.from_dict(name, conf) for name, conf in json.loads(text).items()}
