@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,7 +18,8 @@ _DIGITS = 3
 
 def quota(df: DataFrame, share: float) -> int:
     """Number of rows that make up ``share`` of the frame, rounded up."""
-    return math.ceil(df.count() * share)
+    # As decimals: the product of doubles may lie just above a whole number.
+    return math.ceil(Decimal(df.count()) * Decimal(str(share)))
 
 
 def row_draw(columns: Sequence[str], seed: int) -> Column:

@@ -12,7 +12,7 @@ from farebox.operators.rowsets import difference_counts
 from farebox.operators.joins import lookup_join
 from farebox.plans import integrate as wide
 from farebox.registry import roles
-from farebox.registry.sql import INTEGRATED, TRIPS, ZONES, half_up, mean, total, with_
+from farebox.registry.sql import INTEGRATED, TRIPS, ZONES, half_up, mean, total, whole_means, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
 
@@ -204,8 +204,8 @@ ORACLES = {
     "distance_by_rain": with_(INTEGRATED)
     + f"""SELECT weather_prcp <> 0 AS is_raining, {half_up(mean('trip_distance'), 2)} AS avg_trip_distance
 FROM integrated WHERE weather_prcp IS NOT NULL AND trip_distance IS NOT NULL GROUP BY 1""",
-    "hourly_demand_air": with_(INTEGRATED, _HOURLY) + "SELECT * FROM hourly",
-    "demand_air_correlation": with_(INTEGRATED, _HOURLY)
+    "hourly_demand_air": whole_means(with_(INTEGRATED, _HOURLY)) + "SELECT * FROM hourly",
+    "demand_air_correlation": whole_means(with_(INTEGRATED, _HOURLY))
     + "SELECT round(corr(air_quality, taxi_demand), 6) AS correlation FROM hourly",
     "rain_demand_variation": with_(INTEGRATED)
     + """SELECT pu_zone, COUNT(CASE WHEN weather_prcp = 0 THEN 1 END) AS no_rain_demand,

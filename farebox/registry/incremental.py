@@ -28,6 +28,7 @@ from farebox.registry.sql import (
     ROLES,
     TRIPS,
     UPDATE,
+    whole_means,
     one_per_key,
     with_,
 )
@@ -472,6 +473,6 @@ LEFT JOIN early_air a ON pz.borough = a.county_name AND date_trunc('hour', tpep_
     "refreshed_integrated": _BASE + f"SELECT {', '.join(INTEGRATED_COLUMNS)} FROM integrated",
     "refreshed_zone_stats": _BASE + ZONE_SQL,
     "refreshed_weather": _BASE + WEATHER_SQL,
-    "refreshed_air": _BASE + AIR_SQL,
+    "refreshed_air": whole_means(_BASE) + AIR_SQL,
     "refreshed_mobility": _BASE + MOBILITY_SQL,
 }

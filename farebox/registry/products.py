@@ -8,7 +8,7 @@ from farebox.operators import summaries as s
 from farebox.plans import products as p
 from farebox.registry import roles
 from farebox.registry.analytics import aired, pickup_zoned, weathered
-from farebox.registry.sql import INTEGRATED, half_up, mean, total, with_
+from farebox.registry.sql import INTEGRATED, half_up, mean, total, whole_means, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
 
@@ -134,14 +134,14 @@ _BASE = with_(INTEGRATED)
 ORACLES = {
     "product_zone_stats": _BASE + ZONE_SQL,
     "product_weather": _BASE + WEATHER_SQL,
-    "product_air": _BASE + AIR_SQL,
+    "product_air": whole_means(_BASE) + AIR_SQL,
     "product_mobility": _BASE + MOBILITY_SQL,
     "product_provenance": f"""SELECT '{_SOURCE}' AS data_source, '2.0' AS schema_version, TRUE AS times_ok,
   COUNT(*) AS taxi_demand FROM events""",
     "product_zone_demand": _BASE + f"SELECT pu_zone, month, taxi_demand FROM ({ZONE_SQL})",
     "product_rain_distance": _BASE + f"SELECT is_raining, avg_trip_distance FROM ({WEATHER_SQL})",
-    "product_hourly_air": _BASE + f"SELECT pickup_hour, taxi_demand, avg_air_quality FROM ({AIR_SQL})",
-    "product_air_correlation": _BASE
+    "product_hourly_air": whole_means(_BASE) + f"SELECT pickup_hour, taxi_demand, avg_air_quality FROM ({AIR_SQL})",
+    "product_air_correlation": whole_means(_BASE)
     + f"SELECT round(corr(taxi_demand, avg_air_quality), 6) AS correlation FROM ({AIR_SQL})",
     "product_peak_hour": _BASE
     + f"""SELECT day_of_week, pickup_hour, taxi_demand FROM (SELECT *, ROW_NUMBER() OVER (

@@ -42,6 +42,11 @@ def mean(expr: str) -> str:
     return f"ROUND(AVG(CAST({expr} AS DOUBLE)), 6)"
 
 
+def whole_means(sql: str) -> str:
+    """The SQL with station means that are not rounded, for queries that average them once more."""
+    return sql.replace(mean("sample_measurement") + " AS sample_measurement", "AVG(sample_measurement) AS sample_measurement")
+
+
 def half_up(expr: str, digits: int) -> str:
     """Decimal rounding of the shortest text of a double, ties away from zero."""
     return f"CAST(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,{digits})) AS DOUBLE)"
