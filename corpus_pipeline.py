@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from farebox.llm import decontaminate, jaccard_join, language_id, packing, queries, secret_scan
-from farebox.llm.tables import read_table, stage
+from farebox.llm.tables import flagged, read_table, stage
 
 ORACLE_SQL = None
 
@@ -25,14 +25,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one document of each group of near duplicates, that with the least id.
 
     Rows with the same id are one document, of which the row with the least text hash stays. Rows with
-    a null id are documents of their own; they go when they repeat one that has an id.
+    a null id cannot be told apart by it; of those, one of each text stays. Only rows whose id may be
+    dropped or repeated are shuffled.
     """
-    classes = jaccard_join.similar_classes(docs.select("doc_id", "text"))
-    kept = stage(classes.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct(), "kept")
-    found = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+    classes = stage(jaccard_join.similar_classes(docs.select("doc_id", "text")), "classes")
+    dropped = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    marked = flagged(docs, dropped.union(repeated.select("doc_id")), "doc_id", "__maybe")
+    single = marked.where("NOT __maybe").select(*docs.columns)
     body = F.xxhash64("text")
     same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), body)).orderBy(body)
-    return found.withColumn("__copy", F.row_number().over(same)).where("__copy = 1").drop("__copy")
+    left = marked.where("__maybe").join(dropped.hint("merge"), "doc_id", "left_anti")
+    first = left.withColumn("__copy", F.row_number().over(same)).where("__copy = 1")
+    return single.union(first.select(*docs.columns))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

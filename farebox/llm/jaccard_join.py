@@ -17,12 +17,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.components import components
 from farebox.llm.shingles import WORDS, shingle_sets
-from farebox.llm.tables import map_batches, slots, stage
+from farebox.llm.tables import flagged, map_batches, slots, stage
 from farebox.llm.tokens import portions
 
 # Similarity as a fraction: 100 * shared >= 80 * union.
@@ -252,10 +253,15 @@ def _search(size: int):
         block, classes, texts = None, [], []
 
         def close() -> pa.RecordBatch:
-            sets = [s for _, part in portions(texts) for s in _sets(part, size)]
-            label = np.array(classes)[link_sets(sets)]
-            columns = [pa.array(classes, pa.int64()), pa.array(label, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["cls", "label"])
+            sets = {}
+            for first, part in portions(texts):
+                for cls, shingles in zip(classes[first:], _sets(part, size)):
+                    # Rows with the id of a class may be of another class; copies count once.
+                    if cls == _signature(shingles):
+                        sets[cls] = shingles
+            names = np.array(list(sets), np.int64)
+            label = names[link_sets(list(sets.values()))] if sets else names
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(label)], names=["cls", "label"])
 
         for batch in batches:
             for now, cls, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -342,18 +348,17 @@ def similar_classes(
     hubs = lists.groupBy("key").agg(F.min("cls").alias("hub"))
     spokes = lists.join(hubs, "key").where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     blocks = stage(_blocks(stage(pairs.union(spokes.distinct()), "edges"), classes), "blocks")
-    # Of the rows with the id of a class's first document, one that is of this class.
-    bodies = rows.join(blocks.select("doc_id").distinct(), "doc_id")
-    bodies = map_batches(bodies, _only_class(size), "cls long, text string")
-    bodies = stage(bodies.dropDuplicates(["cls"]), "bodies")
-    sent = blocks.select("cls", "block").join(bodies, "cls").select("block", "cls", "text")
-    sent = sent.repartition(parts, "block").sortWithinPartitions("block")
+    # The blocks grow with the documents, so the text side never relies on a broadcast of them.
+    wanted = flagged(rows, blocks, "doc_id").where("maybe").drop("maybe")
+    found = wanted.join(blocks.hint("merge"), "doc_id").select("block", "cls", "text")
+    sent = found.repartition(parts, "block").sortWithinPartitions("block")
     labels = stage(map_batches(sent, _search(size), "cls long, label long"), "labels")
-    links = labels
+    # A block that is whole has its final labels; parts of a cut one are joined up once more.
+    joined = labels.withColumnsRenamed({"label": "component"})
     if not blocks.where("NOT whole").isEmpty():
+        bodies = stage(map_batches(found, _only_class(size), "cls long, text string").dropDuplicates(["cls"]), "bodies")
         across = _across(blocks.where("NOT whole"), labels, pairs, lists, bodies, size)
-        links = labels.union(across)
-    joined = components(links, "cls", "label").withColumnsRenamed({"node": "cls"})
+        joined = components(labels.union(across), "cls", "label").withColumnsRenamed({"node": "cls"})
     named = classes.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_class = stage(named.join(least, "component").select("cls", "component_id"), "components")
@@ -363,12 +368,14 @@ def similar_classes(
 
 
 def _only_class(size: int):
+    """Of (block, cls, text), the rows whose text is of that class."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in portions(batch.column(1).to_pylist()):
-                cls = [_signature(s) for s in _sets(part, size)]
-                columns = [pa.array(cls, pa.int64()), pa.array(part, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=["cls", "text"])
+            for first, part in portions(batch.column(2).to_pylist()):
+                own = pa.array([_signature(s) for s in _sets(part, size)], pa.int64())
+                rows = batch.slice(first, len(part)).select(["cls", "text"])
+                yield rows.filter(pa.compute.equal(rows.column(0), own))
 
     return run
 

@@ -17,16 +17,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.shingles import mixed
-from farebox.llm.tables import map_batches, slots, stage
+from farebox.llm.tables import flagged, map_batches, slots, stage
 
 LENGTH, GRAM, BLOCK = 200, 100, 50
 # Windows of a document that are looked at together; longer documents are cut, with an overlap.
 SEGMENT = 1 << 20
 _FLUSH = 250_000
-_FILTER_BITS = 23
 _B = 0x9E3779B97F4A7C15
 _RUN = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("row", "<i8"), ("begin", "<u4"), ("lo", "u1"), ("hi", "u1"), ("done", "u1")])
 _powers: dict[str, np.ndarray] = {}
@@ -305,28 +304,6 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _slot() -> tuple[Column, Column]:
-    """Word and bit of a row in the filter."""
-    at = F.pmod(F.xxhash64("row"), F.lit(1 << _FILTER_BITS))
-    return F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
-
-
-def _row_filter(keys: DataFrame) -> DataFrame:
-    """A filter for rows, as words of bits: at most 2 ** 17 rows of it, however many keys there are.
-
-    Rows that pass by chance do no harm; the joins behind it are exact.
-    """
-    word, bit = _slot()
-    return keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.expr("bit_or(bit)").alias("bits"))
-
-
-def _flagged(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows with ``maybe``: false only where the key is certainly not among ``keys``."""
-    word, bit = _slot()
-    joined = rows.withColumn("word", word).join(F.broadcast(_row_filter(keys)), "word", "left")
-    return joined.withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))).drop("word", "bits")
-
-
 def _finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("until", pa.int64())])), pa.binary()]
@@ -366,16 +343,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     settled = stage(map_batches(scanned, _settle, _SCHEMA).drop("bucket", "runs"), "settled")
     asked = settled.where("anchor IS NOT NULL")
     each = asked.groupBy("row").agg(F.collect_list(F.struct("begin", "until", "anchor", "lo", "need")).alias("asked"))
-    wanted = _flagged(long, asked.select("row")).where("maybe").drop("maybe")
+    wanted = flagged(long, asked, "row").where("maybe").drop("maybe")
     bodies = wanted.join(each, "row").select("row", "text", "asked")
     schema = "bucket long, anchor long, row long, begin long, lo long, need boolean, body binary"
     cut = map_batches(bodies, _cut(parts), schema).repartition(parts, "bucket").sortWithinPartitions("anchor")
     compared = map_batches(cut, _compare, "row long, begin long, until long")
     covered = settled.where("anchor IS NULL").select("row", "begin", "until").union(compared)
     covered = stage(covered, "covered")
-    flagged = _flagged(rows, covered.select("row"))
+    possible = flagged(rows, covered, "row")
     spans = covered.groupBy("row").agg(F.collect_list(F.struct("begin", "until")).alias("spans"))
-    some = flagged.where("maybe").join(spans, "row", "left").select("doc_id", "text", "spans")
-    none = flagged.where("NOT maybe").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    some = possible.where("maybe").join(spans, "row", "left").select("doc_id", "text", "spans")
+    none = possible.where("NOT maybe").select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, spans array<struct<begin: long, until: long>>, kept binary"
     return map_batches(some.union(none), _finish, schema)

@@ -7,13 +7,13 @@ import zipfile
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 import farebox
 from farebox.sources.scratch import stage
 
-__all__ = ["input_parts", "map_batches", "read_table", "slots", "stage", "text_or_empty"]
+__all__ = ["flagged", "input_parts", "map_batches", "read_table", "slots", "stage", "text_or_empty"]
 
 _shipped: set[str] = set()
 
@@ -60,3 +60,27 @@ def slots(df: DataFrame, least: int = 12) -> int:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+# Bits of the filter below: one megabyte, whatever the number of keys.
+_FILTER_BITS = 23
+
+
+def _slot(column: str) -> tuple[Column, Column]:
+    """Word and bit of a key in the filter."""
+    at = F.pmod(F.xxhash64(column), F.lit(1 << _FILTER_BITS))
+    return F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+
+
+def flagged(rows: DataFrame, keys: DataFrame, column: str, into: str = "maybe") -> DataFrame:
+    """``rows`` with a column ``into``: false only where ``column`` is certainly not among that of ``keys``.
+
+    It keeps rows without a partner out of the shuffle of an exact join behind it. The broadcast side
+    has at most 2 ** 17 rows of two numbers, however many keys there are; with very many keys it lets
+    all rows pass and the join alone decides.
+    """
+    word, bit = _slot(column)
+    bits = keys.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.expr("bit_or(__bit)").alias("__bits"))
+    joined = rows.withColumn("__word", word).join(F.broadcast(bits), "__word", "left")
+    hit = F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))
+    return joined.withColumn(into, hit).drop("__word", "__bits")
