@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.tables import map_batches
-from farebox.llm.tokens import encoder, portions, words
+from farebox.llm.tokens import batch_rows, encoder, portions, words
 
 CAPACITY = 4096
 OPEN = 2048
@@ -97,8 +97,7 @@ def _packer(path: str, cut: Callable, end_id: int, capacity: int, places: int, w
             names = list(_ARROW) if with_ids else list(_ARROW)[:-1]
             return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[n]) for n, c in zip(names, columns)], names=names)
 
-        for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for doc_ids, texts in (rows for batch in batches for rows in batch_rows(batch)):
             for first, part in portions(texts):
                 for doc_id, ids in zip(doc_ids[first:], encode(part)):
                     for k, (start, piece) in enumerate(pieces_of(ids + end, capacity)):

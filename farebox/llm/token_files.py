@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from farebox.llm.tables import map_batches, slots, stage
-from farebox.llm.tokens import encoder, portions, spaced_words
+from farebox.llm.tokens import batch_rows, encoder, portions, spaced_words
 
 # Bounds of the sample that trains the dictionary: documents, and ids of each.
 SAMPLE_DOCS, SAMPLE_IDS = 1000, 8192
@@ -99,9 +99,8 @@ def _writer(tokenizer: str, cut: Callable, end_id: int, dictionary: bytes):
             arrays = [pa.array([v], f.type) for v, f in zip(row, _FIELDS)]
             return pa.RecordBatch.from_arrays(arrays, schema=_FIELDS)
 
-        for batch in batches:
-            ids_of = batch.column(0).to_pylist()
-            for first, texts in portions(batch.column(1).to_pylist()):
+        for ids_of, bodies in (rows for batch in batches for rows in batch_rows(batch)):
+            for first, texts in portions(bodies):
                 for doc_id, ids in zip(ids_of[first:], encode(texts)):
                     payload += compress(ids + end)
                     docs.append(doc_id)

@@ -57,7 +57,7 @@ class Encoder:
     Up to ``limit`` distinct pieces are remembered; then those that were needed only once go.
     """
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 1_200_000):
+    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -120,6 +120,12 @@ def encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
     return _encoders[key]
 
 
+def batch_rows(batch, rows: int = 512) -> Iterator[tuple[list, list]]:
+    """(ids, texts) of some rows of a two-column batch at a time; not all of it need be Python objects."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.column(0).slice(at, rows).to_pylist(), batch.column(1).slice(at, rows).to_pylist()
+
+
 def portions(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``chars`` characters together, with the index of the first."""
     start, held, size = 0, [], 0
