@@ -8,7 +8,9 @@ The first digit is the window's anchor: of the ``GRAM``-byte strings in it, the
 Equal windows have equal anchors at equal places, and neighbouring windows mostly share one, so a run of
 about fifty windows with one anchor moves as one record. The second digit compares whole runs: equal runs
 are all repeated. Only runs that share an anchor but differ are sent with their bytes, and their windows
-are told apart by place and by blocks of ``BLOCK`` bytes. Digits are compared by 64-bit hashes.
+are told apart by place and by blocks of ``BLOCK`` bytes. An anchor with very many different runs is split
+by what surrounds it: its windows are dealt by a digit of all their bytes, equal ones of a task as one
+record. Digits are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,8 +28,15 @@ LENGTH, GRAM, BLOCK = 200, 100, 50
 # Windows of a document that are looked at together; longer documents are cut, with an overlap.
 SEGMENT = 1 << 20
 _FLUSH = 250_000
+# Different runs of an anchor, in a portion of a task or in all, above which its windows are dealt by their bytes.
+CROWD, GROUP = 256, 4096
+# Groups of windows that a task of the last pass takes one after the other.
+FINE = 16
 _B = 0x9E3779B97F4A7C15
 _RUN = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("row", "<i8"), ("begin", "<u4"), ("lo", "u1"), ("hi", "u1"), ("done", "u1")])
+_WINDOW = np.dtype([("anchor", "<i8"), ("window", "<u8"), ("row", "<i8"), ("begin", "<u4"), ("need", "u1")])
+# Values of ``done``: settled; and standing for an anchor whose runs have gone another way.
+_DONE, _MARK = 1, 2
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -113,18 +122,24 @@ def _until(runs: np.ndarray) -> np.ndarray:
     return runs["begin"].astype(np.int64) + runs["lo"] - runs["hi"] + LENGTH
 
 
-def _sorted(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sorted(runs: np.ndarray, by: str = "span") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs by anchor and span, with the start of each group of equal ones, and its size."""
-    runs = runs[np.lexsort((runs["span"], runs["anchor"]))]
+    runs = runs[np.lexsort((runs[by], runs["anchor"]))]
     new = np.ones(len(runs), bool)
-    new[1:] = (runs["span"][1:] != runs["span"][:-1]) | (runs["anchor"][1:] != runs["anchor"][:-1])
+    new[1:] = (runs[by][1:] != runs[by][:-1]) | (runs["anchor"][1:] != runs["anchor"][:-1])
     start = np.flatnonzero(new)
     return runs, start, np.diff(np.append(start, len(runs)))
 
 
-_SCHEMA = "bucket int, runs binary, row long, begin long, until long, anchor long, lo int, hi int, need boolean"
+def _anchors(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first run of each anchor, and the number of its runs."""
+    first = np.flatnonzero(np.concatenate([[True], kinds["anchor"][1:] != kinds["anchor"][:-1]]))
+    return first, np.diff(np.append(first, len(kinds)))
+
+
+_SCHEMA = "bucket int, runs binary, row long, begin long, until long, anchor long, lo int, hi int, need boolean, crowd boolean"
 _NAMES = [field.split()[0] for field in _SCHEMA.split(", ")]
-_KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+_KINDS = [pa.int32(), pa.binary(), *[pa.int64()] * 4, pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
 
 
 def _batch(n: int, **columns) -> pa.RecordBatch:
@@ -132,20 +147,40 @@ def _batch(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
 
 
-def _spans_of(runs: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Covered spans; those of a row that touch are one."""
-    order = np.lexsort((runs["begin"], runs["row"]))
-    row, begin, until = runs["row"][order], runs["begin"][order].astype(np.int64), _until(runs)[order]
+def _merged(row: np.ndarray, begin: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, begin, until) of covered spans; those of a row that touch are one."""
+    order = np.lexsort((begin, row))
+    row, begin, until = row[order], begin[order].astype(np.int64), until[order]
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (begin[1:] > until[:-1])
     first = np.flatnonzero(new)
-    reach = np.maximum.reduceat(until, first) if len(first) else until
-    return _batch(len(first), bucket=row[first] % buckets, row=row[first], begin=begin[first], until=reach)
+    return row[first], begin[first], np.maximum.reduceat(until, first) if len(first) else until
+
+
+def _spans_of(runs: np.ndarray, buckets: int) -> pa.RecordBatch:
+    row, begin, until = _merged(runs["row"], runs["begin"], _until(runs))
+    return _batch(len(row), bucket=row % buckets, row=row, begin=begin, until=until)
+
+
+def _asked(kinds: np.ndarray, need: np.ndarray, crowd: np.ndarray, buckets: int) -> pa.RecordBatch:
+    return _batch(
+        len(kinds),
+        bucket=kinds["row"] % buckets,
+        row=kinds["row"],
+        begin=kinds["begin"],
+        until=_until(kinds),
+        anchor=kinds["anchor"].view(np.int64),
+        lo=kinds["lo"],
+        hi=kinds["hi"],
+        need=need,
+        crowd=crowd,
+    )
 
 
 def _scan(buckets: int):
     """First pass: runs by anchor, packed by bucket. Runs that are repeated within the task already are
-    settled, and only one of them goes on."""
+    settled, and only one of them goes on. Of an anchor with a crowd of runs one goes on as a mark, and
+    all are asked for at once; they do not meet."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -157,7 +192,15 @@ def _scan(buckets: int):
             if again.any():
                 yield _spans_of(runs[again], buckets)
             sent = runs[start]
-            sent["done"] = size > 1
+            sent["done"] = np.where(size > 1, _DONE, 0)
+            first, several = _anchors(sent)
+            if (several > CROWD).any():
+                crowd = np.repeat(several > CROWD, several)
+                marks = sent[first[several > CROWD]]
+                marks["done"] = _DONE | _MARK
+                runs = sent[crowd]
+                yield _asked(runs, runs["done"] == 0, np.ones(len(runs), bool), buckets)
+                sent = np.concatenate([sent[~crowd], marks])
             bucket = (sent["anchor"] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             sent, bucket = sent[order], bucket[order]
@@ -180,13 +223,13 @@ def _scan(buckets: int):
 
 def _packed(runs: np.ndarray) -> bytes:
     """Field after field; like values together compress better."""
-    return b"".join(np.ascontiguousarray(runs[name]).tobytes() for name in _RUN.names)
+    return b"".join(np.ascontiguousarray(runs[name]).tobytes() for name in runs.dtype.names)
 
 
-def _unpacked(body: bytes) -> np.ndarray:
-    runs, at = np.empty(len(body) // _RUN.itemsize, _RUN), 0
-    for name in _RUN.names:
-        kind = _RUN[name]
+def _unpacked(body: bytes, record: np.dtype = _RUN) -> np.ndarray:
+    runs, at = np.empty(len(body) // record.itemsize, record), 0
+    for name in record.names:
+        kind = record[name]
         runs[name] = np.frombuffer(body, kind, len(runs), at)
         at += kind.itemsize * len(runs)
     return runs
@@ -209,28 +252,61 @@ def _settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _spans_of(found, 1)
     # One run of each kind, where an anchor has several kinds and not all are settled.
     kinds, open_ = runs[start], (size == 1) & (runs["done"][start] == 0)
-    first = np.flatnonzero(np.concatenate([[True], kinds["anchor"][1:] != kinds["anchor"][:-1]]))
-    several = np.diff(np.append(first, len(kinds)))
-    asked = np.repeat((several > 1) & np.logical_or.reduceat(open_, first), several)
-    kinds, open_ = kinds[asked], open_[asked]
-    if len(kinds):
-        yield _batch(
-            len(kinds),
-            row=kinds["row"],
-            begin=kinds["begin"],
-            until=_until(kinds),
-            anchor=kinds["anchor"].view(np.int64),
-            lo=kinds["lo"],
-            hi=kinds["hi"],
-            need=open_,
-        )
+    marks = np.logical_or.reduceat(runs["done"] & _MARK != 0, start)
+    first, several = _anchors(kinds)
+    crowd = np.repeat((several > GROUP) | np.logical_or.reduceat(marks, first), several)
+    # A marked kind was asked for where it was marked.
+    asked = np.repeat((several > 1) & np.logical_or.reduceat(open_, first), several) & ~marks
+    if asked.any():
+        yield _asked(kinds[asked], open_[asked], crowd[asked], 1)
+
+
+def _windows(runs: list[tuple[int, int, int, bool, bytes]]) -> np.ndarray:
+    """All windows of (anchor, row, begin, need, bytes) runs."""
+    anchor, row, begin, need, body = zip(*runs)
+    length = np.array([len(x) for x in body])
+    count = length - LENGTH + 1
+    run = np.repeat(np.arange(len(runs)), count)
+    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    out = np.empty(len(run), _WINDOW)
+    out["window"] = Hashes(np.frombuffer(b"".join(body), np.uint8)).all(LENGTH)[(np.cumsum(length) - length)[run] + place]
+    out["begin"] = np.array(begin)[run] + place
+    for name, values in (("anchor", anchor), ("row", row), ("need", need)):
+        out[name] = np.array(values)[run]
+    return out
+
+
+_CUT = "bucket long, anchor long, row long, begin long, lo long, need boolean, body binary, until long, windows binary"
+_CUT_NAMES = [field.split()[0] for field in _CUT.split(", ")]
+_CUT_KINDS = [*[pa.int64()] * 5, pa.bool_(), pa.binary(), pa.int64(), pa.binary()]
+
+
+def _cut_batch(n: int, **columns) -> pa.RecordBatch:
+    arrays = [pa.array(columns[x], t) if x in columns else pa.nulls(n, t) for x, t in zip(_CUT_NAMES, _CUT_KINDS)]
+    return pa.RecordBatch.from_arrays(arrays, names=_CUT_NAMES)
 
 
 def _cut(buckets: int):
-    """The bytes of the runs that are asked for, packed by bucket."""
+    """The bytes of the runs that are asked for, by the bucket of their anchor; of crowds the windows, packed
+    by a bucket of their own. Windows repeated within the task are settled, and only one of them goes on."""
+
+    def deal(crowd: list[tuple]) -> Iterator[pa.RecordBatch]:
+        windows, start, size = _sorted(_windows(crowd), "window")
+        found = windows[np.repeat(size > 1, size) & (windows["need"] != 0)]
+        if len(found):
+            row, begin, until = _merged(found["row"], found["begin"], found["begin"].astype(np.int64) + LENGTH)
+            yield _cut_batch(len(row), bucket=row % buckets, row=row, begin=begin, until=until)
+        sent = windows[start]
+        sent["need"][size > 1] = 0
+        bucket = (sent["window"] % np.uint64(buckets * FINE)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        sent, bucket = sent[order], bucket[order]
+        used, first = np.unique(bucket, return_index=True)
+        yield _cut_batch(len(used), bucket=buckets + used, windows=[_packed(x) for x in np.split(sent, first[1:])])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "anchor", "row", "begin", "lo", "need", "body"]
+        crowd, size = [], 0
         for batch in batches:
             text = batch.column(1).cast(pa.binary())
             out = []
@@ -238,10 +314,18 @@ def _cut(buckets: int):
                 body, row = text[i].as_py(), batch.column(0)[i].as_py()
                 for x in asked:
                     part = body[x["begin"] : x["until"]]
-                    out.append((x["anchor"] % buckets, x["anchor"], row, x["begin"], x["lo"], x["need"], part))
+                    if not x["crowd"]:
+                        out.append((x["anchor"] % buckets, x["anchor"], row, x["begin"], x["lo"], x["need"], part))
+                        continue
+                    crowd.append((x["anchor"], row, x["begin"], x["need"], part))
+                    size += len(part)
+                    if size >= 2 * SEGMENT:
+                        yield from deal(crowd)
+                        crowd, size = [], 0
             if out:
-                kinds = [*[pa.int64()] * 5, pa.bool_(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+                yield _cut_batch(len(out), **dict(zip(names, zip(*out))))
+        if crowd:
+            yield from deal(crowd)
 
     return run
 
@@ -267,9 +351,18 @@ def repeated_windows(group: np.ndarray, text: np.ndarray, window: np.ndarray) ->
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Last passes: windows of the runs of an anchor, by place and blocks. Rows come sorted by anchor."""
+    """Last passes: windows of the runs of an anchor, by place and blocks; those of crowds by their digit.
+    Rows come sorted by bucket and anchor."""
     held: list[tuple] = []
     size = 0
+    packed: list[bytes] = []
+    bucket = None
+
+    def settle() -> Iterator[pa.RecordBatch]:
+        windows, _, size = _sorted(np.concatenate([_unpacked(body, _WINDOW) for body in packed]), "window")
+        found = windows[np.repeat(size > 1, size) & (windows["need"] != 0)]
+        columns = _merged(found["row"], found["begin"], found["begin"].astype(np.int64) + LENGTH)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "begin", "until"])
 
     def flush() -> Iterator[pa.RecordBatch]:
         anchor, row, begin, lo, need, body = zip(*held)
@@ -294,7 +387,18 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "begin", "until"])
 
     for batch in batches:
-        for x in zip(*(batch.column(i).to_pylist() for i in range(1, 7))):
+        covered = batch.filter(batch.column(7).is_valid())
+        if covered.num_rows:
+            yield covered.select(["row", "begin", "until"])
+        dealt = batch.filter(batch.column(8).is_valid())
+        for now, body in zip(dealt.column(0).to_pylist(), dealt.column(8)):
+            if now != bucket and packed:
+                yield from settle()
+                packed = []
+            bucket = now
+            packed.append(body.as_py())
+        whole = batch.filter(batch.column(1).is_valid())
+        for x in zip(*(whole.column(i).to_pylist() for i in range(1, 7))):
             if size >= SEGMENT and x[0] != held[-1][0]:
                 yield from flush()
                 held, size = [], 0
@@ -302,6 +406,8 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(x[5])
     if held:
         yield from flush()
+    if packed:
+        yield from settle()
 
 
 def _finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,11 +448,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     scanned = map_batches(long, _scan(parts), _SCHEMA).repartition(parts, "bucket")
     settled = stage(map_batches(scanned, _settle, _SCHEMA).drop("bucket", "runs"), "settled")
     asked = settled.where("anchor IS NOT NULL")
-    each = asked.groupBy("row").agg(F.collect_list(F.struct("begin", "until", "anchor", "lo", "need")).alias("asked"))
+    each = asked.groupBy("row").agg(F.collect_list(F.struct("begin", "until", "anchor", "lo", "need", "crowd")).alias("asked"))
     wanted = flagged(long, asked, "row").where("maybe").drop("maybe")
     bodies = wanted.join(each, "row").select("row", "text", "asked")
-    schema = "bucket long, anchor long, row long, begin long, lo long, need boolean, body binary"
-    cut = map_batches(bodies, _cut(parts), schema).repartition(parts, "bucket").sortWithinPartitions("anchor")
+    cut = map_batches(bodies, _cut(parts), _CUT).repartition(parts, "bucket").sortWithinPartitions("bucket", "anchor")
     compared = map_batches(cut, _compare, "row long, begin long, until long")
     covered = settled.where("anchor IS NULL").select("row", "begin", "until").union(compared)
     covered = stage(covered, "covered")

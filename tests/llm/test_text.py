@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -134,6 +135,52 @@ def test_repeated_bytes(frame, rows):
     assert repeats.remove_repeats(frame([])).count() == 0
 
 
+def _shared_passage(n, size):
+    """Texts that share a passage of ``size`` bytes between surroundings of their own, some of them copies."""
+    rng = random.Random(11)
+    own = lambda k: "".join(rng.choices("abcdefghij ", k=k))
+    passage = own(size)
+    texts = [own(rng.randint(60, 140)) + passage + own(rng.randint(60, 140)) for _ in range(n)]
+    return [*enumerate(texts), *enumerate(texts[:20], n), (0, texts[0])]
+
+
+def _covered(bodies):
+    seen = collections.Counter(b[i : i + 200] for b in bodies for i in range(len(b) - 199))
+    gone = [[any(seen[b[i : i + 200]] > 1 for i in range(max(0, at - 199), min(at, len(b) - 200) + 1)) for at in range(len(b))]
+            for b in bodies]
+    return [bytes(x for x, g in zip(b, flags) if not g) for b, flags in zip(bodies, gone)]
+
+
+@pytest.mark.parametrize("size", [150, 199, 230])
+def test_repeated_bytes_of_a_crowded_anchor(frame, size):
+    # One task has a crowd of runs for the anchor, another has not; both have runs that are equal.
+    rows = _shared_passage(400, size)
+    docs = frame(rows[:330]).coalesce(1).union(frame(rows[330:]).coalesce(4))
+    want = [(d, kept) for (d, _), kept in zip(rows, _covered([t.encode() for _, t in rows]))]
+    got = [(r.doc_id, bytes(r.kept)) for r in repeats.remove_repeats(docs).collect()]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize(("crowd", "group"), [(256, 4096), (10**9, 100)])
+def test_runs_of_a_crowded_anchor_do_not_meet(monkeypatch, crowd, group):
+    monkeypatch.setattr(repeats, "CROWD", crowd, raising=False)
+    monkeypatch.setattr(repeats, "GROUP", group, raising=False)
+    texts = [t.encode() for _, t in _shared_passage(600, 150)[:600]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], names=["row", "text"])
+    settled = pa.Table.from_batches([b for x in repeats._scan(8)([batch]) for b in repeats._settle([x])])
+    asked = collections.defaultdict(list)
+    for x in settled.to_pylist():
+        if x["anchor"] is not None:
+            asked[x["row"]].append(x)
+    assert len(asked) > 400
+    columns = [pa.array(list(asked)), pa.array([texts[r] for r in asked]), pa.array(list(asked.values()))]
+    cut = [b for b in repeats._cut(8)([pa.RecordBatch.from_arrays(columns, names=["row", "text", "asked"])])]
+    sizes = collections.Counter()
+    for x in pa.Table.from_batches(cut).to_pylist():
+        sizes[x["bucket"]] += len(x["body"] or x.get("windows") or b"")
+    assert max(sizes.values()) < 0.1 * sum(sizes.values())
+
+
 def _edits(pattern, text):
     row = [0] * (len(text) + 1)
     for i, p in enumerate(pattern, 1):
