@@ -7,7 +7,8 @@ sent to its block once. There, DivideSkip finds the links: the short inverted li
 the longest are set aside, and candidates with enough occurrences are probed for the shingles of the long
 ones by binary search. Classes that are already connected are not compared again, so a group of copies
 costs about as many comparisons as it has members. Blocks of bounded size are searched in one task; larger
-ones are cut and the candidate pairs across the cut are compared pair by pair.
+ones are cut. Across a cut, candidates of short lists are compared pair by pair; for what long lists leave
+open, each class is sent once to a search of every two parts, which looks for links between them only.
 """
 
 from __future__ import annotations
@@ -23,19 +24,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.components import components
 from farebox.llm.shingles import WORDS, shingle_sets
-from farebox.llm.tables import flagged, map_batches, slots, stage
+from farebox.llm.tables import flagged, input_parts, map_batches, slots, stage
 from farebox.llm.tokens import portions
 
 # Similarity as a fraction: 100 * shared >= 80 * union.
 NUMERATOR, DENOMINATOR = 4, 5
-# Buckets of the frequency sketch that orders shingles; its size never changes.
-SKETCH_BITS = 18
+# Buckets of the frequency sketch that orders shingles: so many for so many scan tasks, growing with them.
+SKETCH_BITS, SKETCH_TASKS, MOST_BITS = 18, 32, 22
 # Longer posting lists are not paired up but join their members in a block.
 LONG_LIST = 64
 # A candidate pair shares this part of its smaller set among the rare shingles.
 RARE_SHARE = 16
 # Shingles that one task compares at a time.
 BLOCK_SHINGLES = 4_000_000
+# Candidates of a set that are tried one by one before the others are counted together.
+ONE_BY_ONE = 32
 _FLUSH = 250_000
 _POSTING = np.dtype([("key", "<u8"), ("cls", "<i8"), ("n", "<u4")])
 
@@ -59,48 +62,55 @@ def _sets(texts: list[str], size: int) -> list[np.ndarray]:
     return np.split(hashes, ends[:-1])
 
 
-def _describe(size: int):
-    """Per document its class; per task a sketch of how often shingles occur."""
+def sketch_bits(tasks: int) -> int:
+    return min(MOST_BITS, SKETCH_BITS + max(0, -(-tasks // SKETCH_TASKS) - 1).bit_length())
+
+
+def _describe(size: int, bits: int):
+    """Per document its class; per task a sketch of how often shingles occur, in numbered slices."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = np.zeros(1 << bits, np.uint32)
         schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary())])
         for batch in batches:
             for first, part in portions(batch.column(1).to_pylist()):
                 sets = _sets(part, size)
                 every = np.concatenate(sets)
-                sketch += np.bincount((every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+                bucket, count = np.unique((every >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+                sketch[bucket] += count.astype(np.uint32)
                 n, cls = [len(s) for s in sets], [_signature(s) if len(s) else None for s in sets]
                 columns = [batch.column(0).slice(first, len(part)), pa.array(n, pa.int32()), pa.array(cls, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.binary())], schema=schema)
         if sketch.any():
-            row = [pa.nulls(1, t) for t in schema.types[:3]] + [pa.array([sketch.astype("<u4").tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(row, schema=schema)
+            for no, part in enumerate(np.split(sketch.astype("<u4"), len(sketch) >> SKETCH_BITS)):
+                row = [pa.nulls(1, pa.int64()), pa.array([no], pa.int32()), pa.nulls(1, pa.int64()), pa.array([part.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, schema=schema)
 
     return run
 
 
 def _add_sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for body in batch.column(0).to_pylist():
-            counts = np.frombuffer(body, "<u4").astype(np.int64)
-            total = counts if total is None else total + counts
-    if total is not None:
-        kept = np.minimum(total, (1 << 32) - 1).astype("<u4")
-        yield pa.RecordBatch.from_arrays([pa.array([kept.tobytes()], pa.binary())], names=["sketch"])
+        for no, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts = np.frombuffer(body.as_py(), "<u4").astype(np.int64)
+            total[no] = counts + total.get(no, 0)
+    for no, counts in total.items():
+        kept = np.minimum(counts, (1 << 32) - 1).astype("<u4")
+        yield pa.RecordBatch.from_arrays([pa.array([no], pa.int32()), pa.array([kept.tobytes()], pa.binary())], names=["n", "sketch"])
 
 
 def _frequencies(sketches: DataFrame) -> np.ndarray:
     """How often the shingles of a bucket occur where that stands out, else 0.
 
-    The sketches are added in two steps, each a stream of vectors of fixed size.
+    The sketches are added in two steps, each a stream of slices of fixed size.
     """
-    step = map_batches(sketches.repartition(math.isqrt(slots(sketches)) + 1), _add_sketches, "sketch binary")
-    rows = map_batches(step.coalesce(1), _add_sketches, "sketch binary").collect()
+    schema = "n int, sketch binary"
+    step = map_batches(sketches.repartition(math.isqrt(slots(sketches)) + 1), _add_sketches, schema)
+    rows = sorted(map_batches(step.coalesce(1), _add_sketches, schema).collect())
     if not rows:
         return np.zeros(1 << SKETCH_BITS, np.uint32)
-    counts = np.frombuffer(rows[0].sketch, "<u4")
+    counts = np.concatenate([np.frombuffer(row.sketch, "<u4") for row in rows])
     return np.where(counts > 2 * counts.mean() + 8, counts, 0).astype(np.uint32)
 
 
@@ -110,7 +120,7 @@ def _rarest(shingles: np.ndarray, frequency: np.ndarray) -> np.ndarray:
     A partner lacks at most a fifth of the set, so it has that many of any fifth and so many more.
     """
     n = len(shingles)
-    rank = frequency[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    rank = frequency[(shingles >> np.uint64(65 - len(frequency).bit_length())).astype(np.int64)]
     order = np.lexsort((shingles, rank))
     return shingles[order[: n - -(-NUMERATOR * n // DENOMINATOR) + int(least_rare(n))]]
 
@@ -196,8 +206,11 @@ def _match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def link_sets(sets: list[np.ndarray]) -> np.ndarray:
-    """A label per set: the index of the first set that it is connected to by links."""
+def link_sets(sets: list[np.ndarray], side: np.ndarray | None = None, known: np.ndarray | None = None) -> np.ndarray:
+    """A label per set: the index of the first set that it is connected to by links.
+
+    With ``side`` only sets of different sides are compared; sets with equal ``known`` are connected already.
+    """
     n = np.array([len(s) for s in sets], np.int64)
     order = np.argsort(n, kind="stable")
     ranked = [sets[i] for i in order]
@@ -212,6 +225,10 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
     place[by_list] = np.arange(len(token))
     start = np.searchsorted(token[by_list], np.arange(len(tokens)))
     label = np.arange(len(sets))
+    if known is not None:
+        _, first, which = np.unique(known[order], return_index=True, return_inverse=True)
+        label = first[which]
+    side = None if side is None else side[order]
     for q in range(len(sets)):
         own = slice(ends[q] - n[q], ends[q])
         begin, stop = start[token[own]], place[own]
@@ -229,8 +246,12 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
         seen = np.bincount(entries[spot], minlength=q)[:q]
         seen[:smallest] = 0
         found = np.flatnonzero(seen >= max(1, need - aside))
+        if side is not None:
+            found = found[side[found] != side[q]]
+        found = found[label[found] != label[q]]
+        found = found[np.argsort(-seen[found], kind="stable")]
         probes = ranked[q][far]
-        for c in found[np.argsort(-seen[found], kind="stable")]:
+        for c in found[:ONE_BY_ONE]:
             if label[c] == label[q]:
                 continue
             at = np.minimum(np.searchsorted(ranked[c], probes), n[c] - 1)
@@ -238,6 +259,16 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
             if shared >= least_overlap(n[q] + n[c]):
                 low, high = sorted((label[c], label[q]))
                 label[label == high] = low
+        found = found[ONE_BY_ONE:]
+        found = found[label[found] != label[q]]
+        if len(found):
+            size = length[far]
+            spot = np.repeat(begin[far] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            shared = seen + np.bincount(entries[spot], minlength=q)[:q]
+            linked = label[found[shared[found] >= least_overlap(n[q] + n[found])]]
+            if len(linked):
+                joined = np.unique(np.append(linked, label[q]))
+                label[np.isin(label, joined)] = joined[0]
     out = np.empty(len(sets), np.int64)
     # Name each component after its first set in the order given.
     least = np.full(len(sets), len(sets))
@@ -277,6 +308,32 @@ def _search(size: int):
     return run
 
 
+def _meet(size: int):
+    """Links between the two parts of each meeting; its rows come one after the other."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meeting, held = None, []
+
+        def close() -> pa.RecordBatch:
+            cls, part, known, texts = zip(*held)
+            sets = [shingles for _, some in portions(list(texts)) for shingles in _sets(some, size)]
+            names = np.array(cls, np.int64)
+            label = names[link_sets(sets, np.array(part), np.array(known))]
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.array(label)], names=["cls", "label"])
+
+        for batch in batches:
+            for now, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if now != meeting and held:
+                    yield close()
+                    held = []
+                meeting = now
+                held.append(row)
+        if held:
+            yield close()
+
+    return run
+
+
 def _compare(size: int):
     """The pairs (a, b, text of a, text of b) that are similar enough."""
 
@@ -302,7 +359,8 @@ def _enough(found: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def _blocks(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, doc_id, block, whole): blocks of joined classes, cut by family where they are too large."""
+    """(cls, doc_id, block, whole, component, cut, cuts): blocks of joined classes, cut by family where they are
+    too large; two parts together are about as large as a whole one may be."""
     joined = components(edges, "a", "b").withColumnsRenamed({"node": "cls"})
     both = edges.select(F.col("a").alias("cls"), F.col("b").alias("near")).union(edges.select("b", "a"))
     family = both.groupBy("cls").agg(F.min("near").alias("near"))
@@ -310,11 +368,13 @@ def _blocks(edges: DataFrame, classes: DataFrame) -> DataFrame:
     placed = placed.withColumn("family", F.least("cls", "near"))
     total = placed.groupBy("component").agg(F.sum("n").alias("total"))
     crowd = placed.groupBy("component", "family").agg(F.sum("n").alias("crowd"))
-    cuts = F.ceil(F.col("total") / BLOCK_SHINGLES)
-    salts = F.ceil(F.col("crowd") / BLOCK_SHINGLES)
+    cuts = F.when(F.col("total") <= BLOCK_SHINGLES, 1).otherwise(F.ceil(2 * F.col("total") / BLOCK_SHINGLES))
+    salts = F.ceil(2 * F.col("crowd") / BLOCK_SHINGLES)
     cut = F.when(cuts == 1, 0).otherwise(F.pmod(F.xxhash64("family", F.pmod(F.xxhash64("cls"), salts)), cuts))
     sized = placed.join(total, "component").join(crowd, ["component", "family"])
-    return sized.select("cls", "doc_id", F.xxhash64("component", cut).alias("block"), (cuts == 1).alias("whole"))
+    block = F.xxhash64("component", cut)
+    where = [block.alias("block"), (cuts == 1).alias("whole"), "component", cut.alias("cut"), cuts.alias("cuts")]
+    return sized.select("cls", "doc_id", *where)
 
 
 def similar_classes(
@@ -331,8 +391,9 @@ def similar_classes(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = slots(docs)
-    described = stage(map_batches(rows, _describe(size), "doc_id long, n int, cls long, sketch binary"), "described")
-    frequency = _frequencies(described.where("sketch IS NOT NULL").select("sketch"))
+    describe = _describe(size, sketch_bits(input_parts(docs)))
+    described = stage(map_batches(rows, describe, "doc_id long, n int, cls long, sketch binary"), "described")
+    frequency = _frequencies(described.where("sketch IS NOT NULL").select("n", "sketch"))
     members = described.where("sketch IS NULL").drop("sketch")
     classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     posted = map_batches(rows.select("text"), _post(size, frequency, parts), "bucket int, postings binary")
@@ -350,13 +411,14 @@ def similar_classes(
     blocks = stage(_blocks(stage(pairs.union(spokes.distinct()), "edges"), classes), "blocks")
     # The blocks grow with the documents, so the text side never relies on a broadcast of them.
     wanted = flagged(rows, blocks, "doc_id").where("maybe").drop("maybe")
-    found = wanted.join(blocks.hint("merge"), "doc_id").select("block", "cls", "text")
-    sent = found.repartition(parts, "block").sortWithinPartitions("block")
+    found = wanted.join(blocks.hint("merge"), "doc_id").select("block", "cls", "text", "whole")
+    sent = found.drop("whole").repartition(parts, "block").sortWithinPartitions("block")
     labels = stage(map_batches(sent, _search(size), "cls long, label long"), "labels")
     # A block that is whole has its final labels; parts of a cut one are joined up once more.
     joined = labels.withColumnsRenamed({"label": "component"})
     if not blocks.where("NOT whole").isEmpty():
-        bodies = stage(map_batches(found, _only_class(size), "cls long, text string").dropDuplicates(["cls"]), "bodies")
+        parted = found.where("NOT whole").drop("whole")
+        bodies = stage(map_batches(parted, _only_class(size), "cls long, text string").dropDuplicates(["cls"]), "bodies")
         across = _across(blocks.where("NOT whole"), labels, pairs, lists, bodies, size)
         joined = components(labels.union(across), "cls", "label").withColumnsRenamed({"node": "cls"})
     named = classes.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
@@ -386,9 +448,10 @@ def _across(
     """Links between the parts of blocks that were cut, as (cls, label) rows.
 
     Candidates that are in one part have been compared, connected ones need not be. Long lists are first
-    tried along a chain of one member per label; what that connects leaves few pairs to try in full.
+    tried along a chain of one member per label. Members of lists that this leaves open are sent once to every
+    meeting of their part with another part of the block.
     """
-    at = cut.join(labels, "cls").select("cls", "block", "label")
+    at = cut.join(labels, "cls").select("cls", "block", "label", "component", "cut", "cuts")
 
     def differing(candidates: DataFrame, now: DataFrame) -> DataFrame:
         left = now.select(F.col("cls").alias("a"), F.col("block").alias("ba"), F.col("label").alias("la"))
@@ -407,9 +470,14 @@ def _across(
     ).where("b IS NOT NULL")
     first = linked(differing(pairs.union(chain), at))
     joined = components(labels.union(first), "cls", "label").withColumnsRenamed({"node": "cls"})
-    now = stage(at.join(joined, "cls", "left").select("cls", "block", F.coalesce("component", "label").alias("label")), "now")
+    joined = joined.withColumnRenamed("component", "joined")
+    now = at.join(joined, "cls", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined", "block")
+    now = stage(now, "now")
     mixed = lists.join(now, "cls").groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h")
-    open_lists = lists.join(mixed.select("key"), "key").join(now, "cls")
-    other = open_lists.select("key", F.col("cls").alias("b"), F.col("label").alias("lb"), F.col("block").alias("bb"))
-    rest = open_lists.withColumnRenamed("cls", "a").join(other, "key").where("a < b AND label <> lb AND block <> bb")
-    return first.union(linked(rest.select("a", "b").distinct()))
+    open_ = now.join(lists.join(mixed.select("key"), "key").select("cls").distinct(), "cls")
+    met = open_.join(bodies, "cls").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    meeting = F.xxhash64("component", F.least("cut", "other"), F.greatest("cut", "other")).alias("meeting")
+    sent = met.where("other <> cut").select(meeting, "cls", "cut", "label", "text")
+    sent = sent.repartition(slots(bodies), "meeting").sortWithinPartitions("meeting")
+    found = map_batches(sent, _meet(size), "cls long, label long").where("cls <> label")
+    return first.union(stage(found, "meetings"))

@@ -113,6 +113,62 @@ def test_jaccard_classes(frame, rows, monkeypatch, block, long):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def _template_sets(n):
+    """Sets that share a template, most pairs of them just below the similarity and a few above it."""
+    rng = np.random.default_rng(2)
+    template = rng.integers(1, 1 << 62, 90, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([template, rng.integers(1, 1 << 62, rng.integers(9, 26), dtype=np.uint64)])) for _ in range(n)]
+    return sets + [np.append(sets[0], np.uint64(1 << 63)), sets[1][:-2]]
+
+
+def _linked(sets, compared=lambda i, j: True):
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            shared = len(np.intersect1d(a, b))
+            if compared(i, j) and 5 * shared >= 4 * (len(a) + len(b) - shared):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_links_of_many_candidates_and_between_sides():
+    sets = _template_sets(150)
+    assert jaccard_join.link_sets(sets).tolist() == _linked(sets)
+    side = np.arange(len(sets)) % 2
+    assert jaccard_join.link_sets(sets, side, np.arange(len(sets))).tolist() == _linked(sets, lambda i, j: side[i] != side[j])
+    assert set(jaccard_join.link_sets(sets, side, np.zeros(len(sets), int))) == {0}
+
+
+def test_open_lists_across_a_cut_are_no_pairs(frame, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 3000)
+    compared, plain = [], jaccard_join.map_batches
+
+    def counting(df, function, schema):
+        if schema == "a long, b long":
+            compared.append(df.count())
+        return plain(df, function, schema)
+
+    monkeypatch.setattr(jaccard_join, "map_batches", counting)
+    rng = random.Random(4)
+    own = lambda k: [f"w{rng.random()}" for _ in range(k)]
+    template = own(88)
+    texts = [" ".join(template + own(rng.randint(9, 26))) for _ in range(200)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    label = list(range(200))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and label[i] != label[j]:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_classes(frame([*enumerate(texts)])).collect()}
+    assert got == dict(enumerate(label))
+    assert sum(compared) < 20 * len(texts)
+
+
+def test_the_sketch_grows_with_the_input():
+    assert [jaccard_join.sketch_bits(n) for n in (1, 32, 33, 64, 200, 10**6)] == [18, 18, 19, 19, 21, 22]
+
+
 def test_jaccard_of_nothing(frame):
     assert jaccard_join.similar_classes(frame([])).count() == 0
 
