@@ -1,6 +1,7 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment.
 
-Benchmark items are cut into overlapping probes. A text region within ``e`` edits of a probe of ``m``
+Benchmark items are cut into overlapping probes: long ones, which bear most edits, and short ones close
+together, which an excerpt holds whole. A text region within ``e`` edits of a probe of ``m``
 bytes shares at least ``m - q + 1 - e * q`` of its q-grams with it, on diagonals that lie within ``e`` of
 each other. Shared q-grams are counted per probe in overlapping bands of diagonals, twice as wide as
 that and half a band apart, so one band holds them all. Bands with enough are aligned, and only in their
@@ -19,8 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 from farebox.llm.tables import map_batches
 from farebox.llm.tokens import portions
 
-Q = 12
+# So short that a probe with all its edits still shares a q-gram, whatever its length.
+Q = 10
 PROBE_BYTES = 192
+# Short probes: two fifths of the item up to so many bytes, at most a quarter of that apart.
+PASSAGE_BYTES = 64
 SHORTEST = 32
 # One edit in so many bytes.
 BYTES_PER_EDIT = 16
@@ -53,13 +57,23 @@ def _hashes(text: np.ndarray) -> np.ndarray:
         return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def _parts(text: bytes, size: int, apart: int) -> list[tuple[int, bytes]]:
+    """Evenly placed parts of ``size`` bytes, at most ``apart`` from each other."""
+    n = -(-(len(text) - size) // apart) + 1
+    starts = [round(k * (len(text) - size) / max(n - 1, 1)) for k in range(n)]
+    return [(at, text[at : at + size]) for at in starts]
+
+
 def probes_of(text: bytes) -> list[tuple[int, bytes]]:
-    """(start, bytes) of the probes of an item: it all, or evenly placed overlapping parts."""
-    if len(text) <= PROBE_BYTES:
-        return [(0, text)] if len(text) >= SHORTEST else []
-    n = -(-2 * (len(text) - PROBE_BYTES) // PROBE_BYTES) + 1
-    starts = [round(k * (len(text) - PROBE_BYTES) / (n - 1)) for k in range(n)]
-    return [(at, text[at : at + PROBE_BYTES]) for at in starts]
+    """(start, bytes) of the probes of an item: it all, or long parts, and short ones.
+
+    An excerpt of half an item of 80 bytes or more, or of 80 bytes of any, holds a short one whole.
+    """
+    if len(text) < SHORTEST:
+        return []
+    long = _parts(text, min(len(text), PROBE_BYTES), PROBE_BYTES // 2)
+    size = min(PASSAGE_BYTES, max(SHORTEST, 2 * len(text) // 5))
+    return long + [x for x in _parts(text, size, size // 4) if x not in long]
 
 
 def align(probe: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:

@@ -274,6 +274,24 @@ def test_leaks(spark, frame):
     assert decontaminate.find_leaks(frame(docs), benchmark.limit(0)).count() == 0
 
 
+def test_excerpts_from_the_middle_of_items():
+    rng = random.Random(6)
+    items = ["".join(rng.choices("abcdefghij ", k=n)).strip("  ").replace("  ", " b") for n in (82, 95, 118, 160, 240, 394, 900)]
+    index = decontaminate.Index.build([(no, item.encode()) for no, item in enumerate(items)])
+    texts, want = ["nothing of them " * 20], set()
+    for no, item in enumerate(items):
+        for percent in (50, 70, 80, 88):
+            size = -(-len(item) * percent // 100)
+            for at in ((len(item) - size) // 2, (len(item) - size) // 3):
+                want.add((len(texts), no))
+                texts.append("Other words " + item[at : at + size] + " and more of them")
+    assert {hit[:2] for hit in index.search(texts)} == want
+    for n in range(decontaminate.SHORTEST, 500):
+        for _, probe in decontaminate.probes_of(bytes(n)):
+            edits = len(probe) // decontaminate.BYTES_PER_EDIT
+            assert len(probe) - decontaminate.Q + 1 - edits * decontaminate.Q >= 1
+
+
 def test_language(spark, frame):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = language_id.fit(docs.where("doc_id % 4 <> 2"))
