@@ -53,9 +53,9 @@ def _hash(dictionary: bytes) -> str:
 def train_dictionary(
     docs: DataFrame, tokenizer: str, cut: Callable = spaced_words, end_id: int = 0, size: int = DICTIONARY_BYTES
 ) -> bytes:
-    """A dictionary from about ``SAMPLE_DOCS`` documents, those whose hashed id is below a limit.
+    """A dictionary from at most ``SAMPLE_DOCS`` documents, those with the least hashes of id and text.
 
-    Of each, the first ``SAMPLE_IDS`` ids are used. Empty when the sample is too small to train on.
+    Copies count once. Of each, the first ``SAMPLE_IDS`` ids are used. Empty when the sample is too small to train on.
     """
 
     def serialise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +66,12 @@ def train_dictionary(
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int(share * (1 << 32)))
+    spread = F.xxhash64("doc_id", "text")
     # A prefix of the text yields the prefix of the ids that is used; a token has few characters.
-    start = chosen.select(F.substring("text", 1, 16 * SAMPLE_IDS).alias("text"))
+    chosen = docs.select(spread.alias("spread"), F.substring("text", 1, 16 * SAMPLE_IDS).alias("text"))
+    # Twice the share, so that the limit and not chance sets the size.
+    few = chosen.where(F.pmod("spread", F.lit(1 << 32)) < int(min(1.0, 2 * share) * (1 << 32))).dropDuplicates(["spread"])
+    start = few.orderBy(F.pmod("spread", F.lit(1 << 32)), "spread").limit(SAMPLE_DOCS).select("text").repartition(slots(docs))
     sample = [bytes(r.ids) for r in map_batches(start, serialise, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, sorted(sample)).as_bytes()
@@ -92,7 +95,8 @@ def _writer(tokenizer: str, cut: Callable, end_id: int, dictionary: bytes):
         def close() -> pa.RecordBatch:
             nonlocal made, start
             total = sum(counts)
-            row = [part, made, start, total, docs[0], docs[-1], name, docs[:], counts[:], ends[:], bytes(payload)]
+            known = next((doc_id for doc_id in docs if doc_id is not None), None)
+            row = [part, made, start, total, known, docs[-1], name, docs[:], counts[:], ends[:], bytes(payload)]
             made, start = made + 1, start + total
             for held in (docs, counts, ends, payload):
                 held.clear()

@@ -92,6 +92,24 @@ def test_token_files(spark, frame, rows, tmp_path):
     assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_token_files_with_many_null_ids(spark, frame, tmp_path, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = frame([(None, f"no id {n}") for n in range(1500)] + [(7, "copy")] * 1500 + [(12, "some text")]).coalesce(1)
+    sampled, plain = [], token_files.map_batches
+
+    def counting(df, function, schema):
+        if schema == "ids binary":
+            sampled.append(df.count())
+        return plain(df, function, schema)
+
+    monkeypatch.setattr(token_files, "map_batches", counting)
+    token_files.write_token_files(docs, str(tmp_path / "f"), path)
+    assert sampled and sampled[0] <= token_files.SAMPLE_DOCS
+    few = [(None, "no id"), (12, "some text")]
+    token_files.write_token_files(frame(few).coalesce(1), str(tmp_path / "g"), path)
+    assert [r.doc_id for r in token_files.read_some(spark, str(tmp_path / "g"), [12]).collect()] == [12]
+
+
 @pytest.mark.parametrize(("block", "long"), [(4_000_000, 64), (300, 3)])
 def test_jaccard_classes(frame, rows, monkeypatch, block, long):
     monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
