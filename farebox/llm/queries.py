@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from farebox.llm import chat_tools, decontaminate, jaccard_join, language_id, packing, quality_ledger, repeats, secret_scan, sql, token_files, url_filter
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from farebox.llm import (
+    chat_tools,
+    decontaminate,
+    fill_middle,
+    jaccard_join,
+    language_id,
+    mixing,
+    packing,
+    periodic_runs,
+    quality_ledger,
+    repeats,
+    secret_scan,
+    sql,
+    token_files,
+    url_filter,
+)
 from farebox.llm.tables import read_table
 from farebox.sources.scratch import scratch_path
 
@@ -149,6 +164,55 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """A tenth of the texts end in a loop: from some word on, a few words again and again."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    n = F.size(words).cast("long")
+    start = g % n
+    period = 1 + F.floor((n - start) / (3 + g % 8))
+    again = F.transform(F.sequence(start, n - 1), lambda i: F.get(words, (start + (i - start) % period).cast("int")))
+    loop = F.array_join(F.concat(F.slice(words, 1, start.cast("int")), again), " ")
+    return F.when((h % 10 == 0) & F.rlike(text, F.lit(r"[^\x20\x09-\x0D]")), loop).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which loop, and what is left without them.
+
+    A null id has no decimal form, so its text is taken as it is.
+    """
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = docs.withColumn("text", looped(F.col("text"), F.col("doc_id")))
+    found = periodic_runs.find_runs(docs)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    best = F.array_max(ranked)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length DIV -best.col3").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of all sources takes."""
+    mix = mixing.mix_sources(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mix.select("doc_id", "size", "source_size", "target", taken, "copies", "source")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three at line ends and rearranged, and the text rebuilt from that."""
+    return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), with_output=False)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -160,10 +224,14 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_token_files": op9_token_files,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_mix": op12_source_mix,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLES = {
     "op2_url_filter": sql.URL_FILTER,
     "op5_quality_rules": sql.QUALITY_RULES,
     "op6_secret_scan": sql.SECRET_SCAN,
     "op7_tool_calls": sql.TOOL_CALLS,
+    "op13_fill_in_middle": sql.FILL_IN_MIDDLE,
 }

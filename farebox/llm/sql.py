@@ -145,3 +145,33 @@ SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, call_id, coalesce(c.turn, a.tu
     ELSE json_object('arguments', json_object('instructions', c.text), 'id', call_id, 'name', 'configure',
       'result', a.text) END::VARCHAR AS line
 FROM e"""
+
+
+# The text is put together again from the output: the marks are found there, the parts lie between them.
+FILL_IN_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256(concat('7:', coalesce(doc_id::VARCHAR, ''))) AS h
+  FROM documents),
+x AS (
+  SELECT *, len(units) AS n, [('0x' || h[1 + 8 * k : 8 + 8 * k])::BIGINT FOR k IN range(4)] AS draw FROM d),
+c AS (
+  SELECT *, least(draw[1] % (n + 1), draw[2] % (n + 1)) AS low, greatest(draw[1] % (n + 1), draw[2] % (n + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR draw[3] % 100 >= 100
+      THEN 'plain' WHEN draw[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM x),
+p AS (
+  SELECT *, coalesce(array_to_string(units[1 : low], ''), '') AS pre, coalesce(array_to_string(units[low + 1 : high], ''), '') AS mid,
+    coalesce(array_to_string(units[high + 1 : n], ''), '') AS suf
+  FROM c),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+    ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END AS output FROM p),
+r AS (
+  SELECT *, strpos(output, CASE form WHEN 'psm' THEN '<S>' ELSE '<P>' END) AS two, strpos(output, '<M>') AS three FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars, sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN concat(substr(output, 4, two - 4), substr(output, three + 3), substr(output, two + 3, three - two - 3))
+    ELSE concat(substr(output, two + 3, three - two - 3), substr(output, three + 3), substr(output, 4, two - 4)) END) AS restored_sha256
+FROM r"""
