@@ -172,8 +172,10 @@ def looped(text: Column, doc_id: Column) -> Column:
     n = F.size(words).cast("long")
     start = g % n
     period = 1 + F.floor((n - start) / (3 + g % 8))
-    again = F.transform(F.sequence(start, n - 1), lambda i: F.get(words, (start + (i - start) % period).cast("int")))
-    loop = F.array_join(F.concat(F.slice(words, 1, start.cast("int")), again), " ")
+    # No lambda here: its body would take the text apart again for every word.
+    turn = F.slice(words, (start + 1).cast("int"), period.cast("int"))
+    turns = F.flatten(F.array_repeat(turn, F.ceil((n - start) / period).cast("int")))
+    loop = F.array_join(F.slice(F.concat(F.slice(words, 1, start.cast("int")), turns), 1, n.cast("int")), " ")
     return F.when((h % 10 == 0) & F.rlike(text, F.lit(r"[^\x20\x09-\x0D]")), loop).otherwise(text)
 
 
