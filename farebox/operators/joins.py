@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from farebox.functions.measures import mean
 from farebox.functions.timeparts import hour_bucket
@@ -63,18 +64,36 @@ def lookup_join(
     return fact.join(side, F.col(fact_key) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
+def summary_of(name: str, kind: T.DataType) -> Column:
+    """What stands for several values of a column: their mean, whether any holds, the latest, or the only one.
+
+    Numbers are averaged. Times give the latest and flags are true if one is. Of texts the value counts
+    that all rows agree on; where they differ there is none.
+    """
+    c = F.col(name)
+    if isinstance(kind, T.NumericType):
+        return mean(c).alias(name)
+    if isinstance(kind, T.BooleanType):
+        return F.bool_or(c).alias(name)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.max(c).alias(name)
+    return F.when(F.min(c) == F.max(c), F.min(c)).alias(name)
+
+
 def reduce_per_area_hour(
-    measurements: DataFrame, area: str, time: str, measures: Sequence[str]
+    measurements: DataFrame, area: str, time: str, measures: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per area and hour: the mean of each measure and the number of measurements.
+    """One row per area and hour: a summary of each measure by its type, and the number of measurements.
 
     Several stations may report for one area and hour; joining them as they are
-    would repeat each fact row once per station.
+    would repeat each fact row once per station. Without ``measures`` all columns are taken.
     """
+    kinds = {f.name: f.dataType for f in measurements.schema.fields if f.name not in (area, time)}
+    wanted = kinds if measures is None else measures
     return (
         measurements.filter(F.col(area).isNotNull() & F.col(time).isNotNull())
         .groupBy(area, time)
-        .agg(*[mean(F.col(m)).alias(m) for m in measures], F.count("*").alias("measurements"))
+        .agg(*[summary_of(m, kinds[m]) for m in wanted], F.count("*").alias("measurements"))
     )
 
 

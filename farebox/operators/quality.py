@@ -7,6 +7,8 @@ side. A key that holds a third of the table is therefore no hot spot.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -42,6 +44,31 @@ def quality_gate(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (
     return one_row_per_key(drop_null_keys(df, keys), keys, order)
 
 
+COPIES = "_copies"
+
+
+def graded_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, as ``one_row_per_key`` chooses it, and in ``_copies`` how many rows had that key.
+
+    Keys with a NULL are there too, for the caller to count and put aside (``null_key``). So one
+    grouping gives the rows to keep and everything there is to count. Without keys, whole rows are the
+    key. Rows are reduced per task before they are shuffled.
+    """
+    if not keys:
+        return df.groupBy(*df.columns).agg(F.count("*").alias(COPIES))
+    rest = [c for c in df.columns if c not in keys]
+    # NULL after any value: the flag in front decides.
+    ranked = [part for c in rest for part in (F.col(c).isNull().alias(f"null_{c}"), F.col(c).alias(c))]
+    first = [F.min(F.struct(*ranked)).alias("_first")] if rest else []
+    groups = df.groupBy(*keys).agg(*first, F.count("*").alias(COPIES))
+    return groups.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns], COPIES)
+
+
+def null_key(keys: Sequence[str]) -> Column:
+    """Whether a row lacks a part of its key."""
+    return functools.reduce(operator.or_, [F.col(k).isNull() for k in keys], F.lit(False))
+
+
 def quality_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows processed, rejected for a NULL key, rejected as duplicate, and kept.
 
@@ -50,14 +77,12 @@ def quality_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     read (all of them without a key).
     """
     groups = df.groupBy(*(keys or df.columns)).agg(F.count("*").alias("copies"))
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
+    lacking = null_key(keys)
     return (
         groups.agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("processed"),
-            F.coalesce(F.sum(F.when(null_key, F.col("copies"))), F.lit(0)).alias("null_key"),
-            F.count_if(~null_key).alias("kept"),
+            F.coalesce(F.sum(F.when(lacking, F.col("copies"))), F.lit(0)).alias("null_key"),
+            F.count_if(~lacking).alias("kept"),
         )
         .withColumn("duplicate", F.col("processed") - F.col("null_key") - F.col("kept"))
         .select("processed", "null_key", "duplicate", "kept")

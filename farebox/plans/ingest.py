@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterable
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from farebox.operators.conform import (
@@ -17,10 +17,10 @@ from farebox.operators.conform import (
     schema_fingerprint,
     standardize_columns,
 )
-from farebox.operators.quality import quality_counts, quality_gate
+from farebox.operators.quality import COPIES, graded_rows, null_key
 from farebox.sources.descriptor import DatasetSpec
 from farebox.sources.readers import read_raw
-from farebox.sources.tables import Table
+from farebox.sources.tables import WRITE, Change, Table
 
 
 @dataclass(frozen=True)
@@ -62,31 +62,47 @@ def conform(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     return derive_values(require_schema(df, spec), spec)
 
 
-def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table, batch: int = 0) -> IngestRecord:
-    """Conform, check and store one frame as a batch of ``table``."""
+_COUNTED = T.StructType([T.StructField(COPIES, T.LongType())])
+
+
+def ingest_into(change: Change, df: DataFrame, spec: DatasetSpec, batch: int) -> IngestRecord:
+    """Conform, check and store one frame as a batch of a change that is published later.
+
+    The frame is read once. One grouping by key gives the rows to keep with the number of their copies
+    and those without a key; both are written by the same job, and the counts are taken from what it wrote.
+    """
     started = time.monotonic()
     conformed = conform(df, spec)
-    clean = quality_gate(conformed, spec.primary_keys)
-    table.write_batch(clean, batch)
-    kept = table.read(as_of=batch, since=batch - 1).count()
-    if spec.primary_keys:
-        counts = quality_counts(conformed.select(*spec.primary_keys), spec.primary_keys).first()
-        processed, null_key = counts["processed"], counts["null_key"]
-    else:
-        # Counting rows reads no column, so this needs no pass over the data.
-        processed, null_key = df.count(), 0
+    graded = graded_rows(conformed, spec.primary_keys)
+    aside = null_key(spec.primary_keys) if spec.primary_keys else None
+    rows, rejects = change.put(graded, batch, beside=[COPIES], aside=aside)
+    counted = change.stored(batch, [rows, rejects], _COUNTED).agg(
+        F.count_if(F.col(WRITE) == rows).alias("kept"),
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("processed"),
+        F.coalesce(F.sum(F.when(F.col(WRITE) == rejects, F.col(COPIES))), F.lit(0)).alias("null_key"),
+    )
+    kept, processed, lacking = counted.first()
+    change.discard(batch, rejects)
     return IngestRecord(
         dataset=spec.name,
         processed_records=processed,
         rejected_records=processed - kept,
-        null_key_records=null_key,
-        duplicate_records=processed - null_key - kept,
+        null_key_records=lacking,
+        duplicate_records=processed - lacking - kept,
         final_records=kept,
         execution_time_seconds=round(time.monotonic() - started, 2),
-        schema_version=schema_fingerprint(clean.schema),
+        schema_version=schema_fingerprint(conformed.schema),
     )
 
 
+def ingest_frame(df: DataFrame, spec: DatasetSpec, table: Table, batch: int = 0) -> IngestRecord:
+    """Conform, check and store one frame as a batch of ``table``."""
+    change = table.change()
+    record = ingest_into(change, df, spec, batch)
+    change.publish()
+    return record
+
+
 def ingest_dataset(spark: SparkSession, spec: DatasetSpec, table: Table, batch: int = 0) -> IngestRecord:
     return ingest_frame(read_raw(spark, spec), spec, table, batch)
 
@@ -94,30 +110,24 @@ def ingest_dataset(spark: SparkSession, spec: DatasetSpec, table: Table, batch:
 def ingest_all(
     spark: SparkSession, specs: Iterable[DatasetSpec], table_of: Callable[[str], Table]
 ) -> list[IngestRecord]:
-    """Load every dataset in full, in place of what its table held; those that share a table become its batches."""
-    loaded: dict[str, int] = {}
+    """Load every dataset in full, in place of what its table held; those that share a table become its batches.
+
+    A table shows its old rows until all of its datasets are loaded, and from then on only the new ones.
+    """
+    changes: dict[str, Change] = {}
     records = []
     for spec in specs:
         table = table_of(spec.name)
-        if table.path in loaded:
-            batch = loaded[table.path] + 1
-            records.append(ingest_dataset(spark, spec, table, batch))
-        else:
-            batch, record = load_afresh(spark, spec, table)
-            records.append(record)
-        loaded[table.path] = batch
+        if table.path not in changes:
+            changes[table.path] = table.change()
+            changes[table.path].start_at(changes[table.path].next_batch())
+        change = changes[table.path]
+        records.append(ingest_into(change, read_raw(spark, spec), spec, change.next_batch()))
+    for change in changes.values():
+        change.publish()
     return records
 
 
-def load_afresh(spark: SparkSession, spec: DatasetSpec, table: Table) -> tuple[int, IngestRecord]:
-    """A full load: once it is complete, none of the batches before it counts. Returns its batch as well."""
-    version = table.version()
-    batch = 0 if version is None else version + 1
-    if batch:
-        table.start_at(batch)
-    return batch, ingest_dataset(spark, spec, table, batch)
-
-
 def ingest_log(spark: SparkSession, records: Iterable[IngestRecord]) -> DataFrame:
     rows = [tuple(asdict(r)[f] for f in INGEST_LOG_SCHEMA.names) for r in records]
     return spark.createDataFrame(rows, INGEST_LOG_SCHEMA)

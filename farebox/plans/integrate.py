@@ -16,7 +16,6 @@ from farebox.sources.scratch import stage
 
 AREA, AREA_TIME = "county_name", "datetime_local"
 HOME_STATE = "36"
-MEASURES = ("sample_measurement",)
 
 
 def with_hour(trips: DataFrame) -> DataFrame:
@@ -41,12 +40,12 @@ def home_state(air: DataFrame, state_code: str = HOME_STATE) -> DataFrame:
     return air.filter(F.col("state_code") == state_code)
 
 
-def air_per_area_hour(air: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+def air_per_area_hour(air: DataFrame, measures: Sequence[str] | None = None) -> DataFrame:
     """The side of the air-quality join with one row per area and hour."""
     return reduce_per_area_hour(home_state(air), AREA, AREA_TIME, measures)
 
 
-def staged_air(air: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+def staged_air(air: DataFrame, measures: Sequence[str] | None = None) -> DataFrame:
     """``air_per_area_hour`` written to scratch.
 
     The planner cannot tell how far the reduction shrinks the measurements and
@@ -66,12 +65,12 @@ def integrate(
     zones: DataFrame,
     air: DataFrame,
     per_trip: str = "one",
-    measures: Sequence[str] = MEASURES,
+    measures: Sequence[str] | None = None,
 ) -> DataFrame:
     """Trips with weather, zones and air quality.
 
-    ``per_trip="one"`` keeps the trip grain: air quality is the mean over the
-    stations of the area and hour. ``per_trip="many"`` repeats a trip for every
+    ``per_trip="one"`` keeps the trip grain: each air-quality column (or each of ``measures``) is a
+    summary over the stations of the area and hour. ``per_trip="many"`` repeats a trip for every
     station row, with all station columns; demand counted on it counts stations
     too. To get such counts without repeating any row, add up ``station_rows``
     over the trip-grain table.

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from farebox.functions.timeparts import hour_bucket, month_bucket, weekday_name
+from farebox.functions.timeparts import day_bucket, hour_bucket, month_bucket, weekday_name
 from farebox.operators.mergeable import Measure, merge_state, partial_state, present_state
 from farebox.operators.summaries import is_wet
-from farebox.sources.tables import Table
+from farebox.sources.tables import BATCH, Table
 
 PROVENANCE = ("data_source", "creation_time", "refresh_time", "schema_version")
-THROUGH = "_through_version"
-"""Version of the trip table that a stored product covers."""
+DAY = "day_timestamp"
+PER_DAY = {DAY: T.TimestampType()}
+"""Partitions of a stored product: the state of each day lies by itself and is replaced when the day changes."""
 PICKUP = "tpep_pickup_datetime"
 
 
@@ -28,8 +31,6 @@ class ProductSpec:
     depends_on: frozenset[str]
     required: tuple[str, ...] = ()
     """Source columns that must not be NULL."""
-    from_new_trips: bool = False
-    """Whether new trips alone are enough to bring it up to date."""
     relabel: Mapping[str, Callable[[str], Column]] | None = None
     """Key columns that get their readable form after grouping."""
 
@@ -43,7 +44,6 @@ ZONE_STATISTICS = ProductSpec(
     keys={"pu_zone": lambda: F.col("pu_zone"), "month": lambda: month_bucket(F.col(PICKUP))},
     measures=(Measure("trip_distance", "trip_distance", 0, 0), Measure("fare_amount", "fare_amount", 0, 0)),
     depends_on=frozenset({"trips", "zones"}),
-    from_new_trips=True,
 )
 WEATHER_SUMMARY = ProductSpec(
     name="weather_impact_summary",
@@ -67,30 +67,29 @@ MOBILITY_SUMMARY = ProductSpec(
     keys={"pickup_hour": lambda: F.hour(PICKUP), "day_of_week": lambda: F.weekday(PICKUP)},
     measures=(Measure("trip_distance", "trip_distance", 0, 0),),
     depends_on=frozenset({"trips"}),
-    from_new_trips=True,
     relabel={"day_of_week": lambda c: weekday_name(F.col(c))},
 )
 PRODUCTS = {p.name: p for p in (ZONE_STATISTICS, WEATHER_SUMMARY, AIR_SUMMARY, MOBILITY_SUMMARY)}
 
 
 def product_state(trips: DataFrame, spec: ProductSpec) -> DataFrame:
-    """Mergeable state of a product over the given trips. The scan reads only the named columns."""
+    """Mergeable state of a product over the given trips, per day. The scan reads only the named columns."""
     rows = trips.dropna(subset=list(spec.required)) if spec.required else trips
+    day = F.col(DAY) if DAY in trips.columns else day_bucket(F.col(PICKUP))
     rows = rows.select(
+        day.alias(DAY),
         *[expression().alias(name) for name, expression in spec.keys.items()],
         *[F.col(m.column).alias(m.column) for m in spec.measures],
     )
-    state = partial_state(rows, spec.key_names, spec.measures)
+    state = partial_state(rows, [DAY, *spec.key_names], spec.measures)
     if spec.relabel:
         state = state.withColumns({k: label(k) for k, label in spec.relabel.items()})
     return state
 
 
 def present(state: DataFrame, spec: ProductSpec) -> DataFrame:
-    """The product as readers see it; provenance columns are kept when there."""
-    kept = [c for c in PROVENANCE if c in state.columns]
-    shown = present_state(state, [*spec.key_names, *kept], spec.measures)
-    return shown.select(*[c for c in shown.columns if c not in kept], *kept)
+    """The product as readers see it: the states of all days, added up."""
+    return present_state(merge_state([state], spec.key_names, spec.measures), spec.key_names, spec.measures)
 
 
 def build_product(trips: DataFrame, spec: ProductSpec) -> DataFrame:
@@ -100,58 +99,52 @@ def build_product(trips: DataFrame, spec: ProductSpec) -> DataFrame:
 # -- provenance --------------------------------------------------------------
 
 
-def with_provenance(
-    df: DataFrame, source: str, created: str | None = None, version: float = 1.0
-) -> DataFrame:
-    """Add where a product comes from, when it was made and refreshed, and its version."""
-    creation = F.current_timestamp() if created is None else F.lit(created).cast("timestamp")
-    return df.withColumns(
-        {
-            "data_source": F.lit(source),
-            "creation_time": creation,
-            "refresh_time": F.current_timestamp(),
-            "schema_version": F.lit(f"{version:.1f}"),
-        }
-    )
+def next_provenance(before: Mapping[str, object], source: str) -> dict[str, str]:
+    """Where the next state of a product comes from: creation time kept, version one higher."""
+    now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    version = float(before.get("schema_version", 0.0)) + 1.0
+    values = source, before.get("creation_time", now), now, f"{version:.1f}"
+    return dict(zip(PROVENANCE, values))
 
 
-def provenance_of(table: Table) -> tuple[str | None, float]:
-    """Creation time (as text) and version of a stored product; ``(None, 0.0)`` when it does not exist."""
-    if table.version() is None:
-        return None, 0.0
-    created = F.col("creation_time").cast("string").alias("creation_time")
-    row = table.read_latest().select(created, "schema_version").limit(1).first()
-    return (row["creation_time"], float(row["schema_version"])) if row else (None, 0.0)
+def with_provenance(df: DataFrame, provenance: Mapping[str, str]) -> DataFrame:
+    """Add where a product comes from, when it was made and refreshed, and its version."""
+    times = {c: F.lit(datetime.fromisoformat(provenance[c])) for c in PROVENANCE[1:3]}
+    return df.withColumns({c: times.get(c, F.lit(provenance[c])) for c in PROVENANCE})
 
 
-def bump_provenance(df: DataFrame, table: Table, source: str) -> DataFrame:
-    """Provenance of the next generation: creation time kept, version one higher."""
-    created, version = provenance_of(table)
-    return with_provenance(df, source, created, version + 1.0)
+def provenance_of(table: Table) -> tuple[datetime | None, float]:
+    """Creation time and version of a stored product; ``(None, 0.0)`` when it does not exist."""
+    note = table.snapshot().note
+    if "schema_version" not in note:
+        return None, 0.0
+    return datetime.fromisoformat(note["creation_time"]), float(note["schema_version"])
 
 
 # -- stored products -----------------------------------------------------------
 
 
-def store_product(table: Table, state: DataFrame, source: str, through: int) -> None:
-    """Write the next generation. Readers see the old one until the new one is complete."""
-    covered = state.withColumn(THROUGH, F.lit(through))
-    table.append(bump_provenance(covered, table, source))
-
+def store_product(
+    table: Table, state: DataFrame, source: str, days: Iterable[str] | None = None, covers: Mapping | None = None
+) -> None:
+    """Make ``state`` the stored state, or that of some ``days`` (``DAY=value`` folders), with its provenance.
 
-def covered_version(table: Table) -> int | None:
-    """Trip version a stored product covers; ``None`` when it has no rows or does not exist."""
-    if table.version() is None:
-        return None
-    row = table.read_latest().select(THROUGH).limit(1).first()
-    return row[THROUGH] if row else None
+    Readers see the old state until all of the new one is there. ``covers`` says what it was made from.
+    """
+    change = table.change()
+    if days is None:
+        change.put(state, 0)
+    else:
+        change.rewrite(state.withColumn(BATCH, F.lit(0)), cover={0: list(days)})
+    change.note(**next_provenance(change.before.note, source), covers=covers)
+    change.publish()
 
 
 def read_product(table: Table, spec: ProductSpec) -> DataFrame:
-    return present(table.read_latest(), spec)
+    snapshot = table.snapshot()
+    return with_provenance(present(table.read(snapshot=snapshot), spec), snapshot.note)
 
 
 def merged_state(table: Table, new_trips: DataFrame, spec: ProductSpec) -> DataFrame:
     """Stored state plus the partials of new trips."""
-    old = table.read_latest()
-    return merge_state([old, product_state(new_trips, spec)], spec.key_names, spec.measures)
+    return merge_state([table.read(), product_state(new_trips, spec)], [DAY, *spec.key_names], spec.measures)

@@ -12,16 +12,9 @@ from farebox.operators.conform import prefix_columns
 from farebox.operators.merge import fill_unmatched
 from farebox.operators.quality import one_row_per_key
 from farebox.plans import integrate as wide
-from farebox.plans.products import (
-    PRODUCTS,
-    ProductSpec,
-    covered_version,
-    merged_state,
-    product_state,
-    store_product,
-)
-from farebox.sources.scratch import stage
-from farebox.sources.tables import Table
+from farebox.plans.products import DAY, PER_DAY, PRODUCTS, ProductSpec, product_state, store_product
+from farebox.sources.scratch import staged
+from farebox.sources.tables import BATCH, Snapshot, Table, in_parts
 
 STATE_SCHEMA = T.StructType(
     [
@@ -30,8 +23,9 @@ STATE_SCHEMA = T.StructType(
         T.StructField("columns", T.MapType(T.StringType(), T.StringType())),
     ]
 )
-DAY_LAYOUT = {"day_timestamp": T.TimestampType()}
-BOROUGH_LAYOUT = {"pu_borough": T.StringType()}
+DAY_LAYOUT = {DAY: T.TimestampType()}
+# Below a borough the days lie by themselves too, so that a change of some days leaves the others alone.
+BOROUGH_LAYOUT = {"pu_borough": T.StringType(), DAY: T.TimestampType()}
 
 
 @dataclass(frozen=True)
@@ -40,7 +34,10 @@ class Catalog:
 
     spark: SparkSession
     root: str
-    measures: tuple[str, ...] = wide.MEASURES
+    measures: tuple[str, ...] | None = None
+    """Air-quality columns of the integrated table; all of them by default."""
+    two_layouts: bool = True
+    """Whether the integrated table is kept by borough as well."""
     raw: tuple[str, ...] = ("trips", "weather", "zones", "air_quality")
     products: Mapping[str, ProductSpec] = field(default_factory=lambda: PRODUCTS)
 
@@ -60,7 +57,7 @@ class Catalog:
         return self.table("state")
 
     def product(self, name: str) -> Table:
-        return self.table(f"products/{name}")
+        return Table(self.spark, f"{self.root}/products/{name}", PER_DAY)
 
 
 # -- change detection ----------------------------------------------------------
@@ -76,11 +73,11 @@ def current_state(catalog: Catalog) -> DataFrame:
 def load_state(catalog: Catalog) -> DataFrame:
     if catalog.state.version() is None:
         return catalog.spark.createDataFrame([], STATE_SCHEMA)
-    return catalog.state.read_latest()
+    return catalog.state.read()
 
 
 def save_state(catalog: Catalog, state: DataFrame) -> None:
-    catalog.state.append(state.coalesce(1))
+    catalog.state.write_batch(state.coalesce(1), 0)
 
 
 def detect_changes(before: DataFrame, now: DataFrame) -> DataFrame:
@@ -144,12 +141,14 @@ def _within(dim: DataFrame, time: str, span: tuple[str | None, str | None]) -> D
     return dim.filter(F.col(time).between(low, high))
 
 
-def integrated_rows(catalog: Catalog, since: int | None = None, upto: int | None = None) -> DataFrame:
+def integrated_rows(
+    catalog: Catalog, since: int | None = None, upto: int | None = None, with_batch: bool = False
+) -> DataFrame:
     """Trips (or only those between two versions) with the current dimensions.
 
     An increment reads the hourly dimensions only for the hours of its trips.
     """
-    trips = catalog.table("trips").read(as_of=upto, since=since)
+    trips = catalog.table("trips").read(as_of=upto, since=since, with_batch=with_batch)
     weather, zones, air = (catalog.table(n).read() for n in ("weather", "zones", "air_quality"))
     if since is not None:
         span = _span(trips, "tpep_pickup_datetime")
@@ -164,37 +163,95 @@ def extend_integrated(catalog: Catalog) -> int | None:
     after a failure replaces the same batch and never appends twice. When the trips have been loaded
     afresh, the integrated table starts afresh too.
     """
-    reached, trips = catalog.integrated.version(), catalog.table("trips")
-    target = trips.version()
+    reached, trips = catalog.integrated.version(), catalog.table("trips").snapshot().versions()
+    target = trips[-1] if trips else None
     if reached == target:
         return None
-    if reached is not None and trips.start() > reached:
-        catalog.integrated.start_at(target)
+    change = catalog.integrated.change()
+    if reached is not None and trips[0] > reached:
+        change.start_at(target)
         reached = None
-    catalog.integrated.write_batch(integrated_rows(catalog, since=reached, upto=target), target)
+    change.put(integrated_rows(catalog, since=reached, upto=target), target)
+    change.publish()
     return target
 
 
 def rebuild_integrated(catalog: Catalog) -> None:
-    """Integrate every batch again, each in its own place."""
-    reached = None
-    for version in catalog.integrated.versions():
-        catalog.integrated.write_batch(integrated_rows(catalog, reached, version), version)
-        reached = version
+    """Integrate every batch again, all in one job and each in its own place."""
+    versions = catalog.integrated.versions()
+    if not versions:
+        return
+    rows = integrated_rows(catalog, upto=versions[-1], with_batch=True)
+    # A batch holds the trips that came after the batch before it.
+    reached = F.array(*[F.lit(v) for v in versions])
+    batch = F.element_at(F.filter(reached, lambda v: v >= F.col(BATCH)), 1)
+    change = catalog.integrated.change()
+    change.rewrite(rows.withColumn(BATCH, batch), whole=versions)
+    change.publish()
+
+
+# -- what follows the integrated table ---------------------------------------------
 
 
-def write_borough_layout(catalog: Catalog) -> None:
-    """Derive the borough layout from the day layout, as a new generation."""
-    catalog.by_borough.append(catalog.integrated.read())
+def changed_parts(now: Snapshot, seen: Mapping[str, list[str]]) -> dict[int, set[str] | None]:
+    """By batch the days that were written since ``seen`` (names of writes by batch); ``None`` stands for all.
+
+    A write that is no longer there has been replaced as a whole, by days that need not be the same.
+    """
+    changed: dict[int, set[str] | None] = {}
+    for batch, names in now.writes().items():
+        known = seen.get(str(batch), [])
+        if not known or set(known) - set(names):
+            if names or known:
+                changed[batch] = None
+            continue
+        fresh = [w for w in now.batches[batch].writes if w.name not in known]
+        days = {step for w in fresh for folder in w.live or () for step in folder.split("/") if step.startswith(f"{DAY}=")}
+        if days:
+            changed[batch] = days
+    return changed
+
+
+def _covers(now: Snapshot) -> dict[str, list[str]]:
+    return {str(batch): names for batch, names in now.writes().items()}
+
+
+def sync_borough_layout(catalog: Catalog) -> bool:
+    """Bring the borough layout to the state of the day layout: the same batches, and only what has changed.
+
+    Rows are taken from the day layout, so both hold the same ones. Which writes it has copied is kept
+    with its data; after a failure the next run copies what is missing.
+    """
+    if not catalog.two_layouts:
+        return False
+    source = catalog.integrated.snapshot()
+    change = catalog.by_borough.change()
+    changed = changed_parts(source, change.before.note.get("covers", {}))
+    if not changed and source.versions() == change.before.versions():
+        return False
+    for start in source.starts:
+        change.start_at(start)
+    rows = catalog.integrated.read(with_batch=True, snapshot=source)
+    whole = [batch for batch, days in changed.items() if days is None]
+    parts = {batch: days for batch, days in changed.items() if days is not None}
+    wanted = rows.where(F.col(BATCH).isin(whole)) if whole else None
+    for batch, days in parts.items():
+        some = in_parts(rows.where(F.col(BATCH) == batch), DAY, days)
+        wanted = some if wanted is None else wanted.unionByName(some)
+    if wanted is not None:
+        change.rewrite(wanted, whole=whole, cover=parts, by=[DAY])
+    change.note(covers=_covers(source))
+    change.publish()
+    return True
 
 
 def _touched(target: DataFrame, source_time: DataFrame, time: str) -> DataFrame:
     """Target rows in the day partitions that the source's times fall into.
 
-    The days are a small stored table, so the planner prunes the partitions by them.
+    There are no more such days than partitions, and the scan lists only theirs.
     """
-    days = source_time.select(F.date_trunc("day", F.col(time)).alias("day_timestamp")).dropna().distinct()
-    return target.join(stage(days, "days"), "day_timestamp", "left_semi").select(*target.columns)
+    days = source_time.select(F.date_trunc("day", F.col(time)).cast("string")).dropna().distinct()
+    return target.where(F.col(DAY).cast("string").isin([row[0] for row in days.collect()]))
 
 
 def backfill(
@@ -208,18 +265,19 @@ def backfill(
     """Give integrated rows without a match the late dimension rows in ``source``.
 
     ``on`` maps target columns to (unprefixed) source columns, ``time`` is the
-    source's hour. Only the touched day partitions are read and rewritten. With ``replace`` rows
+    source's hour. Only the touched day partitions are read, and written once. With ``replace`` rows
     with a match get the new values as well.
     """
     keys = list(on.values())
-    unique = one_row_per_key(source.dropna(subset=keys), keys)
-    side = prefix_columns(unique, prefix)
-    columns = [prefix + c for c in unique.columns if c not in keys]
-    target = _touched(integrated.read(with_batch=True), unique, time)
-    filled = fill_unmatched(
-        target, side, [(t, prefix + s) for t, s in on.items()], columns, f"{prefix}matched", replace
-    )
-    integrated.replace_partitions(filled)
+    # Stored, so that the planner knows its size and computes it once.
+    with staged(one_row_per_key(source.dropna(subset=keys), keys), "late") as unique:
+        side = prefix_columns(unique, prefix)
+        columns = [prefix + c for c in unique.columns if c not in keys]
+        target = _touched(integrated.read(with_batch=True), unique, time)
+        filled = fill_unmatched(
+            target, side, [(t, prefix + s) for t, s in on.items()], columns, f"{prefix}matched", replace
+        )
+        integrated.replace_partitions(filled)
 
 
 def backfill_weather(catalog: Catalog, since: int | None) -> None:
@@ -251,25 +309,41 @@ def backfill_air(catalog: Catalog, since: int | None) -> None:
 
 
 def rebuild_product(catalog: Catalog, spec: ProductSpec) -> None:
-    """Recompute a product from the integrated table."""
-    state = product_state(catalog.integrated.read(), spec)
-    store_product(catalog.product(spec.name), state, catalog.integrated.path, catalog.integrated.version())
+    """Recompute the state of every day from the integrated table."""
+    source = catalog.integrated.snapshot()
+    state = product_state(catalog.integrated.read(snapshot=source), spec)
+    store_product(catalog.product(spec.name), state, catalog.integrated.path, covers=_covers(source))
 
 
 def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
-    """Merge the trips a product does not cover yet into its stored state."""
-    table = catalog.product(spec.name)
-    covered, target = covered_version(table), catalog.integrated.version()
-    if covered == target:
+    """Recompute the state of the days whose trips have changed since the product was stored.
+
+    It does not matter what changed them: new trips, late readings that fill gaps, or later ones that
+    correct them. Only the partitions of these days are scanned.
+    """
+    source, table = catalog.integrated.snapshot(), catalog.product(spec.name)
+    before = table.snapshot()
+    seen = before.note.get("covers")
+    if not before.versions() or seen is None or set(seen) - {str(v) for v in source.versions()}:
+        rebuild_product(catalog, spec)
+        return True
+    changed = changed_parts(source, seen)
+    if not changed:
         return False
-    if covered is None or covered < catalog.integrated.start():
+    if any(days is None and seen.get(str(batch)) for batch, days in changed.items()):
         rebuild_product(catalog, spec)
         return True
-    new_trips = catalog.integrated.read(since=covered)
-    store_product(table, merged_state(table, new_trips, spec), f"incremental_merge:{table.path}", target)
+    days = set().union(*[_days_of(source, batch) if d is None else d for batch, d in changed.items()])
+    rows = in_parts(catalog.integrated.read(snapshot=source), DAY, days)
+    store_product(table, product_state(rows, spec), catalog.integrated.path, days, _covers(source))
     return True
 
 
+def _days_of(snapshot: Snapshot, batch: int) -> set[str]:
+    """The day folders of a batch."""
+    return {folder for w in snapshot.batches[batch].writes for folder in w.live or ()}
+
+
 def bootstrap_state(catalog: Catalog) -> bool:
     """Record the present versions as the baseline if there is none; tables that do not exist are skipped."""
     if catalog.state.version() is not None:
@@ -279,9 +353,10 @@ def bootstrap_state(catalog: Catalog) -> bool:
 
 
 def bootstrap(catalog: Catalog) -> None:
-    """First build of the integrated table and all products, and the baseline state."""
+    """First build of the integrated table in both layouts and of all products, and the baseline state."""
     now = current_state(catalog)
     extend_integrated(catalog)
+    sync_borough_layout(catalog)
     for spec in catalog.products.values():
         rebuild_product(catalog, spec)
     save_state(catalog, now)
@@ -305,24 +380,20 @@ def refresh(catalog: Catalog) -> list[str]:
     if not changes and not extended:
         return []
     afresh = [n for n, old in changes.items() if n != "trips" and old is not None and catalog.table(n).start() > old]
-    whole = "zones" in changes or bool(afresh)
-    if whole:
+    if "zones" in changes or afresh:
         rebuild_integrated(catalog)
     else:
         if "weather" in changes:
             backfill_weather(catalog, changes["weather"])
         if "air_quality" in changes:
             backfill_air(catalog, changes["air_quality"])
+    sync_borough_layout(catalog)
     moved = [(name,) for name in changes] + [("trips",)] * extended
     moved_frame = catalog.spark.createDataFrame(moved, "table_name string")
     # One row per product.
     behind = {r["product"] for r in products_behind(moved_frame, dependency_frame(catalog.spark, catalog.products)).collect()}
     refreshed = [name for name in catalog.products if name in behind]
     for name in refreshed:
-        spec = catalog.products[name]
-        if spec.from_new_trips and not whole:
-            extend_product(catalog, spec)
-        else:
-            rebuild_product(catalog, spec)
+        extend_product(catalog, catalog.products[name])
     save_state(catalog, now)
     return refreshed

@@ -18,7 +18,7 @@ from farebox.operators.conform import (
     standardize_columns,
 )
 from farebox.operators.merge import rows_with_new_key
-from farebox.operators.quality import drop_null_keys, quality_gate
+from farebox.operators.quality import null_key, quality_gate
 from farebox.operators.rowsets import novel_rows
 from farebox.sources.descriptor import DatasetSpec
 from farebox.sources.scratch import staged
@@ -100,12 +100,11 @@ def load_update(
     target = table.schema(as_of=batch - 1)
     update = conform_update(raw, spec, target, new_types)
     with staged(update, "update") as source:
-        rows = source.count()
+        counted = source.agg(F.count("*"), F.count_if(null_key(spec.primary_keys)))
+        rows, null_keys = counted.first()
         if spec.primary_keys:
-            null_keys = rows - drop_null_keys(source, spec.primary_keys).count()
             fresh = merge_insert_only(source, table.read(as_of=batch - 1), spec.primary_keys)
         else:
-            null_keys = 0
             past = table.read(as_of=batch - 1) if history is None else history
             fresh = novel_rows(source, _with_columns_of(past, source), event_time)
         table.write_batch(fresh, batch)

@@ -8,7 +8,6 @@ from farebox.functions.timeparts import month_bucket
 from farebox.measure import cached as held
 from farebox.operators import summaries as s
 from farebox.operators.mergeable import Measure, merge_state, partial_state, present_state
-from farebox.operators.rowsets import difference_counts
 from farebox.operators.joins import lookup_join
 from farebox.plans import integrate as wide
 from farebox.registry import roles
@@ -125,25 +124,6 @@ def shipment_weekday_peak(spark, sf_dir):
 # -- physical variants that must agree ---------------------------------------------------
 
 
-def layouts_agree(spark, sf_dir):
-    """Mean fare of one borough from the day layout and from the borough layout, compared."""
-    trips = _zoned(spark, sf_dir).withColumn("day_timestamp", F.date_trunc("day", "tpep_pickup_datetime"))
-    trips = trips.select("day_timestamp", "pu_borough", "fare_amount")
-    types = {f.name: f.dataType for f in trips.schema.fields}
-    by_day = Table(spark, scratch_path(spark, "layout-day"), {"day_timestamp": types["day_timestamp"]})
-    by_borough = Table(spark, scratch_path(spark, "layout-borough"), {"pu_borough": types["pu_borough"]})
-    by_day.append(trips)
-    by_borough.append(by_day.read())
-    pruned = s.average_fare_in_area(by_borough.read(), "ASIA")
-    scanned = s.average_fare_in_area(by_day.read(), "ASIA")
-    counts = difference_counts(pruned, scanned)
-    return pruned.select(
-        counts.select("only_left").scalar().alias("only_left"),
-        counts.select("only_right").scalar().alias("only_right"),
-        "*",
-    )
-
-
 def cached_agrees(spark, sf_dir):
     """Zone demand from a held projection and from the source, compared; one row per zone and month."""
     base = pickup_zoned(spark, sf_dir).select("pu_zone", "tpep_pickup_datetime")
@@ -175,7 +155,6 @@ QUERIES = {
         monthly_trend,
         shipment_zone_statistics,
         shipment_weekday_peak,
-        layouts_agree,
         cached_agrees,
     )
 }
@@ -229,7 +208,5 @@ JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
     SELECT dayname(l_shipdate) AS day_of_week, n_name AS do_zone, COUNT(*) AS shipments
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2))
 WHERE r = 1""",
-    "layouts_agree": _PICKUP
-    + f"SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, * FROM ({_ONE_FARE})",
     "cached_agrees": _PICKUP + f"SELECT *, count AS direct_count FROM ({_ZONE_DEMAND})",
 }

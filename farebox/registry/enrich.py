@@ -60,8 +60,22 @@ def enrich_zones_both_ends(spark, sf_dir):
 
 
 def enrich_air_one(spark, sf_dir):
-    columns = ["pu_borough", "air_q_matched", "air_q_sample_measurement", "air_q_measurements"]
-    return roles.plain(integrated_frame(spark, sf_dir).select(*TRIP, *columns))
+    """All air-quality columns on the trip grain, each summarised over the stations of its hour by its type."""
+    station = F.col("site_num").cast("int")
+    air = roles.air_quality(spark, sf_dir).withColumns(
+        {
+            "aqi": station * 3,
+            "mdl": F.when(station % 4 != 0, station / 4),
+            "units": F.when(station % 2 == 0, "ug").otherwise("ppm"),
+            "valid": station % 3 == 0,
+            "date_of_change": F.col("datetime_local") + F.make_dt_interval(station),
+        }
+    )
+    trips, zones = roles.trips(spark, sf_dir), roles.zones(spark, sf_dir)
+    placed = wide.with_air(wide.with_zones(wide.with_hour(trips), zones, ["pu"]), wide.staged_air(air))
+    names = ["state_code", "site_num", "sample_measurement", "aqi", "mdl", "units", "valid", "date_of_change"]
+    columns = ["pu_borough", "air_q_matched", *[f"air_q_{n}" for n in names], "air_q_measurements"]
+    return roles.plain(placed.select(*TRIP, *columns))
 
 
 def enrich_air_many(spark, sf_dir):
@@ -186,6 +200,13 @@ FROM trips JOIN weather ON date_trunc('hour', tpep_pickup_datetime) = timestamp
 
 _PAIRS = "l_suppkey, l_returnflag, l_linestatus"
 
+_AIR_COLUMNS = f"""air_columns AS (SELECT county_name, datetime_local, MIN(state_code) AS state_code,
+    CASE WHEN MIN(site_num) = MAX(site_num) THEN MIN(site_num) END AS site_num, {mean('sample_measurement')} AS sample_measurement,
+    AVG(s * 3) AS aqi, AVG(CASE WHEN s % 4 <> 0 THEN s / 4 END) AS mdl,
+    CASE WHEN bool_and(s % 2 = 0) THEN 'ug' WHEN bool_and(s % 2 <> 0) THEN 'ppm' END AS units, bool_or(s % 3 = 0) AS valid,
+    MAX(datetime_local + to_days(s)) AS date_of_change, COUNT(*) AS measurements
+  FROM (SELECT *, CAST(site_num AS INTEGER) AS s FROM air WHERE state_code = '36' AND county_name IS NOT NULL) GROUP BY 1, 2)"""
+
 ORACLES = {
     "enrich_hourly_weather": with_(TRIPS, WEATHER)
     + f"""SELECT {SQL_TRIP}, date_trunc('hour', t.tpep_pickup_datetime) AS weather_time,
@@ -194,8 +215,13 @@ FROM trips t LEFT JOIN weather w ON date_trunc('hour', t.tpep_pickup_datetime) =
     "enrich_zones_both_ends": with_(TRIPS, ZONES)
     + f"""SELECT {SQL_TRIP}, p.borough AS pu_borough, p.zone AS pu_zone, d.borough AS do_borough, d.zone AS do_zone
 FROM trips t LEFT JOIN zones p ON pu_location_id = p.location_id LEFT JOIN zones d ON do_location_id = d.location_id""",
-    "enrich_air_one": with_(INTEGRATED)
-    + f"SELECT {SQL_TRIP}, pu_borough, air_q_matched, air_q_sample_measurement, air_q_measurements FROM integrated t",
+    "enrich_air_one": with_(ROLES, _AIR_COLUMNS)
+    + f"""SELECT {SQL_TRIP}, p.borough AS pu_borough, a.datetime_local IS NOT NULL AS air_q_matched,
+  a.state_code AS air_q_state_code, a.site_num AS air_q_site_num, a.sample_measurement AS air_q_sample_measurement,
+  a.aqi AS air_q_aqi, a.mdl AS air_q_mdl, a.units AS air_q_units, a.valid AS air_q_valid,
+  a.date_of_change AS air_q_date_of_change, a.measurements AS air_q_measurements
+FROM trips t LEFT JOIN zones p ON pu_location_id = p.location_id
+LEFT JOIN air_columns a ON p.borough = a.county_name AND date_trunc('hour', t.tpep_pickup_datetime) = a.datetime_local""",
     "enrich_air_many": with_(ROLES)
     + f"""SELECT {SQL_TRIP}, p.borough AS pu_borough, a.site_num IS NOT NULL AS air_q_matched,
   a.sample_measurement AS air_q_sample_measurement, a.site_num AS air_q_site_num

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from farebox.operators.conform import evolve_union
 from farebox.operators.mergeable import merge_state
 from farebox.operators.quality import quality_gate
-from farebox.operators.rowsets import union_all
+from farebox.operators.rowsets import difference_counts, union_all
+from farebox.operators.summaries import average_fare_in_area
 from farebox.plans import integrate as wide
 from farebox.plans import products as p
 from farebox.plans import refresh as r
@@ -28,13 +29,15 @@ from farebox.registry.sql import (
     ROLES,
     TRIPS,
     UPDATE,
-    whole_means,
+    half_up,
+    mean,
     one_per_key,
+    whole_means,
     with_,
 )
 from farebox.sources.city import trips_spec
 from farebox.sources.descriptor import DatasetSpec
-from farebox.sources.scratch import child_names, scratch_path
+from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
 from farebox.streaming.updates import update_stream
 
@@ -153,12 +156,10 @@ def table_history(spark, sf_dir):
 
 # -- integrated table, backfill and products ---------------------------------------------------
 
-_roots: dict[tuple[str, str, str], r.Catalog] = {}
-
-
-def _raw_catalog(spark, sf_dir) -> r.Catalog:
-    """Raw tables at their first version: trips to the cut, weather and air two days less."""
-    catalog = roles.new_catalog(spark)
+def _raw_catalog(spark, sf_dir, *specs: p.ProductSpec, two_layouts: bool = False) -> r.Catalog:
+    """Raw tables at their first version: trips to the cut, weather and air two days less; with some of the products."""
+    products = {spec.name: spec for spec in specs}
+    catalog = replace(roles.new_catalog(spark), products=products, two_layouts=two_layouts)
     history, _ = roles.split_trips(spark, sf_dir)
     catalog.table("trips").append(history)
     before = F.lit(roles.UPDATE_START).cast("timestamp")
@@ -180,18 +181,15 @@ def _load_updates(catalog: r.Catalog, spark, sf_dir) -> None:
     catalog.table("air_quality").append(roles.air_quality(spark, sf_dir).filter(F.col("datetime_local") >= since))
 
 
-def _refreshed(spark, sf_dir) -> r.Catalog:
+def _refreshed(spark, sf_dir, *specs: p.ProductSpec, two_layouts: bool = False) -> r.Catalog:
     """First build, then the updates, then two refreshes (the second must do nothing)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "refreshed")
-    if key not in _roots or not child_names(spark, _roots[key].root):
-        catalog = _raw_catalog(spark, sf_dir)
-        r.refresh(catalog)
-        _load_updates(catalog, spark, sf_dir)
-        done = r.refresh(catalog)
-        if sorted(done) != sorted(p.PRODUCTS) or r.refresh(catalog):
-            raise RuntimeError(f"unexpected refresh: {done}")
-        _roots[key] = catalog
-    return _roots[key]
+    catalog = _raw_catalog(spark, sf_dir, *specs, two_layouts=two_layouts)
+    r.refresh(catalog)
+    _load_updates(catalog, spark, sf_dir)
+    done = r.refresh(catalog)
+    if sorted(done) != sorted(catalog.products) or r.refresh(catalog):
+        raise RuntimeError(f"unexpected refresh: {done}")
+    return catalog
 
 
 def stored_state(spark, sf_dir):
@@ -248,14 +246,16 @@ def refresh_late_station(spark, sf_dir):
 
 def reload_table(spark, sf_dir):
     """Demand per zone after the trips have been loaded, extended, and loaded afresh with the history only."""
-    catalog = _raw_catalog(spark, sf_dir)
+    catalog = _raw_catalog(spark, sf_dir, p.ZONE_STATISTICS)
     trips = catalog.table("trips")
     _, update = roles.split_trips(spark, sf_dir)
     history = trips.read()
     trips.append(update)
     r.refresh(catalog)
-    trips.start_at(2)
-    trips.write_batch(history, 2)
+    change = trips.change()
+    change.start_at(2)
+    change.put(history, 2)
+    change.publish()
     r.refresh(catalog)
     shown = p.read_product(catalog.product("taxi_zone_statistics"), p.ZONE_STATISTICS)
     return shown.groupBy("pu_zone").agg(F.sum("taxi_demand").alias("taxi_demand"))
@@ -292,7 +292,7 @@ def backfill_late_weather(spark, sf_dir):
 
 
 def backfill_late_air(spark, sf_dir):
-    """Air quality of the last days arrives late, several stations per area and hour."""
+    """Air quality of the last days arrives late, several stations per area and hour, with an added column."""
     air = roles.air_quality(spark, sf_dir)
     catalog = roles.new_catalog(spark)
     catalog.table("trips").append(roles.trips(spark, sf_dir))
@@ -301,9 +301,9 @@ def backfill_late_air(spark, sf_dir):
     early, late = roles.split(air, "datetime_local", roles.UPDATE_START, roles.UPDATE_START)
     catalog.table("air_quality").append(early)
     r.extend_integrated(catalog)
-    catalog.table("air_quality").append(late)
+    catalog.table("air_quality").append(late.withColumn("aqi", F.col("site_num").cast("int") * 2))
     r.backfill_air(catalog, 0)
-    columns = ["vendor_id", "tpep_pickup_datetime", "pu_borough", "air_q_matched"]
+    columns = ["vendor_id", "tpep_pickup_datetime", "pu_borough", "air_q_matched", "air_q_site_num", "air_q_aqi"]
     return roles.plain(
         catalog.integrated.read().select(*columns, "air_q_sample_measurement", "air_q_measurements")
     )
@@ -314,8 +314,8 @@ def product_merge_sum(spark, sf_dir):
     spec = p.ZONE_STATISTICS
     zoned = wide.with_zones(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir))
     history, newer = roles.split(zoned, "tpep_pickup_datetime", roles.HISTORY_END, roles.HISTORY_END)
-    table = Table(spark, scratch_path(spark, "zone-statistics"))
-    p.store_product(table, p.product_state(history, spec), "history", 0)
+    table = Table(spark, scratch_path(spark, "zone-statistics"), p.PER_DAY)
+    p.store_product(table, p.product_state(history, spec), "history")
     merged = p.merged_state(table, newer, spec)
     return roles.plain(p.present(merged, spec))
 
@@ -331,11 +331,26 @@ def mobility_merge_sum(spark, sf_dir):
 
 
 def refreshed_integrated(spark, sf_dir):
-    return roles.plain(_refreshed(spark, sf_dir).integrated.read().select(*INTEGRATED_COLUMNS))
+    catalog = _refreshed(spark, sf_dir)
+    return roles.plain(catalog.integrated.read().select(*INTEGRATED_COLUMNS))
+
+
+def layouts_agree(spark, sf_dir):
+    """Mean fare of one borough from the borough layout of a refreshed catalog, after both layouts were compared whole."""
+    catalog = _refreshed(spark, sf_dir, two_layouts=True)
+    columns = [*INTEGRATED_COLUMNS, "air_q_site_num", "weather_humidity", "_batch_id"]
+    by_day, by_borough = (t.read(with_batch=True).select(*columns) for t in (catalog.integrated, catalog.by_borough))
+    counts = difference_counts(by_borough, by_day)
+    pruned = average_fare_in_area(by_borough, "ASIA")
+    return pruned.select(
+        counts.select("only_left").scalar().alias("only_left"),
+        counts.select("only_right").scalar().alias("only_right"),
+        "*",
+    )
 
 
 def _refreshed_product(spark, sf_dir, spec):
-    table = _refreshed(spark, sf_dir).product(spec.name)
+    table = _refreshed(spark, sf_dir, spec).product(spec.name)
     return roles.plain(p.read_product(table, spec).drop(*p.PROVENANCE))
 
 
@@ -355,6 +370,17 @@ def refreshed_mobility(spark, sf_dir):
     return _refreshed_product(spark, sf_dir, p.MOBILITY_SUMMARY)
 
 
+def corrected_air(spark, sf_dir):
+    """Hourly air quality after a second station has reported for every hour that was summarised before."""
+    catalog = _raw_catalog(spark, sf_dir, p.AIR_SUMMARY)
+    air = catalog.table("air_quality").read()
+    r.refresh(catalog)
+    late = air.withColumns({"site_num": F.lit("late"), "sample_measurement": F.col("sample_measurement") + 20})
+    catalog.table("air_quality").append(late)
+    r.refresh(catalog)
+    return roles.plain(p.read_product(catalog.product(p.AIR_SUMMARY.name), p.AIR_SUMMARY).drop(*p.PROVENANCE))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -377,10 +403,12 @@ QUERIES = {
         product_merge_sum,
         mobility_merge_sum,
         refreshed_integrated,
+        layouts_agree,
         refreshed_zone_stats,
         refreshed_weather,
         refreshed_air,
         refreshed_mobility,
+        corrected_air,
     )
 }
 
@@ -404,6 +432,12 @@ LATE_STATION = (
 FROM trips JOIN zones ON pu_location_id = location_id
 JOIN per_hour ON borough = county_name AND date_trunc('hour', tpep_pickup_datetime) = datetime_local WHERE {HISTORY}"""
 )
+AIR_TEXT = """air_text AS (SELECT county_name, datetime_local, CASE WHEN MIN(site_num) = MAX(site_num) THEN MIN(site_num) END AS site_num,
+    AVG(CAST(site_num AS INTEGER) * 2) AS aqi
+  FROM air WHERE state_code = '36' AND county_name IS NOT NULL GROUP BY 1, 2)"""
+# Each station twice, the second time 20 higher: the mean of an hour rises by 10.
+_CORRECTED = f"""corrected AS (SELECT * REPLACE (air_q_sample_measurement + 10 AS air_q_sample_measurement) FROM integrated
+  WHERE {HISTORY} AND weather_time < {_CUT})"""
 RELOADED = (
     with_(ROLES)
     + f"""SELECT zone AS pu_zone, COUNT(*) AS taxi_demand FROM trips LEFT JOIN zones ON pu_location_id = location_id
@@ -465,9 +499,14 @@ LEFT JOIN early_air a ON pz.borough = a.county_name AND date_trunc('hour', tpep_
     "backfill_late_weather": with_(INTEGRATED)
     + """SELECT vendor_id, tpep_pickup_datetime, weather_matched, weather_temp, weather_prcp,
   CASE WHEN hour(tpep_pickup_datetime) >= 12 THEN weather_rhum + 1 END AS weather_humidity, pu_zone FROM integrated""",
-    "backfill_late_air": with_(INTEGRATED)
-    + """SELECT vendor_id, tpep_pickup_datetime, pu_borough, air_q_matched, air_q_sample_measurement,
-  air_q_measurements FROM integrated""",
+    "backfill_late_air": with_(INTEGRATED, AIR_TEXT)
+    + f"""SELECT vendor_id, tpep_pickup_datetime, pu_borough, air_q_matched, air_q_sample_measurement,
+  air_q_measurements, site_num AS air_q_site_num, CASE WHEN weather_time >= {_CUT} THEN aqi END AS air_q_aqi
+FROM integrated LEFT JOIN air_text ON pu_borough = county_name AND weather_time = datetime_local""",
+    "layouts_agree": _BASE
+    + f"""SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, pu_borough,
+  {half_up(mean('fare_amount'), 4)} AS avg_fare FROM integrated WHERE pu_borough = 'ASIA' GROUP BY pu_borough""",
+    "corrected_air": whole_means(with_(INTEGRATED, _CORRECTED)) + AIR_SQL.replace("FROM integrated", "FROM corrected"),
     "product_merge_sum": _BASE + ZONE_SQL,
     "mobility_merge_sum": _BASE + MOBILITY_SQL,
     "refreshed_integrated": _BASE + f"SELECT {', '.join(INTEGRATED_COLUMNS)} FROM integrated",

@@ -25,8 +25,8 @@ _BASES = {
 
 
 def _stored(spark, sf_dir, spec) -> Table:
-    table = Table(spark, scratch_path(spark, spec.name))
-    p.store_product(table, p.product_state(_BASES[spec.name](spark, sf_dir), spec), _SOURCE, 0)
+    table = Table(spark, scratch_path(spark, spec.name), p.PER_DAY)
+    p.store_product(table, p.product_state(_BASES[spec.name](spark, sf_dir), spec), _SOURCE)
     return table
 
 
@@ -55,9 +55,9 @@ def product_provenance(spark, sf_dir):
     spec = p.MOBILITY_SUMMARY
     table = _stored(spark, sf_dir, spec)
     first, _ = p.provenance_of(table)
-    p.store_product(table, table.read_latest(), _SOURCE, 0)
+    p.store_product(table, table.read(), _SOURCE)
     shown = p.read_product(table, spec)
-    made = F.lit(first).cast("timestamp")
+    made = F.lit(first)
     return shown.groupBy("data_source", "schema_version").agg(
         F.bool_and((F.col("creation_time") == made) & (F.col("refresh_time") > made)).alias("times_ok"),
         F.sum("taxi_demand").alias("taxi_demand"),

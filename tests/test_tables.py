@@ -8,11 +8,13 @@ from farebox.measure import cached, measure, plan_text
 from farebox.operators.rowsets import frames_equal
 from farebox.plans import products as p
 from farebox.plans import refresh as r
-from farebox.plans.ingest import ingest_dataset, ingest_log
+from farebox.operators.quality import graded_rows, one_row_per_key, quality_counts
+from farebox.plans.ingest import ingest_all, ingest_dataset, ingest_frame, ingest_log
 from farebox.plans.updates import load_update, update_log
 from farebox.session import scoped_conf
 from farebox.sources.city import air_quality_spec, trips_spec, weather_spec, zones_spec
-from farebox.sources.scratch import remove_path, scratch_path, stage, staged
+from farebox.sources import tables
+from farebox.sources.scratch import scratch_path, stage, staged
 from farebox.sources.tables import Table
 from farebox.streaming.updates import update_stream
 
@@ -53,9 +55,82 @@ def test_repeated_batch_replaces_itself(spark, root):
 def test_unfinished_batch_is_invisible(spark, root):
     t = Table(spark, f"{root}/t")
     t.append(spark.createDataFrame([(1,)], "a int"))
-    t.append(spark.createDataFrame([(2,)], "a int"))
-    remove_path(spark, f"{root}/t/_batch_id=1/_SUCCESS")
-    assert t.version() == 0 and t.read().count() == 1
+    change = t.change()
+    change.put(spark.createDataFrame([(2, 5)], "a int, ghost int"), 1)
+    assert t.version() == 0 and t.read().count() == 1 and t.read().columns == ["a"]
+    assert t.vacuum() == 1 and t.vacuum() == 0
+    t.append(spark.createDataFrame([(3,)], "a int"))
+    with pytest.raises(OSError):
+        change.publish()
+    assert sorted(x.a for x in t.read().collect()) == [1, 3]
+
+
+def files_of(path):
+    return sorted(str(f) for f in path.rglob("*") if f.is_file())
+
+
+def test_readers_see_whole_states_and_change_nothing(spark, tmp_path, monkeypatch):
+    """At every step of a write to storage the table is read: it is the old one or the new one."""
+    t = Table(spark, str(tmp_path / "t"), {"k": T.IntegerType()})
+    t.append(spark.createDataFrame([(1, 1), (2, 2)], "a int, k int"))
+    t.append(spark.createDataFrame([(3, 1)], "a int, k int"))
+    seen = []
+
+    def look():
+        before = files_of(tmp_path)
+        seen.append((t.read().columns, sorted(tuple(x) for x in t.read(with_batch=True).collect())))
+        assert files_of(tmp_path) == before
+
+    def watched(function):
+        def step(*args, **more):
+            look()
+            out = function(*args, **more)
+            look()
+            return out
+
+        return step
+
+    def reload():
+        change = t.change()
+        change.start_at(change.next_batch())
+        for n in (7, 8, 9):
+            change.put(spark.createDataFrame([(n, n)], "a int, k int"), change.next_batch())
+        change.publish()
+
+    def rewrite():
+        rows = t.read(with_batch=True).where("k = 1").withColumn("a", F.col("a") + 10).withColumn("n", F.lit("x"))
+        t.replace_partitions(rows)
+
+    grown = spark.createDataFrame([(4, 1, 0.5)], "a int, k int, more double")
+    for do in (lambda: t.write_batch(grown, 1), rewrite, reload):
+        look()
+        old = seen[-1]
+        seen.clear()
+        with monkeypatch.context() as m:
+            for name in ("write_text", "move_path", "remove_path", "child_names"):
+                m.setattr(tables, name, watched(getattr(tables, name)) if name != "child_names" else getattr(tables, name))
+            m.setattr(tables.Change, "_write", watched(tables.Change._write))
+            do()
+        look()
+        new = seen[-1]
+        assert old != new and all(state in (old, new) for state in seen) and len(seen) > 5
+    assert [x.a for x in t.read().orderBy("a").collect()] == [7, 8, 9]
+
+
+def test_old_folders_go_and_late_readers_still_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "KEEP", 2)
+    t = Table(spark, str(tmp_path / "t"), {"k": T.IntegerType()})
+    t.append(spark.createDataFrame([(k, k) for k in range(6)], "a int, k int"))
+    late = t.read()
+    t.replace_partitions(t.read(with_batch=True).where("k = 1").withColumn("a", F.lit(50)))
+    assert sorted(x.a for x in late.collect()) == [0, 1, 2, 3, 4, 5]
+    for k in (2, 3, 1, 1):
+        t.replace_partitions(t.read(with_batch=True).where(f"k = {k}").withColumn("a", F.col("a") + 10))
+    t.write_batch(spark.createDataFrame([(9, 9)], "a int, k int"), 1)
+    assert sorted(x.a for x in t.read().collect()) == [0, 4, 5, 9, 12, 13, 70]
+    parts = [f for f in files_of(tmp_path) if f.endswith(".parquet")]
+    assert len(parts) <= 9, "folders that no kept snapshot names are removed"
+    assert t.vacuum() == 0
 
 
 def test_partition_pruning_and_null_partition(spark, root):
@@ -140,6 +215,65 @@ def test_ingest_csv(spark, root, tmp_path):
     assert ingest_log(spark, [record]).first()["rejected_records"] == 3
 
 
+def test_ingest_reads_its_source_once(spark, root, tmp_path):
+    """Every raw row is computed once, whatever is counted; a NULL key that is hot is no row to keep."""
+    log = tmp_path / "seen"
+
+    def note(batches):
+        for batch in batches:
+            with open(log, "a") as out:
+                out.write("x" * batch.num_rows)
+            yield batch
+
+    lines = [(str(k % 40) if k % 3 else None, " Q ", f"z{k % 7}" if k % 5 else None, "s") for k in range(600)]
+    raw = spark.createDataFrame(lines, "LocationID string, Borough string, Zone string, service_zone string")
+    raw = raw.repartition(5).mapInArrow(note, raw.schema)
+    spec = zones_spec("unused")
+    table = Table(spark, f"{root}/zones")
+    record = ingest_frame(raw, spec, table)
+    assert len(log.read_text()) == 600
+    kept = {}
+    for key, _, zone, _ in lines:
+        if key is not None:
+            kept.setdefault(int(key), []).append((zone is None, zone))
+    assert (record.processed_records, record.null_key_records, record.final_records) == (600, 200, len(kept))
+    assert record.duplicate_records == 400 - len(kept)
+    got = {tuple(x) for x in table.read().select("location_id", "zone").collect()}
+    assert got == {(key, min(zones)[1]) for key, zones in kept.items()}
+    assert table.read().columns == ["location_id", "borough", "zone", "service_zone"]
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "b"], []])
+def test_graded_rows_keep_the_same_rows(spark, keys):
+    data = [(1, "b", 2.0), (1, None, 1.0), (1, "a", None), (1, "a", 3.0), (2, None, None), (None, "x", 1.0), (None, "x", 1.0), (2, None, None)]
+    df = spark.createDataFrame(data, "k int, b string, c double")
+    graded = graded_rows(df, keys)
+    counts = quality_counts(df, keys).first()
+    assert graded.agg(F.sum("_copies")).first()[0] == counts["processed"] == 8
+    complete = graded.drop("_copies").dropna(subset=keys) if keys else graded.drop("_copies")
+    want = one_row_per_key(df.dropna(subset=keys), keys) if keys else df.distinct()
+    assert frames_equal(complete, want) and complete.count() == counts["kept"]
+
+
+def test_a_reload_of_several_files_shows_all_or_none(spark, root, tmp_path):
+    specs = []
+    for n in (1, 2, 3):
+        (tmp_path / f"{n}.csv").write_text(f"LocationID,Borough,Zone,service_zone\n{n},B,z{n},s\n")
+        specs.append(zones_spec(str(tmp_path / f"{n}.csv")))
+    table = Table(spark, f"{root}/zones")
+    table.append(spark.createDataFrame([(9, "X", "old", "s")], "location_id int, borough string, zone string, service_zone string"))
+    shown = []
+
+    def watched():
+        for spec in specs:
+            shown.append([x.zone for x in table.read().collect()])
+            yield spec
+
+    records = ingest_all(spark, watched(), lambda _: table)
+    assert shown == [["old"]] * 3 and [x.final_records for x in records] == [1, 1, 1]
+    assert sorted(x.zone for x in table.read().collect()) == ["z1", "z2", "z3"] and table.versions() == [1, 2, 3]
+
+
 def test_ingest_restores_codes_and_times(spark, root, tmp_path):
     spec = air_quality_spec(str(tmp_path / "a.csv"))
     row = {c: "" for c in spec.raw_names}
@@ -244,8 +378,9 @@ def test_new_trips(spark, catalog):
     check_equals_rebuild(catalog)
     table = catalog.product("taxi_zone_statistics")
     first, version = p.provenance_of(table)
-    assert version == 2.0
-    assert table.read(as_of=0).select(F.col("creation_time").cast("string")).first()[0] == first
+    shown = p.read_product(table, p.ZONE_STATISTICS).first()
+    assert version == 2.0 and shown["schema_version"] == "2.0" and shown["refresh_time"] > shown["creation_time"]
+    assert shown["creation_time"].timestamp() == first.timestamp()
 
 
 def test_late_weather_with_new_column(spark, catalog):
@@ -298,11 +433,121 @@ def test_failure_before_the_state_is_saved(spark, catalog, monkeypatch):
     assert catalog.integrated.read().count() == 5
 
 
-def test_borough_layout_is_derived(catalog):
-    r.write_borough_layout(catalog)
-    assert frames_equal(
-        catalog.by_borough.read_latest().select(*COMPARED), catalog.integrated.read().select(*COMPARED)
+def check_layouts(cat):
+    day, borough = cat.integrated, cat.by_borough
+    assert day.versions() == borough.versions()
+    columns = [*COMPARED, "_batch_id"]
+    assert frames_equal(borough.read(with_batch=True).select(*columns), day.read(with_batch=True).select(*columns))
+    assert set(day.schema().names) == set(borough.schema().names)
+
+
+def folders(cat):
+    """Folders with data of the borough layout, by batch and write."""
+    now = cat.by_borough.snapshot()
+    return {(n, w.name): set(w.live) for n, b in now.batches.items() for w in b.writes}
+
+
+def test_both_layouts_in_step(spark, catalog):
+    """First build, new trips, late weather and air, changed zones, a reload: the layouts hold the same batches."""
+    check_layouts(catalog)
+    first = folders(catalog)
+    catalog.table("trips").append(trip_rows(spark, [(8, H(2, 11), 1, 3.0, 3.0)]))
+    r.refresh(catalog)
+    check_layouts(catalog)
+    assert first.items() <= folders(catalog).items(), "the first batch was left alone"
+    catalog.table("weather").append(weather_rows(spark, [("2024-01-01 11:00:00", 5.0, 1.0)]).withColumn("humidity", F.lit(1.0)))
+    r.refresh(catalog)
+    check_layouts(catalog)
+    kept = {key: live for key, live in folders(catalog).items() if key in first}
+    assert [sorted(live) for live in kept.values()] == [
+        ["pu_borough=__HIVE_DEFAULT_PARTITION__/day_timestamp=2024-01-02 00%3A00%3A00"]
+    ], "only the touched day was copied"
+    catalog.table("air_quality").append(air_rows(spark, [("A", "2024-01-02 11:00:00", "s1", 3.0)]))
+    catalog.table("zones").append(
+        spark.createDataFrame([(9, "C", "c1", "s")], "location_id int, borough string, zone string, service_zone string")
     )
+    r.refresh(catalog)
+    check_layouts(catalog)
+    assert not r.sync_borough_layout(catalog)
+    change = catalog.table("trips").change()
+    change.start_at(2)
+    change.put(trip_rows(spark, [(1, H(5, 10), 1, 2.0, 10.0)]), 2)
+    change.publish()
+    r.refresh(catalog)
+    check_layouts(catalog)
+    check_equals_rebuild(catalog)
+
+
+def test_layouts_meet_again_after_a_failure(spark, catalog, monkeypatch):
+    catalog.table("trips").append(trip_rows(spark, [(8, H(2, 11), 1, 3.0, 3.0)]))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(r, "sync_borough_layout", lambda _: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        r.refresh(catalog)
+    assert catalog.integrated.version() == 1 and catalog.by_borough.version() == 0
+    r.refresh(catalog)
+    check_layouts(catalog)
+
+
+def test_late_readings_are_taken_back_out(spark, catalog):
+    """A second station and a third correct the mean of an hour: the product forgets what it was."""
+    for n, level in (("s2", 3.0), ("s3", 8.0)):
+        catalog.table("air_quality").append(air_rows(spark, [("A", "2024-01-01 10:00:00", n, level)]))
+        assert r.refresh(catalog) == ["air_quality_impact_summary"]
+        check_equals_rebuild(catalog)
+    table = catalog.product("air_quality_impact_summary")
+    assert p.read_product(table, p.AIR_SUMMARY).first()["avg_air_quality"] == 4.0
+
+
+def test_products_scan_only_touched_days(spark, catalog, monkeypatch):
+    catalog.table("weather").append(weather_rows(spark, [("2024-01-01 11:00:00", 5.0, 1.0)]))
+    scanned = []
+    state = r.product_state
+    monkeypatch.setattr(r, "product_state", lambda rows, spec: (scanned.append(rows), state(rows, spec))[1])
+    r.refresh(catalog)
+    (rows,) = scanned
+    assert {str(x[0]) for x in rows.select("day_timestamp").distinct().collect()} == {"2024-01-01 00:00:00"}
+    assert "PartitionFilters: [" in plan_text(rows) and "day_timestamp" in plan_text(rows).split("PartitionFilters: ")[1]
+    assert not r.extend_product(catalog, p.WEATHER_SUMMARY)
+
+
+def test_a_day_without_rows_left(spark, catalog):
+    """A product whose day loses its last row loses the state of that day."""
+    table, spec = catalog.product("weather_impact_summary"), p.WEATHER_SUMMARY
+    assert p.read_product(table, spec).count() == 1
+    wide_rows = catalog.integrated.read(with_batch=True).where("day_timestamp = '2024-01-01'")
+    catalog.integrated.replace_partitions(wide_rows.withColumn("weather_prcp", F.lit(None).cast("double")))
+    assert r.extend_product(catalog, spec)
+    assert p.read_product(table, spec).count() == 0
+
+
+def test_all_air_columns_by_their_type(spark, catalog):
+    """Numbers are averaged, texts count if all agree; a column that comes later reaches the wide table."""
+    late = air_rows(spark, [("A", "2024-01-01 11:00:00", "s1", 3.0), ("A", "2024-01-01 11:00:00", "s2", 5.0)])
+    late = late.withColumns({"aqi": F.col("sample_measurement").cast("int") * 2, "units": F.lit("ug")})
+    catalog.table("air_quality").append(late)
+    r.refresh(catalog)
+    got = {x.vendor_id: x for x in catalog.integrated.read().collect()}
+    columns = ["air_q_sample_measurement", "air_q_aqi", "air_q_units", "air_q_site_num", "air_q_state_code"]
+    assert [got[2][c] for c in columns] == [4.0, 8.0, "ug", None, "36"]
+    assert [got[1][c] for c in columns] == [1.0, None, None, "s1", "36"]
+    check_layouts(catalog)
+    compared = [*COMPARED, *columns[1:]]
+    assert frames_equal(catalog.integrated.read().select(*compared), r.integrated_rows(catalog).select(*compared))
+
+
+def test_rebuild_is_one_write(spark, catalog, monkeypatch):
+    catalog.table("trips").append(trip_rows(spark, [(6, H(1, 12), 9, 1.0, 1.0)]))
+    catalog.table("trips").append(trip_rows(spark, [(7, H(3, 12), 1, 1.0, 1.0)]))
+    r.refresh(catalog)
+    catalog.table("trips").append(trip_rows(spark, [(8, H(3, 13), 1, 1.0, 1.0)]))
+    r.extend_integrated(catalog)
+    before = catalog.integrated.read(with_batch=True).select(*COMPARED, "_batch_id").collect()
+    writes, write = [], tables.Change._write
+    monkeypatch.setattr(tables.Change, "_write", lambda *a: (writes.append(a), write(*a))[1])
+    r.rebuild_integrated(catalog)
+    assert len(writes) == 1 and catalog.integrated.versions() == [0, 2, 3]
+    after = catalog.integrated.read(with_batch=True).select(*COMPARED, "_batch_id").collect()
+    assert sorted(map(str, before)) == sorted(map(str, after))
 
 
 def test_detect_changes(spark):
@@ -332,9 +577,9 @@ def test_products_behind(spark):
     assert behind() == set()
 
 
-@pytest.mark.parametrize("step", ["next", "away", "rewrite"])
+@pytest.mark.parametrize("step", ["data", "draft", "rewrite", "after"])
 def test_a_crash_loses_nothing(spark, tmp_path, step, monkeypatch):
-    """The write stops before the new folder is moved, after the old one is away, or within a rewrite."""
+    """The write stops before the snapshot is written, before it is renamed, within a rewrite, or while old ones go."""
     t = Table(spark, str(tmp_path / "t"), {"k": T.IntegerType()})
     t.append(spark.createDataFrame([(1, 1), (2, 2)], "a int, k int"))
 
@@ -342,18 +587,17 @@ def test_a_crash_loses_nothing(spark, tmp_path, step, monkeypatch):
         raise OSError("crash")
 
     with monkeypatch.context() as m:
-        if step == "rewrite":
-            m.setattr(Table, "_carry_out", fail)
-            change = lambda: t.replace_partitions(t.read(with_batch=True).where("k = 1").withColumn("a", F.lit(9)))
-        else:
-            moves, move = [], Table._move
-            stop = 0 if step == "next" else 1
-            m.setattr(Table, "_move", lambda *x: fail() if len(moves) == stop else (moves.append(x), move(*x)))
-            change = lambda: t.write_batch(spark.createDataFrame([(9, 1), (2, 2)], "a int, k int"), 0)
+        name = {"data": "write_text", "draft": "move_path", "rewrite": "move_path"}.get(step)
+        m.setattr(*((tables, name, fail) if name else (tables.Change, "_forget", fail)))
         with pytest.raises(OSError):
-            change()
+            if step == "rewrite":
+                t.replace_partitions(t.read(with_batch=True).where("k = 1").withColumn("a", F.lit(9)))
+            else:
+                t.write_batch(spark.createDataFrame([(9, 1), (2, 2)], "a int, k int"), 0)
     got = sorted(tuple(x) for x in t.read().collect())
-    assert got == ([(1, 1), (2, 2)] if step == "next" else [(2, 2), (9, 1)])
+    assert got == ([(2, 2), (9, 1)] if step == "after" else [(1, 1), (2, 2)])
+    t.write_batch(spark.createDataFrame([(5, 5)], "a int, k int"), 0)
+    assert [tuple(x) for x in t.read().collect()] == [(5, 5)]
 
 
 def test_a_table_loaded_afresh(spark, tmp_path):
