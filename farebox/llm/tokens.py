@@ -30,7 +30,7 @@ def _odd(text: str) -> bool:
 
 def words(text: str) -> list[str]:
     """Pieces for vocabularies that drop white space."""
-    return [text] if _odd(text) else text.split()
+    return [_AS_IS + text] if _odd(text) else text.split()
 
 
 def spaced_words(text: str) -> list[str]:
@@ -47,65 +47,105 @@ def spaced_words(text: str) -> list[str]:
     return pieces
 
 
-def _spaced(piece: str) -> str:
-    return piece[1:] if piece[:1] == _AS_IS else piece if piece[:1] == "\n" else " " + piece
+# Behind a letter or a digit a run of these is a token of its own in both vocabularies. The apostrophe is not: it may begin "'s".
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_TAILS = frozenset(_TAIL)
+# Lower case of what lies beyond may depend on the version of Unicode or on the letters around.
+_BEYOND = re.compile("[\u0100-\U0010ffff]")
+
+
+def _split_tail(piece: str) -> tuple[str, str | None]:
+    """A word and the punctuation behind it, if their ids do not depend on each other."""
+    stem = piece.rstrip(_TAIL)
+    if stem[-1:].isalpha() or stem[-1:] in "0123456789" and stem:
+        return stem, _AS_IS + piece[len(stem) :]
+    return piece, None
 
 
 class Encoder:
     """Encodes texts to the bytes of their ids as little-endian unsigned 32-bit integers.
 
-    Up to ``limit`` distinct pieces are remembered; then those that were needed only once go.
+    Words are remembered without the punctuation behind them, and in lower case where the vocabulary
+    has no other. Up to ``limit`` of them are; then those that were needed only once go. A text that
+    holds a token added to the vocabulary, such as its end mark, is encoded as the library does it, in one go.
     """
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 900_000):
+    def __init__(self, path: str, cut: Callable[[str], list[str]], limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._cut, self._limit = cut, limit
         self._known: dict[str, bytes] = {}
         self._again: set[str] = set()
         # Dropped white space separates pieces; kept white space begins them.
         self._spaced = cut is spaced_words
-
-    def _plain(self, piece: str) -> bool:
-        """Whether the piece can stand among others in one text without changing their ids."""
-        if self._spaced and piece[:1] == "\n":
-            piece = piece[1:]
-        return piece.isprintable() and piece != "" and " " not in piece
+        added = self._tokenizer.get_added_tokens_decoder()
+        self._added = [token.content for token in added.values()]
+        # A token that is looked for before anything else keeps what stands around it apart.
+        marks = [k for k, token in added.items() if token.special and not (token.normalized or token.lstrip or token.rstrip)]
+        self._mark = min(marks, default=None)
+        self._lower = not self._spaced and self._ids(["A"]) == self._ids(["a"])
+
+    def _text(self, piece: str) -> str:
+        if piece[:1] == _AS_IS:
+            return piece[1:]
+        return " " + piece if self._spaced and piece[:1] != "\n" else piece
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece by itself."""
+        out = []
+        if self._mark is None or any(a in piece for piece in pieces for a in self._added):
+            found = self._tokenizer.encode_batch([self._text(p) for p in pieces], add_special_tokens=False)
+            return [array("I", f.ids).tobytes() for f in found]
+        between = self._tokenizer.id_to_token(self._mark)
+        for at in range(0, len(pieces), 256):
+            text = between.join([self._text(p) for p in pieces[at : at + 256]]) + between
+            found = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids, before = found.tobytes(), 0
+            for until in (4 * np.flatnonzero(found == self._mark)).tolist():
+                out.append(ids[before:until])
+                before = until + 4
+        return out
+
+    def _lowered(self, pieces: list[str]) -> list[str]:
+        """In lower case, where that is the same in every version of Unicode; pieces hold no line end."""
+        joined = "\n".join(pieces)
+        if not _BEYOND.search(joined):
+            return joined.lower().split("\n") if pieces else []
+        return [piece if _BEYOND.search(piece) else piece.lower() for piece in pieces]
 
     def _learn(self, new: list[str]) -> None:
-        plain, other = [], []
-        for piece in new:
-            (plain if self._plain(piece) else other).append(piece)
-        for at in range(0, len(plain), 64):
-            part = plain[at : at + 64]
-            whole = [_spaced(piece) for piece in part] if self._spaced else [piece + " " for piece in part]
-            found = self._tokenizer.encode("".join(whole), add_special_tokens=False)
-            ends = np.cumsum([len(piece) for piece in whole])
-            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.ids))
-            last = 4 * np.searchsorted(begins, ends)
-            ids, before = array("I", found.ids).tobytes(), 0
-            for piece, until in zip(part, last.tolist()):
-                self._known[piece] = ids[before:until]
-                before = until
-        for at in range(0, len(other), 1024):
-            part = other[at : at + 1024]
-            whole = [_spaced(piece) for piece in part] if self._spaced else part
-            for piece, found in zip(part, self._tokenizer.encode_batch(whole, add_special_tokens=False)):
-                self._known[piece] = array("I", found.ids).tobytes()
+        """Remember new pieces, put together from a word and the punctuation behind it."""
+        plain = [p for p in new if p[:1] not in ("", _AS_IS, "\n")]
+        other = [p for p in new if p[:1] in ("", _AS_IS, "\n")]
+        words_ = self._lowered(plain) if self._lower else plain
+        parts = [_split_tail(w) if w[-1] in _TAILS else (w, None) for w in words_]
+        needed = set(other).union(stem for stem, _ in parts)
+        needed.update(tail for _, tail in parts if tail is not None)
+        missing = list(needed.difference(self._known))
+        known = self._known
+        known.update(zip(missing, self._ids(missing)))
+        for piece, (stem, tail) in zip(plain, parts):
+            if piece is not stem:
+                known[piece] = known[stem] if tail is None else known[stem] + known[tail]
+
+    def _pieces(self, text: str) -> list[str]:
+        if any(a in text for a in self._added):
+            return [_AS_IS + text]
+        return self._cut(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
+        cut = [self._pieces(text) for text in texts]
         pieces = set().union(*cut)
-        self._again |= pieces.difference(pieces.difference(self._known))
         if len(self._known) > self._limit:
-            self._known = {piece: self._known[piece] for piece in self._again}
+            self._known = {piece: self._known[piece] for piece in self._again if piece in self._known}
             if len(self._known) > self._limit // 2:
                 self._known.clear()
             self._again.clear()
-        self._learn(list(pieces.difference(self._known)))
+        new = pieces.difference(self._known)
+        self._again |= pieces.difference(new)
+        self._learn(list(new))
         return [b"".join(map(self._known.__getitem__, c)) for c in cut]
 
 
@@ -126,13 +166,13 @@ def batch_rows(batch, rows: int = 512) -> Iterator[tuple[list, list]]:
         yield batch.column(0).slice(at, rows).to_pylist(), batch.column(1).slice(at, rows).to_pylist()
 
 
-def portions(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
-    """Consecutive texts of about ``chars`` characters together, with the index of the first."""
+def portions(texts: list[str | None], chars: int = 1 << 20, rows: int = 1 << 30) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of about ``chars`` characters together, ``rows`` at most, with the index of the first."""
     start, held, size = 0, [], 0
     for text in texts:
         held.append(text or "")
         size += len(held[-1])
-        if size >= chars:
+        if size >= chars or len(held) >= rows:
             yield start, held
             start, held, size = start + len(held), [], 0
     if held:
