@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farebox.llm.components import components
 from farebox.llm.shingles import WORDS, shingle_sets
@@ -71,19 +71,23 @@ def _describe(size: int, bits: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << bits, np.uint32)
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary())])
+        schema = pa.schema(
+            [("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("cls", pa.int64()), ("sketch", pa.binary())]
+        )
         for batch in batches:
-            for first, part in portions(batch.column(1).to_pylist()):
+            for first, part in portions(batch.column(2).to_pylist()):
                 sets = _sets(part, size)
                 every = np.concatenate(sets)
                 bucket, count = np.unique((every >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
                 sketch[bucket] += count.astype(np.uint32)
                 n, cls = [len(s) for s in sets], [_signature(s) if len(s) else None for s in sets]
-                columns = [batch.column(0).slice(first, len(part)), pa.array(n, pa.int32()), pa.array(cls, pa.int64())]
+                keys = [batch.column(k).slice(first, len(part)) for k in range(2)]
+                columns = [*keys, pa.array(n, pa.int32()), pa.array(cls, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(part), pa.binary())], schema=schema)
         if sketch.any():
             for no, part in enumerate(np.split(sketch.astype("<u4"), len(sketch) >> SKETCH_BITS)):
-                row = [pa.nulls(1, pa.int64()), pa.array([no], pa.int32()), pa.nulls(1, pa.int64()), pa.array([part.tobytes()], pa.binary())]
+                none = pa.nulls(1, pa.int64())
+                row = [none, none, pa.array([no], pa.int32()), none, pa.array([part.tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(row, schema=schema)
 
     return run
@@ -287,7 +291,7 @@ def _search(size: int):
             sets = {}
             for first, part in portions(texts):
                 for cls, shingles in zip(classes[first:], _sets(part, size)):
-                    # Rows with the id of a class may be of another class; copies count once.
+                    # A text with the hash of another may be of another class; copies count once.
                     if cls == _signature(shingles):
                         sets[cls] = shingles
             names = np.array(list(sets), np.int64)
@@ -359,7 +363,7 @@ def _enough(found: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def _blocks(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, doc_id, block, whole, component, cut, cuts): blocks of joined classes, cut by family where they are
+    """(cls, place, block, whole, component, cut, cuts): blocks of joined classes, cut by family where they are
     too large; two parts together are about as large as a whole one may be."""
     joined = components(edges, "a", "b").withColumnsRenamed({"node": "cls"})
     both = edges.select(F.col("a").alias("cls"), F.col("b").alias("near")).union(edges.select("b", "a"))
@@ -374,7 +378,23 @@ def _blocks(edges: DataFrame, classes: DataFrame) -> DataFrame:
     sized = placed.join(total, "component").join(crowd, ["component", "family"])
     block = F.xxhash64("component", cut)
     where = [block.alias("block"), (cuts == 1).alias("whole"), "component", cut.alias("cut"), cuts.alias("cuts")]
-    return sized.select("cls", "doc_id", *where)
+    return sized.select("cls", "place", *where)
+
+
+def _once(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose place this task has not seen: copies of a text need not all be sent."""
+    seen: set[int] = set()
+    for batch in batches:
+        fresh = []
+        for place in batch.column(0).to_pylist():
+            fresh.append(place not in seen)
+            seen.add(place)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, place (a hash of the text) and text."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
 
 
 def similar_classes(
@@ -385,17 +405,54 @@ def similar_classes(
     Links join documents of which 4/5 of all their distinct shingles are shared; ``component_id`` is the
     least id reachable over links, the own one included. A document with fewer words than a shingle has
     the sequence of all its words as its only shingle. A null text and one without words has no shingle and no
-    link. Copies, also with the same id, are in one class; a null id is never the name of a component
-    unless nothing else is in it. An empty table gives an empty result. Sets and classes are compared
-    by 64-bit hashes.
+    link. Rows with one id and different texts are documents of their own, and rows without an id take part like
+    others: links run through them, but they never name a component unless nothing else is in it. An empty
+    table gives an empty result. Texts, sets and classes are compared by 64-bit hashes.
+    """
+    found = _components(_rows(docs, doc_id, text), slots(docs), input_parts(docs), size)
+    named = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return named.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def _key(doc_id: Column, place: Column) -> Column:
+    """A hash of a row's id and text."""
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), place)
+
+
+def one_of_each(docs: DataFrame, size: int = WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that with the least id, then text hash; all columns are kept.
+
+    Of rows with the same id and text one stays, the least by a hash of the whole row. Rows without a word are
+    linked with nothing and all stay. Only rows of components of several rows, and few others, are shuffled.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    parts = slots(docs)
-    describe = _describe(size, sketch_bits(input_parts(docs)))
-    described = stage(map_batches(rows, describe, "doc_id long, n int, cls long, sketch binary"), "described")
+    described = _components(_rows(docs, doc_id, text), slots(docs), input_parts(docs), size)
+    members = described.where("component IS NOT NULL").withColumn("key", _key(F.col("doc_id"), F.col("place")))
+    # Without an id last; struct() orders by its fields.
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place", "key")
+    groups = members.groupBy("component").agg(F.count("*").alias("rows"), F.min(rank)["key"].alias("first"))
+    groups = groups.where("rows > 1")
+    decided = members.join(groups, "component").select("key", (F.col("key") == F.col("first")).alias("stays"))
+    decided = stage(decided.distinct(), "decided")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), _key(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"))
+    marked = flagged(keyed, decided, "key")
+    alone = marked.where("NOT maybe").select("row.*")
+    met = marked.where("maybe").join(decided.hint("merge"), "key", "left").where("stays IS NULL OR stays")
+    same = Window.partitionBy("key").orderBy(F.xxhash64("row"))
+    # Rows that the filter let through by chance are in no group: each of them stays.
+    first = met.where("stays").withColumn("rank", F.row_number().over(same)).where("rank = 1").select("row.*")
+    return alone.union(first).union(met.where("stays IS NULL").select("row.*"))
+
+
+def _components(rows: DataFrame, parts: int, tasks: int, size: int) -> DataFrame:
+    """doc_id, place, n, component (null without a shingle) and component_id (null without an id) of every row."""
+    describe = _describe(size, sketch_bits(tasks))
+    schema = "doc_id long, place long, n int, cls long, sketch binary"
+    described = stage(map_batches(rows, describe, schema), "described")
     frequency = _frequencies(described.where("sketch IS NOT NULL").select("n", "sketch"))
     members = described.where("sketch IS NULL").drop("sketch")
-    classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    # Of each class one text, wherever it stands, is enough to compare it.
+    of_class = [F.min("doc_id").alias("doc_id"), F.min("place").alias("place"), F.first("n").alias("n")]
+    classes = members.where("n > 0").groupBy("cls").agg(*of_class)
     posted = map_batches(rows.select("text"), _post(size, frequency, parts), "bucket int, postings binary")
     schema = "key long, a long, b long, least long, seen long"
     found = stage(map_batches(posted.repartition(parts, "bucket"), _match, schema), "candidates")
@@ -410,8 +467,9 @@ def similar_classes(
     spokes = lists.join(hubs, "key").where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     blocks = stage(_blocks(stage(pairs.union(spokes.distinct()), "edges"), classes), "blocks")
     # The blocks grow with the documents, so the text side never relies on a broadcast of them.
-    wanted = flagged(rows, blocks, "doc_id").where("maybe").drop("maybe")
-    found = wanted.join(blocks.hint("merge"), "doc_id").select("block", "cls", "text", "whole")
+    wanted = flagged(rows.select("place", "text"), blocks, "place").where("maybe").drop("maybe")
+    wanted = map_batches(wanted, _once, "place long, text string")
+    found = wanted.join(blocks.hint("merge"), "place").select("block", "cls", "text", "whole")
     sent = found.drop("whole").repartition(parts, "block").sortWithinPartitions("block")
     labels = stage(map_batches(sent, _search(size), "cls long, label long"), "labels")
     # A block that is whole has its final labels; parts of a cut one are joined up once more.
@@ -423,10 +481,8 @@ def similar_classes(
         joined = components(labels.union(across), "cls", "label").withColumnsRenamed({"node": "cls"})
     named = classes.join(joined, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = stage(named.join(least, "component").select("cls", "component_id"), "components")
-    return members.join(of_class, "cls", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    of_class = stage(named.join(least, "component").select("cls", "component", "component_id"), "components")
+    return members.join(of_class, "cls", "left").select("doc_id", "place", "n", "component", "component_id")
 
 
 def _only_class(size: int):

@@ -28,7 +28,6 @@ def rows(corpus):
 
 def encode(name, text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -37,8 +36,8 @@ def test_pieces_give_the_ids_of_the_text(corpus, name, cut):
     rng = random.Random(3)
     odd = ["".join(rng.choices("aB é\n\t's!.́\xa0　ΣK1\x1c\x01​", k=rng.randint(0, 12))) for _ in range(300)]
     texts = [t or "" for _, t in corpus if len(t or "") < 2000] + odd + ["a\n\nb  c \n d", "<|endoftext|> x", "\nx y\n", " "]
+    texts += ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y. Z,", "<|ENDOFTEXT|>", "Don't stop.' 'S it's. 9.5%, İI ΑΣ, Σ. é.. A\u0301."]
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     encoder = Encoder(public_tokenizers.path(name), cut, limit=50)
     got = [np.frombuffer(encoder.encode([t])[0], "<u4").tolist() for t in texts]
@@ -110,9 +109,8 @@ def test_token_files_with_many_null_ids(spark, frame, tmp_path, monkeypatch):
     assert [r.doc_id for r in token_files.read_some(spark, str(tmp_path / "g"), [12]).collect()] == [12]
 
 
-@pytest.mark.parametrize(("block", "long"), [(4_000_000, 64), (300, 3)])
-def test_jaccard_classes(frame, rows, monkeypatch, block, long):
-    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+def _components(rows):
+    """(id, shingles, component) of every row, the component as a number, by comparing all pairs."""
     sets = []
     for doc_id, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -122,13 +120,83 @@ def test_jaccard_classes(frame, rows, monkeypatch, block, long):
         for j, (_, b) in enumerate(sets[:i]):
             if a and b and 100 * len(a & b) >= 80 * len(a | b) and label[i] != label[j]:
                 label = [label[j] if x == label[i] else x for x in label]
-    least = {}
-    for k, (doc_id, _) in zip(label, sets):
+    return [(doc_id, len(s), k) for k, (doc_id, s) in zip(label, sets)]
+
+
+def _named(rows):
+    """What the operator returns."""
+    found, least = _components(rows), {}
+    for doc_id, _, k in found:
         if doc_id is not None:
             least[k] = min(doc_id, least.get(k, doc_id))
-    want = [(d, len(s), least.get(k) if s else d) for k, (d, s) in zip(label, sets)]
+    return [(d, n, least.get(k) if n else d) for d, n, k in found]
+
+
+@pytest.mark.parametrize(("block", "long"), [(4_000_000, 64), (300, 3)])
+def test_jaccard_classes(frame, rows, monkeypatch, block, long):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
     got = jaccard_join.similar_classes(frame(rows)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, _named(rows)))
+
+
+@pytest.fixture(scope="module")
+def chains():
+    """Chains of texts of which only neighbours are similar, some of them with no id or with one id for all."""
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    rows = []
+    for ids in ([1, None, 2], [None, 5, None, 4], [None, None, None], [7, 7, 7, 6], [9, 9, None, 8]):
+        words = [word() for _ in range(60)]
+        for doc_id in ids:
+            rows.append((doc_id, " ".join(words)))
+            words = words[4:] + [word() for _ in range(4)]
+    return rows + [(7, "a text of its own with an id that others have"), (None, ""), (7, None), rows[0], rows[1], rows[1]]
+
+
+@pytest.mark.parametrize("block", [4_000_000, 150])
+def test_links_run_through_rows_without_an_id(frame, chains, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    got = jaccard_join.similar_classes(frame(chains)).collect()
+    want = _named(chains)
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert (2, 56, 1) in want and (8, 56, 8) in want
+
+
+def test_rows_of_one_id_are_not_multiplied(frame, monkeypatch):
+    rng = random.Random(17)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(300)]
+    rows = [(1, t) for t in texts] + [(1, t + " and more") for t in texts] + [(2, texts[0])] * 400
+    sent, plain = [], jaccard_join.map_batches
+
+    def counting(df, function, schema):
+        if schema == "cls long, label long":
+            sent.append(df.count())
+        return plain(df, function, schema)
+
+    monkeypatch.setattr(jaccard_join, "map_batches", counting)
+    got = jaccard_join.similar_classes(frame(rows)).collect()
+    assert len(got) == len(rows) and {r.component_id for r in got} == {1}
+    assert sum(sent) < 700
+
+
+def test_one_row_of_each_group_stays(frame, rows, chains):
+    data = rows + [(d if d is None else d + 1000, t) for d, t in chains]
+    docs = frame(data).withColumns({"key": F.lit(1), "row": F.lit("r"), "stays": F.lit("s"), "maybe": F.col("doc_id")})
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    groups, want = collections.defaultdict(set), collections.Counter()
+    for (doc_id, text), (_, n, k) in zip(data, _components(data)):
+        if n:
+            groups[k].add((doc_id, text))
+        else:
+            want[doc_id, text] += 1
+    for group in groups.values():
+        (found,) = [row for row in group if got[row]]
+        assert got[found] == 1 and found[0] == min((d for d, _ in group if d is not None), default=None)
+        want[found] += 1
+    assert got == want
+    assert jaccard_join.one_of_each(frame([])).count() == 0
 
 
 def _template_sets(n):
