@@ -28,6 +28,8 @@ UNKNOWN = "und"
 MARGIN = 0.5
 # With fewer n-grams than this the limit falls with the root of their number.
 ENOUGH_GRAMS = 400
+# Texts that are counted at a time, however short: a row of counts takes 64 KB.
+ROWS = 256
 _letters: list[np.ndarray] = []
 
 
@@ -122,7 +124,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     model = LanguageModel(np.ones(1 << BITS, np.float32))
     if not sample:
         return model
-    grams = np.vstack([counts(part)[0].astype(np.int32) for _, part in portions([r.body for r in sample])])
+    grams = np.vstack([counts(part)[0].astype(np.int32) for _, part in portions([r.body for r in sample], rows=ROWS)])
     some = grams.sum(axis=1) > 0
     model.idf = np.log((1 + some.sum()) / (1 + (grams > 0).sum(axis=0))).astype(np.float32) + 1
     labels = np.array([r.lang for r in sample])[some]
@@ -153,7 +155,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for first, part in portions(texts, 1 << 19):
+            for first, part in portions(texts, 1 << 19, ROWS):
                 lang, score, rejected = zip(*model.predict(part))
                 columns = [ids.slice(first, len(part)), pa.array(lang), pa.array(score, pa.float64()), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "rejected"])
@@ -168,7 +170,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in portions(batch.column(at).to_pylist(), 1 << 19):
+            for first, part in portions(batch.column(at).to_pylist(), 1 << 19, ROWS):
                 known = pa.array([not rejected for _, _, rejected in model.predict(part)], pa.bool_())
                 yield batch.slice(first, len(part)).filter(known)
 
