@@ -8,10 +8,10 @@ SQL cannot tokenise, so there is no SQL for the result; tests compare it with a
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farebox.llm import decontaminate, jaccard_join, language_id, packing, queries, secret_scan
-from farebox.llm.tables import flagged, read_table, stage
+from farebox.llm.tables import read_table, stage
 
 ORACLE_SQL = None
 
@@ -22,22 +22,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, that with the least id.
-
-    Rows with the same id are one document, of which the row with the least text hash stays. Rows with
-    a null id cannot be told apart by it; of those, one of each text stays. Only rows whose id may be
-    dropped or repeated are shuffled.
-    """
-    classes = stage(jaccard_join.similar_classes(docs.select("doc_id", "text")), "classes")
-    dropped = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
-    marked = flagged(docs, dropped.union(repeated.select("doc_id")), "doc_id", "__maybe")
-    single = marked.where("NOT __maybe").select(*docs.columns)
-    body = F.xxhash64("text")
-    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), body)).orderBy(body)
-    left = marked.where("__maybe").join(dropped.hint("merge"), "doc_id", "left_anti")
-    first = left.withColumn("__copy", F.row_number().over(same)).where("__copy = 1")
-    return single.union(first.select(*docs.columns))
+    """Keeps one document of each group of near duplicates, that with the least id; rows without a word all stay."""
+    return jaccard_join.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +33,15 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document, with a mark in place of each secret; ``n_chars`` follows the text."""
-    text = secret_scan.redacted(F.col("text"), F.col("__spans"))
-    changed = secret_scan.find_spans(docs, into="__spans").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn("n_chars", F.when(F.size("__spans") > 0, length).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    # The row is packed away, so that its columns may have any name.
+    packed = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = secret_scan.find_spans(packed, into="found")
+    text = secret_scan.redacted(F.col("text"), F.col("found"))
+    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": text}
+    if "n_chars" in columns:
+        length = F.length(text).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.size("found") > 0, length).otherwise(columns["n_chars"])
+    return found.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
