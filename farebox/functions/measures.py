@@ -1,21 +1,27 @@
 """Aggregate expressions.
 
-Sums and means take whole values, however small or large. The order in which tasks finish can
-change the last digits of a sum of doubles; ``shown`` takes these away where a number is presented,
-and nothing is rounded before that.
+Sums and means take whole values, however small or large, and do not depend on the order in which tasks
+finish: the first digits of each value are added up as decimals, which is exact, and what lies beyond
+them, which is next to nothing for measured values, as doubles. So a number is rounded once, where it is shown.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Digits after the point that do not depend on the order of adding up.
+# Digits after the point that numbers are shown with where nothing else is said.
 STABLE_DIGITS = 6
+# Digits after the point that are added up as decimals, and from where on values are not.
+EXACT_DIGITS, LARGE = 10, 1e15
 
 
 def total(c: Column) -> Column:
     """Sum of the non-NULL values; NULL without one."""
-    return F.sum(c.cast("double"))
+    value = c.cast("double")
+    # A decimal of 26 digits holds any value below LARGE, and its sum those of 10 ** 10 rows.
+    first = F.when(F.abs(value) < LARGE, value.cast(f"decimal(26,{EXACT_DIGITS})"))
+    rest = value - F.coalesce(first.cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(first).cast("double"), F.lit(0.0)) + F.sum(rest)
 
 
 def ratio(total: Column, n: Column) -> Column:
@@ -25,12 +31,12 @@ def ratio(total: Column, n: Column) -> Column:
 
 def mean(c: Column) -> Column:
     """Mean of the non-NULL values."""
-    return F.avg(c.cast("double"))
+    return ratio(total(c), F.count(c.cast("double")))
 
 
 def shown(c: Column, digits: int = STABLE_DIGITS) -> Column:
-    """Rounded for a reader; a number that lies between two is not tipped over by its last digits."""
-    return F.round(F.round(c, STABLE_DIGITS), digits)
+    """Rounded for a reader, half away from zero."""
+    return F.round(c, digits)
 
 
 def correlation(a: Column, b: Column) -> Column:

@@ -2,8 +2,7 @@
 
 The stored state of a measure is its unrounded total and its number of
 non-NULL values. Both add up, so old state plus the partials of new rows equals
-a rebuild over all rows, but for the last digits of a sum; averages and rounding happen only when the state is
-read.
+a rebuild over all rows; averages and rounding happen only when the state is read.
 """
 
 from __future__ import annotations
@@ -59,7 +58,7 @@ def merge_state(
         union = union.unionByName(state.select(*names))
     columns = [F.sum(DEMAND).alias(DEMAND)]
     for m in measures:
-        columns += [F.sum(m.total).alias(m.total), F.sum(m.filled).alias(m.filled)]
+        columns += [total(F.col(m.total)).alias(m.total), F.sum(m.filled).alias(m.filled)]
     return union.groupBy(*keys).agg(*columns)
 
 

@@ -27,6 +27,7 @@ from farebox.registry.sql import (
     UPDATE,
     WEATHER,
     ZONES,
+    exact_mean,
     half_up,
     mean,
     with_,
@@ -195,7 +196,7 @@ QUERIES = {
 }
 
 _BY_RAIN = with_(TRIPS, WEATHER) + f"""SELECT prcp <> 0 AS is_raining,
-  {half_up(mean('trip_distance'), 2)} AS avg_trip_distance
+  {half_up(exact_mean('trip_distance'), 2)} AS avg_trip_distance
 FROM trips JOIN weather ON date_trunc('hour', tpep_pickup_datetime) = timestamp WHERE prcp IS NOT NULL GROUP BY 1"""
 
 _PAIRS = "l_suppkey, l_returnflag, l_linestatus"

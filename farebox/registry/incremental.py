@@ -29,8 +29,8 @@ from farebox.registry.sql import (
     ROLES,
     TRIPS,
     UPDATE,
+    exact_mean,
     half_up,
-    mean,
     one_per_key,
     whole_means,
     with_,
@@ -505,7 +505,7 @@ LEFT JOIN early_air a ON pz.borough = a.county_name AND date_trunc('hour', tpep_
 FROM integrated LEFT JOIN air_text ON pu_borough = county_name AND weather_time = datetime_local""",
     "layouts_agree": _BASE
     + f"""SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, pu_borough,
-  {half_up(mean('fare_amount'), 4)} AS avg_fare FROM integrated WHERE pu_borough = 'ASIA' GROUP BY pu_borough""",
+  {half_up(exact_mean('fare_amount'), 4)} AS avg_fare FROM integrated WHERE pu_borough = 'ASIA' GROUP BY pu_borough""",
     "corrected_air": whole_means(with_(INTEGRATED, _CORRECTED)) + AIR_SQL.replace("FROM integrated", "FROM corrected"),
     "product_merge_sum": _BASE + ZONE_SQL,
     "mobility_merge_sum": _BASE + MOBILITY_SQL,

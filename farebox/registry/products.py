@@ -8,7 +8,7 @@ from farebox.operators import summaries as s
 from farebox.plans import products as p
 from farebox.registry import roles
 from farebox.registry.analytics import aired, pickup_zoned, weathered
-from farebox.registry.sql import INTEGRATED, half_up, mean, total, whole_means, with_
+from farebox.registry.sql import INTEGRATED, exact_mean, exact_total, half_up, mean, whole_means, with_
 from farebox.sources.scratch import scratch_path
 from farebox.sources.tables import Table
 
@@ -110,24 +110,24 @@ QUERIES = {
 
 
 def rounded_total(column: str) -> str:
-    return f"ROUND({total(column)}, 0)"
+    return f"ROUND({exact_total(column)}, 0)"
 
 
 _MONTH = "CAST(date_trunc('month', tpep_pickup_datetime) AS TIMESTAMP)"
 ZONE_SQL = f"""SELECT pu_zone, {_MONTH} AS month, COUNT(*) AS taxi_demand,
-  {half_up(mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance,
-  {half_up(mean('fare_amount'), 0)} AS avg_fare_amount, {rounded_total('fare_amount')} AS total_fare_amount
+  {half_up(exact_mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance,
+  {half_up(exact_mean('fare_amount'), 0)} AS avg_fare_amount, {rounded_total('fare_amount')} AS total_fare_amount
 FROM integrated GROUP BY 1, 2"""
 WEATHER_SQL = f"""SELECT weather_prcp <> 0 AS is_raining, COUNT(*) AS taxi_demand,
-  {half_up(mean('trip_distance'), 2)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
+  {half_up(exact_mean('trip_distance'), 2)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
 FROM integrated WHERE trip_distance IS NOT NULL AND weather_prcp IS NOT NULL GROUP BY 1"""
 AIR_SQL = f"""SELECT date_trunc('hour', tpep_pickup_datetime) AS pickup_hour, COUNT(*) AS taxi_demand,
   {mean('air_q_sample_measurement')} AS avg_air_quality,
-  {half_up(mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
+  {half_up(exact_mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
 FROM integrated WHERE air_q_sample_measurement IS NOT NULL GROUP BY 1"""
 MOBILITY_SQL = f"""SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
   dayname(tpep_pickup_datetime) AS day_of_week, COUNT(*) AS taxi_demand,
-  {half_up(mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
+  {half_up(exact_mean('trip_distance'), 0)} AS avg_trip_distance, {rounded_total('trip_distance')} AS total_trip_distance
 FROM integrated GROUP BY 1, 2"""
 _BASE = with_(INTEGRATED)
 

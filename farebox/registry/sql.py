@@ -33,18 +33,28 @@ ZONES = """zones AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def exact_total(expr: str) -> str:
+    """Sum of whole values that does not depend on the order of adding up: decimals, and what they leave."""
+    value = f"CAST({expr} AS DOUBLE)"
+    first = f"CAST({value} AS DECIMAL(38,10))"
+    return f"(CAST(SUM({first}) AS DOUBLE) + SUM({value} - CAST({first} AS DOUBLE)))"
+
+
+def exact_mean(expr: str) -> str:
+    return f"({exact_total(expr)} / COUNT({expr}))"
+
+
 def total(expr: str) -> str:
-    """Sum of whole values, without the digits that depend on the order of adding up."""
-    return f"ROUND(SUM(CAST({expr} AS DOUBLE)), 6)"
+    return f"ROUND({exact_total(expr)}, 6)"
 
 
 def mean(expr: str) -> str:
-    return f"ROUND(AVG(CAST({expr} AS DOUBLE)), 6)"
+    return f"ROUND({exact_mean(expr)}, 6)"
 
 
 def whole_means(sql: str) -> str:
     """The SQL with station means that are not rounded, for queries that average them once more."""
-    return sql.replace(mean("sample_measurement") + " AS sample_measurement", "AVG(sample_measurement) AS sample_measurement")
+    return sql.replace(mean("sample_measurement") + " AS sample_measurement", exact_mean("sample_measurement") + " AS sample_measurement")
 
 
 def half_up(expr: str, digits: int) -> str:
@@ -63,7 +73,7 @@ AIR = f"""air AS (
   SELECT state_code, borough AS county_name, CAST(place AS VARCHAR) AS site_num, sample_measurement, datetime_local
   FROM (SELECT CASE WHEN k % 10 = 9 THEN '34' ELSE '36' END AS state_code, user_id % 26 AS place,
       date_trunc('hour', ts) AS datetime_local,
-      {half_up(mean('CASE WHEN k % 10 <> 0 THEN value END'), 2)} AS sample_measurement
+      {half_up(exact_mean('CASE WHEN k % 10 <> 0 THEN value END'), 2)} AS sample_measurement
     FROM ev WHERE event_type = 'signup' GROUP BY 1, 2, 3)
   LEFT JOIN zones ON place = location_id)"""
 

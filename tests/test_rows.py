@@ -1,14 +1,18 @@
 """Quality, row sets, joins and ranking on small frames, brute force as the judge."""
 
+import random
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from farebox.functions import measures
 from farebox.measure import plan_text
 from farebox.operators import joins, quality, ranking, rowsets, summaries
 from farebox.operators.merge import fill_unmatched, key_condition, rows_with_new_key
+from farebox.operators.ordering import stored_order
 
 SCHEMA = "a int, b string"
 ROWS = st.lists(
@@ -227,3 +231,42 @@ def test_the_planner_chooses_the_join(spark, tmp_path):
         assert "BroadcastHashJoin" not in plan_text(joins.hour_join(fact, dim, "at", "ts", "d_", "hour"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbers_are_rounded_once(spark):
+    """Just below an edge, at it, tiny and huge values; the order of adding up does not matter."""
+    df = spark.createDataFrame([(0.1249999996,), (0.125,), (1e-12,), (3e18,)], "x double")
+    got = [r[0] for r in df.select(measures.shown(F.col("x"), 2)).collect()]
+    assert got == [0.12, 0.13, 0.0, 3e18]
+    rng = random.Random(1)
+    values = [round(rng.uniform(-1000, 1000), 4) for _ in range(3000)] + [1e-11, 2.5e17, -2.5e17, None]
+    sums = set()
+    for n in range(4):
+        rng.shuffle(values)
+        frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(n + 1)
+        sums.add(tuple(frame.agg(measures.total(F.col("x")), measures.mean(F.col("x"))).first()))
+    exact = sum(Fraction(v) for v in values if v is not None)
+    assert len({s for s, _ in sums}) <= 2 and all(abs(s - float(exact)) < 64 for s, _ in sums)
+    small = [v for v in values if v is not None and abs(v) < 1e15]
+    frames = [spark.createDataFrame([(v,) for v in rng.sample(small, len(small))], "x double").repartition(n) for n in (1, 3, 8)]
+    found = {tuple(f.agg(measures.total(F.col("x")), measures.mean(F.col("x"))).first()) for f in frames}
+    assert len(found) == 1 and found.pop()[0] == pytest.approx(float(sum(map(Fraction, small))), rel=1e-15)
+    assert spark.range(0).agg(measures.total(F.col("id")), measures.mean(F.col("id"))).first() == (None, None)
+
+
+@pytest.mark.parametrize("rising", [True, False])
+def test_stored_order(spark, tmp_path, rising):
+    rows = [(k % 5 if k % 7 else None, k) for k in range(200)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    keys = [("a", rising), ("b", True)]
+    order = [F.col("a").asc() if rising else F.col("a").desc(), F.col("b").asc()]
+    df.repartitionByRange(4, *order).sortWithinPartitions(*order).write.parquet(str(tmp_path / "sorted"))
+    df.repartition(3).write.parquet(str(tmp_path / "mixed"))
+    ok = stored_order(spark.read.parquet(str(tmp_path / "sorted")), keys).first()
+    assert (ok.row_count, ok.out_of_order) == (200, 0) and ok.files > 1
+    rank = lambda r: ((r.a is not None, r.a or 0) if rising else (r.a is None, -(r.a or 0)), r.b)
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    stored = [r for f in sorted((tmp_path / "mixed").glob("*.parquet")) for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+    wrong = sum(rank(x) > rank(y) for x, y in zip(stored, stored[1:]))
+    assert stored_order(mixed, keys).first().out_of_order == wrong > 50
+    assert tuple(stored_order(mixed.where("b < 0"), keys).first()) == (0, 0, 0)
