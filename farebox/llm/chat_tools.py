@@ -1,10 +1,11 @@
 """Tool calls of conversations: linked with their results, ordered, validated and serialised.
 
-Calls and results meet in a hash join on the identifier. Calls name the calls they come after; the level
-of a call is one more than the highest of those, and sorting by level and turn is a topological order.
-It is found in rounds that each settle the calls whose predecessors are all settled, so there are as many
-rounds as levels and no conversation has to fit into one task. Arguments are checked against the schema
-of the called tool, and each call becomes one line of canonical JSON: sorted names, no blanks.
+Calls and results meet in a hash join on conversation and identifier. Calls name the calls they come after;
+the level of a call is one more than the highest of those, and sorting by level and turn is a topological
+order. It is found in rounds over all conversations together, so none has to fit into one task. A call behind
+a single other one points to it, and pointers are doubled: a chain of n calls takes about log2(n) rounds.
+Arguments are checked against the schema of the called tool, and each call becomes one line of canonical
+JSON: sorted names, no blanks.
 """
 
 from __future__ import annotations
@@ -70,23 +71,32 @@ def schema_errors(value, schema: Mapping, at: str = "$") -> list[str]:
 
 
 def call_levels(calls: DataFrame) -> DataFrame:
-    """(call_id, level) of calls with ``call_id`` and ``after``; without a row for those in or behind a cycle.
+    """(key, level) of calls with ``key`` and ``after``, keys of other calls; without a row for those in or behind a cycle.
 
-    Identifiers in ``after`` that no call has are ignored.
+    Keys in ``after`` that no call has are ignored.
     """
-    ids = calls.select("call_id").distinct()
-    named = calls.select("call_id", F.explode("after").alias("before")).distinct()
-    edges = stage(named.join(ids.withColumnsRenamed({"call_id": "before"}), "before"), "edges")
-    waits = edges.groupBy("call_id").agg(F.count("*").alias("n"))
-    settled = stage(ids.join(edges, "call_id", "left_anti").withColumn("level", F.lit(0)), "levels")
-    last = settled
-    while not last.isEmpty():
-        # Only calls behind one that has just been settled can be next.
-        touched = edges.join(last.select(F.col("call_id").alias("before")), "before").select("call_id").distinct()
-        known = edges.join(touched, "call_id").join(settled.withColumnsRenamed({"call_id": "before"}), "before")
-        ready = known.groupBy("call_id").agg(F.count("*").alias("m"), F.max("level").alias("top")).join(waits, "call_id")
-        last = stage(ready.where("m = n").select("call_id", (F.col("top") + 1).cast("int").alias("level")), "levels")
-        settled = settled.union(last)
+    ids = calls.select("key").distinct()
+    named = calls.select("key", F.explode("after").alias("before")).distinct()
+    edges = stage(named.join(ids.withColumnsRenamed({"key": "before"}), "before").select("key", "before"), "edges")
+    waits = edges.groupBy("key").agg(F.count("*").alias("n"), F.min("before").alias("to"))
+    settled = stage(ids.join(edges, "key", "left_anti").withColumn("level", F.lit(0)), "levels")
+    jumps = stage(waits.where("n = 1").select("key", "to", F.lit(1).alias("far")), "jumps")
+    several = stage(waits.where("n > 1").select("key", "n"), "several")
+    fresh = settled
+    while not fresh.isEmpty():
+        known = settled.withColumnsRenamed({"key": "to", "level": "top"})
+        chained = jumps.join(known, "to").select("key", (F.col("top") + F.col("far")).alias("level"))
+        reached = edges.join(several, "key").join(known.withColumnRenamed("to", "before"), "before")
+        reached = reached.groupBy("key", "n").agg(F.count("*").alias("m"), F.max("top").alias("top")).where("m = n")
+        fresh = stage(chained.union(reached.select("key", (F.col("top") + 1).alias("level"))), "levels")
+        settled = settled.union(fresh)
+        done = fresh.select("key")
+        several = stage(several.join(done, "key", "left_anti"), "several")
+        left = jumps.join(done, "key", "left_anti")
+        # What a pointer leads to may itself point further; settled calls and those behind several stay its end.
+        onward = left.select(F.col("key").alias("to"), F.col("to").alias("onward"), F.col("far").alias("more"))
+        further = F.coalesce("onward", "to").alias("to"), (F.col("far") + F.coalesce("more", F.lit(0))).alias("far")
+        jumps = stage(left.join(onward, "to", "left").select("key", *further), "jumps")
     return settled
 
 
@@ -97,8 +107,8 @@ def _line(schemas: Mapping[str, Mapping]):
     def one(row: dict) -> tuple:
         key = row["conv_id"], row["call_id"], row["turn"], row["level"], row["name"]
         if row["orphan"]:
-            return (*key, "orphan", None, None, canonical({"id": row["call_id"], "result": row["content"]}))
-        status = "cycle" if row["level"] is None else "linked" if row["answered"] else "unanswered"
+            return (*key, row["status"] or "orphan", None, None, canonical({"id": row["call_id"], "result": row["content"]}))
+        status = row["status"] or ("cycle" if row["level"] is None else "linked" if row["answered"] else "unanswered")
         try:
             arguments = json.loads(row["arguments"])
         except (TypeError, ValueError):
@@ -120,34 +130,46 @@ def _line(schemas: Mapping[str, Mapping]):
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
-    """One row per call, and one per result without a call.
-
-    ``calls``: conv_id, call_id, turn, name, arguments (JSON text), after (identifiers); ``results``:
-    conv_id, call_id, turn, content. Result: conv_id, call_id, turn, level, name, status (linked,
-    unanswered, cycle or orphan), valid, errors, line. Repeated rows count once; of different calls
-    or results with one identifier the least by turn, then by content, is kept. A null identifier links with
-    nothing: such calls are left out, such results are orphans. Null arguments are invalid.
+    """One row per call, and one per result that answers none.
+
+    ``calls``: conv_id, call_id, turn, name, arguments (JSON text), after (identifiers in the conversation);
+    ``results``: conv_id, call_id, turn, content. Result: conv_id, call_id, turn, level, name, status, valid,
+    errors, line. Identifiers need to be unique in a conversation only; rows without a conversation are one.
+    Status is linked, unanswered or cycle for a call, orphan for a result without a call. Repeated rows count
+    once. Of different calls, or results, with one identifier the least by turn, then by content, counts; the
+    others are surplus, and calls without an identifier nameless: they link with nothing and have no level.
+    Null arguments are invalid.
     """
-    known = calls.where("call_id IS NOT NULL")
-    call = known.groupBy("call_id").agg(F.min(F.struct("turn", "arguments", "name", "conv_id", "after")).alias("c"))
-    call = call.select("call_id", "c.*")
-    answer = results.where("call_id IS NOT NULL").groupBy("call_id").agg(
-        F.min(F.struct("turn", "content", "conv_id")).alias("r")
-    )
-    lost = results.where("call_id IS NULL").select("call_id", F.struct("turn", "content", "conv_id").alias("r")).distinct()
-    both = call.withColumn("is_call", F.lit(True)).join(answer, "call_id", "full")
-    both = both.unionByName(lost, allowMissingColumns=True)
-    levelled = both.join(call_levels(call), "call_id", "left")
-    orphan = F.col("is_call").isNull()
-    rows = levelled.select(
-        F.coalesce("conv_id", "r.conv_id").cast("long").alias("conv_id"),
-        "call_id",
-        F.coalesce("turn", "r.turn").cast("long").alias("turn"),
-        "level",
-        "name",
-        "arguments",
+    at = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), "call_id")
+    after = F.transform("after", lambda a: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), a))
+    said = F.struct("turn", "arguments", "name", "conv_id", "call_id", F.coalesce(after, F.array()).alias("after"))
+    told = F.struct("turn", "content", "conv_id", "call_id")
+    key = F.when(F.col("call_id").isNotNull(), at).alias("key")
+
+    def chosen(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(the row of each key, the other rows)."""
+        rows = rows.distinct()
+        first = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("row"))
+        rest = rows.join(first.withColumnsRenamed({"row": "first"}), "key", "left")
+        return first, rest.where("first IS NULL OR first <> row").select("key", "row")
+
+    call, more_calls = chosen(calls.select(key, said.alias("row")))
+    answer, more_results = chosen(results.select(key, told.alias("row")))
+    both = call.withColumnRenamed("row", "c").join(answer.withColumnRenamed("row", "r"), "key", "full")
+    levelled = both.join(call_levels(call.select("key", "row.after")), "key", "left")
+    surplus = F.when(F.col("key").isNotNull(), "surplus")
+    extra = more_calls.select(F.col("row").alias("c"), F.coalesce(surplus, F.lit("nameless")).alias("status"))
+    extra = extra.unionByName(more_results.select(F.col("row").alias("r"), surplus.alias("status")), allowMissingColumns=True)
+    rows = levelled.unionByName(extra, allowMissingColumns=True).select(
+        F.coalesce("c.conv_id", "r.conv_id").cast("long").alias("conv_id"),
+        F.coalesce("c.call_id", "r.call_id").alias("call_id"),
+        F.coalesce("c.turn", "r.turn").cast("long").alias("turn"),
+        F.col("level").cast("int").alias("level"),
+        "c.name",
+        "c.arguments",
         F.col("r.content").alias("content"),
         F.col("r").isNotNull().alias("answered"),
-        orphan.alias("orphan"),
+        F.col("c").isNull().alias("orphan"),
+        "status",
     )
     return map_batches(rows, _line(schemas), _OUT)

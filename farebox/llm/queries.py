@@ -119,27 +119,27 @@ TOOLS = {
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as tool calls: system and user turns call, an assistant turn answers the turn before it.
 
-    Every call comes after the one that opens its conversation.
+    Every call comes after the call one or two turns before it, so those of a conversation form a chain.
+    Their identifiers are unique in a conversation only. Turns of other roles are neither call nor result.
     """
     turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    call_id = F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"))
-    opening = F.concat(call_id, F.lit("0"))
+
+    def call_id(back: int):
+        return F.concat(F.lit("call_"), (F.col("turn") - back).cast("string"))
+
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     asked = F.to_json(F.struct(words.alias("words"), F.col("text").alias("question")))
     told = F.to_json(F.struct(F.col("text").alias("instructions")))
     calls = turns.where("role IN ('system', 'user')").select(
         "conv_id",
-        F.concat(call_id, F.col("turn").cast("string")).alias("call_id"),
+        call_id(0).alias("call_id"),
         "turn",
         F.when(F.col("role") == "user", "ask").otherwise("configure").alias("name"),
         F.when(F.col("role") == "user", asked).otherwise(told).alias("arguments"),
-        F.when(F.col("turn") > 0, F.array(opening)).otherwise(F.array().cast("array<string>")).alias("after"),
+        F.array(call_id(1), call_id(2)).alias("after"),
     )
     results = turns.where("role = 'assistant'").select(
-        "conv_id",
-        F.concat(call_id, (F.col("turn") - 1).cast("string")).alias("call_id"),
-        "turn",
-        F.col("text").alias("content"),
+        "conv_id", call_id(1).alias("call_id"), "turn", F.col("text").alias("content")
     )
     return chat_tools.link_calls(calls, results, TOOLS)
 

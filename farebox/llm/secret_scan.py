@@ -90,14 +90,14 @@ def _entropy(body: str, alphabet: str) -> str:
     def change(count: str, step: str) -> str:
         return f"({term.format(c=f'({count} {step})')} - {term.format(c=count)})"
 
-    # When the same character enters and leaves, nothing changes; otherwise the two changes are independent.
+    # The characters are looked up once, so a step costs the same wherever it is in a long string. When
+    # the same character enters and leaves, nothing changes; otherwise the two changes are independent.
     return f"""
-    aggregate(
-      sequence(1, length({body})),
+    element_at(transform(array(transform(split({body}, ''), ch -> instr({_quoted(alphabet)}, ch) - 1)), codes -> aggregate(
+      sequence(1, size(codes)),
       named_struct('n', array_repeat(0, {len(alphabet)}), 'sum', 0.0D, 'best', 0.0D),
       (s, i) -> element_at(transform(array(named_struct(
-          'into', instr({_quoted(alphabet)}, substring({body}, i, 1)) - 1,
-          'out', IF(i > {WIDTH}, instr({_quoted(alphabet)}, substring({body}, i - {WIDTH}, 1)) - 1, -1))), x ->
+          'into', codes[i - 1], 'out', IF(i > {WIDTH}, codes[greatest(i - {WIDTH} - 1, 0)], -1))), x ->
         element_at(transform(array(
             s.sum + IF(x.into = x.out, 0.0D,
               {change("s.n[x.into]", "+ 1")}
@@ -106,7 +106,7 @@ def _entropy(body: str, alphabet: str) -> str:
             'n', IF(x.into = x.out, s.n, transform(s.n, (c, k) -> c + IF(k = x.into, 1, 0) - IF(k = x.out, 1, 0))),
             'sum', total,
             'best', IF(i >= {WIDTH}, greatest(s.best, log2({WIDTH}.0D) - total / {WIDTH}.0D), s.best))), 1)), 1),
-      s -> s.best)"""
+      s -> s.best)), 1)"""
 
 
 def find_spans(

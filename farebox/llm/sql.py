@@ -118,32 +118,30 @@ FROM pages JOIN judged ON pages.url IS NOT DISTINCT FROM judged.url LEFT JOIN in
 TOOL_CALLS = r"""
 WITH t AS (SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM conversations),
 c AS (
-  SELECT concat('call_', conv_id, '_', turn) AS call_id, min_by(r, (turn, a)) AS r
-  FROM (SELECT *, to_json(text)::VARCHAR AS a, struct_pack(conv_id, turn, role, text, words) AS r FROM t
-    WHERE role IN ('system', 'user')) GROUP BY 1),
-a AS (
-  SELECT concat('call_', conv_id, '_', turn - 1) AS call_id, min_by(r, (turn, text)) AS r
-  FROM (SELECT *, struct_pack(conv_id, turn, text) AS r FROM t WHERE role = 'assistant') GROUP BY 1),
+  SELECT *, sum(CASE WHEN turn - before <= 2 THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) AS chain
+  FROM (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM t WHERE role IN ('system', 'user'))),
+l AS (SELECT *, row_number() OVER (PARTITION BY conv_id, chain ORDER BY turn) - 1 AS level FROM c),
+a AS (SELECT * FROM t WHERE role = 'assistant'),
 j AS (
-  SELECT coalesce(c.call_id, a.call_id) AS call_id, c.r AS c, a.r AS a,
-    EXISTS (SELECT 1 FROM c AS o WHERE o.call_id = concat('call_', c.r.conv_id, '_0')) AS opened
-  FROM c FULL JOIN a ON c.call_id = a.call_id),
+  SELECT coalesce(l.conv_id, a.conv_id) AS conv_id, concat('call_', coalesce(l.turn, a.turn - 1)) AS call_id,
+    coalesce(l.turn, a.turn) AS turn, l.level AS level, l.role AS role, l.text AS said, l.words AS words, a.text AS told,
+    l.turn IS NOT NULL AS called, a.turn IS NOT NULL AS answered
+  FROM l FULL JOIN a ON l.conv_id = a.conv_id AND l.turn = a.turn - 1),
 e AS (
-  SELECT *, CASE WHEN c.role = 'system' THEN CASE WHEN c.text = '' THEN '$.instructions: too short' ELSE '' END
-    WHEN c.role = 'user' THEN concat_ws('; ', CASE WHEN c.text = '' THEN '$.question: too short' END,
-      CASE WHEN length(c.text) > 2000 THEN '$.question: too long' END,
-      CASE WHEN c.words < 3 THEN '$.words: too small' END) END AS errors
+  SELECT *, CASE WHEN role = 'system' THEN CASE WHEN said = '' THEN '$.instructions: too short' ELSE '' END
+    WHEN role = 'user' THEN concat_ws('; ', CASE WHEN said = '' THEN '$.question: too short' END,
+      CASE WHEN length(said) > 2000 THEN '$.question: too long' END,
+      CASE WHEN words < 3 THEN '$.words: too small' END) END AS errors
   FROM j)
-SELECT coalesce(c.conv_id, a.conv_id) AS conv_id, call_id, coalesce(c.turn, a.turn) AS turn,
-  CASE WHEN c IS NULL THEN NULL WHEN c.turn > 0 AND opened THEN 1 ELSE 0 END AS level,
-  CASE c.role WHEN 'user' THEN 'ask' WHEN 'system' THEN 'configure' END AS name,
-  CASE WHEN c IS NULL THEN 'orphan' WHEN a IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+SELECT conv_id, call_id, turn, CAST(level AS INTEGER) AS level,
+  CASE role WHEN 'user' THEN 'ask' WHEN 'system' THEN 'configure' END AS name,
+  CASE WHEN NOT called THEN 'orphan' WHEN NOT answered THEN 'unanswered' ELSE 'linked' END AS status,
   errors = '' AS valid, errors,
-  CASE WHEN c IS NULL THEN json_object('id', call_id, 'result', a.text)
-    WHEN c.role = 'user' THEN json_object('arguments', json_object('question', c.text, 'words', c.words), 'id', call_id,
-      'name', 'ask', 'result', a.text)
-    ELSE json_object('arguments', json_object('instructions', c.text), 'id', call_id, 'name', 'configure',
-      'result', a.text) END::VARCHAR AS line
+  CASE WHEN NOT called THEN json_object('id', call_id, 'result', told)
+    WHEN role = 'user' THEN json_object('arguments', json_object('question', said, 'words', words), 'id', call_id,
+      'name', 'ask', 'result', told)
+    ELSE json_object('arguments', json_object('instructions', said), 'id', call_id, 'name', 'configure',
+      'result', told) END::VARCHAR AS line
 FROM e"""
 
 

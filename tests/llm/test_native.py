@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 
 import pytest
 
@@ -157,3 +159,13 @@ def test_secrets_are_redacted(frame):
 def test_short_candidates_are_refused(frame):
     with pytest.raises(ValueError):
         secret_scan.find_spans(frame([]), classes=(secret_scan.EntropyClass("k", "ab", "[ab]", 3, 1.0),))
+
+
+def test_a_very_long_candidate(frame):
+    """The cost of a string follows its length: a run of 200,000 characters takes seconds."""
+    rng = random.Random(3)
+    body = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=200_000))
+    started = time.monotonic()
+    (row,) = secret_scan.find_spans(frame([(1, f"data {body} end")]).drop("spans")).collect()
+    assert [(s["at"], s["until"]) for s in row.spans if s["rank"] == 4] == [(5, 5 + len(body))]
+    assert time.monotonic() - started < 60

@@ -397,24 +397,71 @@ SCHEMA = {"f": {"type": "object", "properties": {"n": {"type": "integer", "minim
                 "required": ["n"], "additionalProperties": False}}
 
 
+def plain_levels(calls):
+    """Levels by following what each call names, None in or behind a cycle."""
+    known = {}
+    for conv, call, after in calls:
+        known.setdefault((conv, call), [(conv, a) for a in after or []])
+    levels = {}
+
+    def level(key, path):
+        if key in path:
+            return None
+        if key not in levels:
+            before = [level(k, path | {key}) for k in known[key] if k in known]
+            levels[key] = None if None in before else 1 + max(before, default=-1)
+        return levels[key]
+
+    return {key: level(key, frozenset()) for key in known}
+
+
+def frames_of(spark, calls, results):
+    c = spark.createDataFrame(calls, "conv_id long, call_id string, turn long, name string, arguments string, after array<string>")
+    return c, spark.createDataFrame(results, "conv_id long, call_id string, turn long, content string")
+
+
 def test_tool_calls(spark):
     calls = [(1, "a", 0, "f", '{"n": 2}', []), (1, "b", 2, "f", '{"s": "b", "z": [1]}', ["a", "gone"]),
              (1, "c", 4, "f", "{", ["b", "a"]), (1, "d", 6, "g", "{}", ["e"]), (1, "e", 8, "f", None, ["d"]),
-             (2, None, 0, "f", "{}", []), (1, "a", 0, "f", '{"n": 2}', []), (2, "x", 1, "f", '{"n":true}', None)]
-    results = [(1, "a", 1, "é\n"), (1, "c", 5, "late"), (1, "c", 6, "later"), (3, "lost", 7, "r"), (3, None, 8, "q")]
-    c = spark.createDataFrame(calls, "conv_id long, call_id string, turn long, name string, arguments string, after array<string>")
-    r = spark.createDataFrame(results, "conv_id long, call_id string, turn long, content string")
-    got = {x.call_id: x for x in chat_tools.link_calls(c, r, SCHEMA).collect()}
-    assert {k: (x.status, x.level) for k, x in got.items()} == {
-        "a": ("linked", 0), "b": ("unanswered", 1), "c": ("linked", 2), "d": ("cycle", None), "e": ("cycle", None),
-        "x": ("unanswered", 0), "lost": ("orphan", None), None: ("orphan", None)}
-    assert got["a"].valid and got["a"].line == '{"arguments":{"n":2},"id":"a","name":"f","result":"é\\n"}'
-    assert got["b"].errors == "$.n: missing; $.s: not one of the allowed values; $.z: unknown"
-    assert got["c"].errors == "$: not JSON" and json.loads(got["c"].line)["result"] == "late"
-    assert got["x"].errors == "$.n: not of type integer" and got["d"].errors == "$: unknown tool"
+             (2, None, 0, "f", "{}", []), (1, "a", 0, "f", '{"n": 2}', []), (2, "x", 1, "f", '{"n":true}', None),
+             (2, "a", 5, "f", '{"n": 9}', ["x"]), (1, "a", 3, "f", '{"n": 4}', []), (None, "a", 1, "f", '{"n": 1}', [])]
+    results = [(1, "a", 1, "é\n"), (1, "c", 5, "late"), (1, "c", 6, "later"), (3, "lost", 7, "r"), (3, None, 8, "q"), (2, "a", 6, "two")]
+    c, r = frames_of(spark, calls, results)
+    rows = chat_tools.link_calls(c, r, SCHEMA).collect()
+    status = collections.Counter((x.conv_id, x.call_id, x.turn, x.status, x.level) for x in rows)
+    assert status == collections.Counter([
+        (1, "a", 0, "linked", 0), (1, "b", 2, "unanswered", 1), (1, "c", 4, "linked", 2), (1, "d", 6, "cycle", None),
+        (1, "e", 8, "cycle", None), (2, None, 0, "nameless", None), (2, "x", 1, "unanswered", 0), (2, "a", 5, "linked", 1),
+        (1, "a", 3, "surplus", None), (None, "a", 1, "unanswered", 0), (1, "c", 6, "surplus", None),
+        (3, "lost", 7, "orphan", None), (3, None, 8, "orphan", None)])
+    got = {(x.conv_id, x.call_id): x for x in rows if x.status not in ("surplus", "nameless")}
+    assert got[1, "a"].valid and got[1, "a"].line == '{"arguments":{"n":2},"id":"a","name":"f","result":"é\\n"}'
+    assert json.loads(got[2, "a"].line)["result"] == "two"
+    assert got[1, "b"].errors == "$.n: missing; $.s: not one of the allowed values; $.z: unknown"
+    assert got[1, "c"].errors == "$: not JSON" and json.loads(got[1, "c"].line)["result"] == "late"
+    assert got[2, "x"].errors == "$.n: not of type integer" and got[1, "d"].errors == "$: unknown tool"
     assert chat_tools.link_calls(c.limit(0), r.limit(0), SCHEMA).count() == 0
 
 
+def test_levels_of_long_chains_and_of_graphs(spark, monkeypatch):
+    """A chain of 300 calls takes few rounds; random graphs with cycles get the levels of a plain search."""
+    rng = random.Random(21)
+    calls = [(1, f"k{n}", n, "f", "{}", [f"k{n - 1}"] if n else []) for n in range(300)]
+    for conv in (2, 3):
+        for n in range(25):
+            before = [f"k{rng.randrange(n)}" for _ in range(rng.choice([0, 1, 1, 1, 2, 3]))] if n else []
+            if n in (17, 18) and conv == 3:
+                before.append(f"k{35 - n}")
+            calls.append((conv, f"k{n}", n, "f", "{}", before))
+    staged, plain = [], chat_tools.stage
+    monkeypatch.setattr(chat_tools, "stage", lambda df, label: (staged.append(label), plain(df, label))[1])
+    c, r = frames_of(spark, calls, [])
+    got = {(x.conv_id, x.call_id): x.level for x in chat_tools.link_calls(c, r, SCHEMA).collect()}
+    assert got == plain_levels([(x[0], x[1], x[5]) for x in calls])
+    assert got[1, "k299"] == 299 and staged.count("levels") < 30
+    assert any(level is None for level in got.values())
+
+
 def test_pipeline(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
     more = source.limit(3).unionByName(source.limit(1).select(
