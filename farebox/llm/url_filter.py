@@ -30,9 +30,14 @@ class Rule(NamedTuple):
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Host, then path, of the first "://".
 _PARTS = r"://([^/?#]*)([^?#]*)"
-_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
+_TAGS = r"(?is)(<(?:link|meta)\b[^>]*>)"
+_CANONICAL = r"(?is)^<link\b[^>]*\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b"
 _HREF = r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*['\"]?\s*([^\"'\s>]+)"
+_REFRESH = r"(?is)^<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
+_CONTENT = r"(?is)\bcontent\s*=\s*(?:\"[^\">]*?|'[^'>]*?|[^\s>]*?)\burl\s*=\s*[\"']?\s*([^\"'\s>]+)"
+# Scheme and host, then path, of an absolute address.
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+_DIRECTORY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/(?:[^?#]*/)?)"
 
 
 def host_of(url: str) -> Column:
@@ -61,22 +66,59 @@ def url_key(host: Column, path: Column, url: Column) -> Column:
     return F.concat(host, F.when(path == "", "/").otherwise(path), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` steps."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    kept = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(step == ".", done)
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    return F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The address that ``target`` means on the page ``base``: absolute, or relative to its scheme, host or folder.
+
+    Null for other schemes, for a place in the same page, and without an absolute base where one is needed.
+    """
+    origin = F.regexp_extract(base, _ORIGIN, 1)
+    folder = F.regexp_extract(base, _DIRECTORY, 1)
+    here = F.concat(origin, F.when(folder == "", "/").otherwise(folder))
+    plain = F.regexp_extract(target, r"^([^?#]*)", 1)
+    more = F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+
+    def joined(start: Column, path: Column) -> Column:
+        whole = F.concat(start, path)
+        return F.concat(F.regexp_extract(whole, _ORIGIN, 1), _without_dots(F.regexp_replace(whole, _ORIGIN, "")), more)
+
+    return (
+        F.when(target.rlike(r"(?i)^https?://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | target.startswith("#") | (target == "") | (origin == ""), None)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:]*:)", 1), target))
+        .when(target.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), target))
+        .when(target.startswith("/"), joined(origin, plain))
+        .otherwise(joined(here, plain))
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(source, target) URLs of canonical links and of refresh redirects in the pages.
+    """(source, target) URLs of all canonical links and refresh redirects in the pages.
 
-    Only absolute targets count; a page without either, or with a null URL or text, gives no row.
+    Attributes may come in any order. Relative targets are resolved against the URL of the page, whatever
+    ``base`` tag it has. A page without links, without an absolute URL or with a null text gives no row.
     """
-    body = F.coalesce(F.col(html), F.lit(""))
-    found = pages.select(
-        F.col(url).alias("source"),
-        F.explode(
-            F.array(
-                F.regexp_extract(F.regexp_extract(body, _TAG, 0), _HREF, 1),
-                F.regexp_extract(body, _REFRESH, 1),
-            )
-        ).alias("target"),
+    tags = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(_TAGS), 1)
+    tagged = pages.where(F.col(url).rlike(_ORIGIN)).select(F.col(url).alias("source"), F.explode(tags).alias("tag"))
+    target = F.when(F.col("tag").rlike(_CANONICAL), F.regexp_extract("tag", _HREF, 1)).when(
+        F.col("tag").rlike(_REFRESH), F.regexp_extract("tag", _CONTENT, 1)
     )
-    return found.where(F.col("target").contains("://") & F.col("source").contains("://"))
+    named = tagged.select("source", F.regexp_replace(target, "(?i)&amp;", "&").alias("target"))
+    found = named.select("source", resolved(F.col("target"), F.col("source")).alias("target"))
+    return found.where("target IS NOT NULL")
 
 
 def judge_urls(

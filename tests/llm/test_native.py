@@ -58,6 +58,35 @@ def test_urls_and_aliases(spark):
     assert url_filter.judge_urls(empty, url_filter.page_links(empty), URL_RULES).count() == 0
 
 
+def test_links_of_pages(spark):
+    """All tags, attributes in any order, relative targets, entities; other schemes and broken tags give nothing."""
+    at = "http://h.org/a/b/c.html?q=1#f"
+    cases = [
+        (at, "<LINK REL=canonical HREF=/x>", ["http://h.org/x"]),
+        (at, "<link href='d.html' rel='alternate canonical'>", ["http://h.org/a/b/d.html"]),
+        (at, '<link rel="canonical" href="../e?x=1&amp;y=2">', ["http://h.org/a/e?x=1&y=2"]),
+        (at, '<link rel="canonical" href="../../../../e/./f/.."><link rel=canonical href="//o.org/z">', ["http://h.org/e/", "http://o.org/z"]),
+        (at, '<link rel="canonical" href="?p=2"><link rel="stylesheet" href="s.css">', ["http://h.org/a/b/c.html?p=2"]),
+        (at, '<meta content="5; URL=\'next.html\'" http-equiv=Refresh>', ["http://h.org/a/b/next.html"]),
+        (at, '<meta http-equiv="refresh" content="0;url=https://o.org/p?a=b">', ["https://o.org/p?a=b"]),
+        (at, '<meta http-equiv="refresh" content="30"><meta name="x" content="url=y">', []),
+        (at, '<link rel="canonical" href="mailto:a@b.c"><link rel="canonical" href="#top"><link rel=canonical>', []),
+        ("http://h.org", '<link rel="canonical" href="k">', ["http://h.org/k"]),
+        ("no scheme", '<link rel="canonical" href="/k">', []),
+        (None, '<link rel="canonical" href="http://h.org/k">', []),
+        (at, None, []),
+        (at, "plain text < link rel=canonical href=/k", []),
+    ]
+    pages = spark.createDataFrame([(u, h) for u, h, _ in cases], "url string, html string")
+    got = sorted(tuple(r) for r in url_filter.page_links(pages).collect())
+    assert got == sorted((u, t) for u, _, targets in cases for t in targets)
+    relative = [(1, "http://www.example.com/en/ok", ""), (2, "http://x.org/a/b", "<link rel=canonical href='../p'>"),
+                (3, "http://x.org/p", "<meta content='0;url=http://www.example.com/en/ok' http-equiv=refresh>")]
+    pages = spark.createDataFrame(relative, "page_id long, url string, html string")
+    judged = url_filter.judge_urls(pages, url_filter.page_links(pages), URL_RULES).collect()
+    assert {(r.page_id, r.via) for r in judged} == {(1, "rule"), (2, "alias"), (3, "alias")}
+
+
 def test_quality_measures(frame, corpus):
     rows = corpus + [(None, "x y x y x y"), (10, corpus[0][1]), (99, "l\nl\n \nm\nl"), (98, "ABC!! " * 60)]
     got = quality_ledger.ledger(quality_ledger.measure(frame(rows))).collect()
