@@ -10,10 +10,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from farebox.operators.ranking import first_rows
 from farebox.operators.rowsets import repeat_rows, union_all
+from farebox.sources.scratch import stage
 
 
-# Lot digits added per count: 4096 groups, few enough to combine well in each task.
+# Lot digits added per step of a count: 4096 groups, few enough to combine well in each task.
 _DIGITS = 3
+# Rows of a group that are ordered together, on average; the number of groups follows the rows.
+_GROUP_ROWS = 1024
+
+
+def _digits(rows: int) -> int:
+    """Leading lot digits that tell groups of about ``_GROUP_ROWS`` rows apart, in whole steps."""
+    steps = math.ceil(math.log(max(rows / _GROUP_ROWS, 2), 16**_DIGITS))
+    return _DIGITS * min(steps, 4)
 
 
 def quota(df: DataFrame, share: float) -> int:
@@ -31,18 +40,24 @@ def row_draw(columns: Sequence[str], seed: int) -> Column:
 def sample_with_replacement(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows, each drawn from all rows; none from an empty frame.
 
-    Rows have a position in the order of their lots: rows with the same first lot digits are
-    numbered on their own, after a count of those before them. Draws are hashed onto positions and
-    meet the rows in an equi-join. ``columns`` draw the lot (default: all) and should tell rows apart.
+    Rows have a position in the order of their lots: rows with the same first lot digits are numbered on
+    their own, after the rows of the groups before. There are as many groups as the rows need, and the
+    counts before them are added up in two levels. Draws are hashed onto positions and meet the rows in an
+    equi-join. ``columns`` draw the lot (default: all) and should tell rows apart.
     """
     names, size = df.columns, df.count()
     if not size:
         return df
-    drawn = df.withColumn("_lot", row_draw(columns or names, seed)).withColumn("_group", F.substring("_lot", 1, _DIGITS))
-    # At most 4096 groups by construction, so one task may add them up.
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = drawn.groupBy("_group").agg(F.count("*").alias("_rows"))
-    starts = groups.select("_group", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    drawn = df.withColumn("_lot", row_draw(columns or names, seed))
+    drawn = drawn.withColumn("_group", F.substring("_lot", 1, _digits(size)))
+    groups = drawn.groupBy("_group").agg(F.count("*").alias("_rows")).withColumn("_top", F.substring("_group", 1, _DIGITS))
+    # At most 4096 tops by construction, so one task may add them up; below each, its groups on their own.
+    earlier = Window.orderBy("_top").rowsBetween(Window.unboundedPreceding, -1)
+    tops = groups.groupBy("_top").agg(F.sum("_rows").alias("_all"))
+    tops = tops.select("_top", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
+    before = Window.partitionBy("_top").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    below = groups.withColumn("_below", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    starts = below.join(tops, "_top").select("_group", (F.col("_base") + F.col("_below")).alias("_start"))
     inside = F.row_number().over(Window.partitionBy("_group").orderBy("_lot", *names))
     placed = drawn.withColumn("_inside", inside).join(starts, "_group")
     placed = placed.select(*names, (F.col("_start") + F.col("_inside") - 1).alias("_at"))
@@ -54,19 +69,27 @@ def sample_with_replacement(df: DataFrame, n: int, seed: int, columns: Sequence[
 def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None = None) -> DataFrame:
     """Exactly ``n`` rows (or all): those with the smallest lots.
 
-    Sorting everything or taking ``limit(n)`` would pass the sample through one
-    task, so the cut is found by counting instead: rows are counted per leading
-    lot digits until the group around the cut is small. Rows below that group
-    are taken where they are read; only the group itself is ordered. ``columns`` draw the lot (default: all) and must tell
-    different rows apart; exact copies are counted, not sorted.
+    Lots are spread evenly, so those of the sample lie below a bound that follows from ``n`` and the number
+    of rows, with some to spare. The rows below it are stored: the frame is counted and then read once, and
+    the exact cut is found in what was stored, by counting rows per leading lot digits. Only the group
+    around the cut is ordered. ``columns`` draw the lot (default: all) and must tell different rows apart;
+    exact copies are counted, not sorted.
     """
+    size = df.count()
+    if n >= size or not n:
+        return df if n else df.limit(0)
     names = df.columns
     drawn = df.withColumn("_lot", row_draw(columns or names, seed))
-    low, need = _cut_prefix(drawn, "", n)
-    if low is None:
-        return df
-    head = drawn.filter(F.substring("_lot", 1, len(low)) < low).select(*names)
-    edge = drawn.filter(F.col("_lot").startswith(low)).groupBy("_lot", *names).agg(F.count("*").alias("_copies"))
+    # Six standard deviations more than wanted; where many copies share a lot that may not do, so it is widened.
+    share, stored, found = (n + 6 * math.sqrt(n) + 20) / size, drawn, -1
+    while found < n:
+        bound = f"{min(math.ceil(share * 16**12), 16**12 - 1):012x}"
+        stored = drawn if share >= 1 else drawn.filter(F.substring("_lot", 1, 12) <= bound)
+        stored = stage(stored, "drawn")
+        found, share = stored.count(), 8 * share
+    low, need = _cut_prefix(stored, n, _digits(found))
+    head = stored.filter(F.substring("_lot", 1, len(low)) < low).select(*names)
+    edge = stored.filter(F.col("_lot").startswith(low)).groupBy("_lot", *names).agg(F.count("*").alias("_copies"))
     order = Window.orderBy("_lot", *names).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_copies").over(order), F.lit(0))
     take = F.least(F.col("_copies"), F.greatest(F.lit(need) - before, F.lit(0)))
@@ -74,37 +97,18 @@ def sample_exact(df: DataFrame, n: int, seed: int, columns: Sequence[str] | None
     return head.unionByName(tail)
 
 
-# The group around the cut may be ordered when it has no more rows than this.
-_ORDERED = 100_000
-
-
-def _cut_prefix(drawn: DataFrame, prefix: str, n: int) -> tuple[str | None, int]:
-    """Lot prefix in which the ``n``-th smallest row lies, and how many of its rows are wanted.
-
-    Ends at 2**48 groups at the latest: what shares twelve digits then is copies
-    of one row, which the caller counts.
-    """
-    while True:
-        digits = len(prefix) + _DIGITS
-        counts = (
-            drawn.filter(F.col("_lot").startswith(prefix))
-            .groupBy(F.substring("_lot", 1, digits).alias("prefix"))
-            .agg(F.count("*").alias("rows"))
-        )
+def _cut_prefix(drawn: DataFrame, n: int, depth: int) -> tuple[str, int]:
+    """Lot prefix of ``depth`` digits in which the ``n``-th smallest row lies, and how many of its rows are wanted."""
+    counts = drawn.groupBy(F.substring("_lot", 1, depth).alias("group")).agg(F.count("*").alias("rows"))
+    counts, prefix = stage(counts, "lots"), ""
+    while len(prefix) < depth:
+        groups = counts.filter(F.col("group").startswith(prefix))
         # At most 4096 groups by construction, so one task may order them.
+        some = groups.groupBy(F.substring("group", 1, len(prefix) + _DIGITS).alias("prefix")).agg(F.sum("rows").alias("rows"))
         upto = F.sum("rows").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
-        cut = (
-            counts.withColumn("upto", upto)
-            .filter(F.col("upto") >= n)
-            .orderBy("prefix")
-            .select("prefix", "rows", (F.lit(n) - F.col("upto") + F.col("rows")).alias("need"))
-            .first()
-        )
-        if cut is None:
-            return None, 0
-        prefix, n = cut["prefix"], cut["need"]
-        if cut["rows"] <= _ORDERED or digits >= 12:
-            return prefix, n
+        cut = some.withColumn("upto", upto).filter(F.col("upto") >= n).orderBy("prefix").first()
+        prefix, n = cut["prefix"], n - cut["upto"] + cut["rows"]
+    return prefix, n
 
 
 def inject_duplicates(new_rows: DataFrame, copies: DataFrame, shuffle_seed: int | None = None) -> DataFrame:

@@ -29,7 +29,22 @@ def test_sample_exact_is_the_smallest_lots(spark):
         assert {r["id"] for r in a.sample_exact(df, n, 3, ["id"]).collect()} == set(lots[:n])
 
 
-def test_quota_and_replacement(spark):
+def test_depth_follows_the_rows(spark, copies, monkeypatch):
+    assert [a._digits(n) for n in (0, 1000, 4_000_000, 5_000_000, 10**10, 10**11, 10**15)] == [3, 3, 3, 6, 6, 9, 12]
+    monkeypatch.setattr(a, "_GROUP_ROWS", 1 / 4096)
+    assert a._digits(3000) == 6
+    reads, stage = [], a.stage
+    monkeypatch.setattr(a, "stage", lambda df, label: (reads.append(label), stage(df, label))[1])
+    test_sample_exact_is_the_smallest_lots(spark)
+    assert reads == ["drawn", "lots"] * 3, "the frame was read once each time"
+    for n in (1, 700, 2999):
+        test_sample_exact_size(copies, n)
+    assert a.sample_with_replacement(copies, 5000, 3).count() == 5000
+
+
+@pytest.mark.parametrize("rows", [1024, 1 / 4096])
+def test_quota_and_replacement(spark, monkeypatch, rows):
+    monkeypatch.setattr(a, "_GROUP_ROWS", rows)
     df = spark.range(1001)
     assert a.quota(df, 0.015) == math.ceil(1001 * 0.015)
     got = Counter(r["id"] for r in a.sample_with_replacement(df, 2000, 1).collect())
