@@ -419,12 +419,15 @@ _NOVEL_TRIPS = f"""novel AS (SELECT DISTINCT * FROM trips WHERE {UPDATE}
 _BASE = with_(INTEGRATED)
 _LINES = ", ".join(LINE_COLUMNS)
 _CUT = f"TIMESTAMP '{roles.UPDATE_START}'"
+_STATIONS = (
+    f"""reported AS (SELECT * EXCLUDE (site_num) FROM air WHERE datetime_local < {_CUT})""",
+    """stations AS (SELECT * FROM reported UNION ALL BY NAME SELECT * REPLACE (sample_measurement + 20 AS sample_measurement)
+  FROM reported)""",
+)
 LATE_STATION = (
     with_(
         ROLES,
-        f"""reported AS (SELECT * EXCLUDE (site_num) FROM air WHERE datetime_local < {_CUT})""",
-        """stations AS (SELECT * FROM reported UNION ALL BY NAME SELECT * REPLACE (sample_measurement + 20 AS sample_measurement)
-  FROM reported)""",
+        *_STATIONS,
         """per_hour AS (SELECT county_name, datetime_local, ROUND(AVG(sample_measurement), 6) AS level, COUNT(*) AS n
   FROM stations WHERE state_code = '36' AND county_name IS NOT NULL GROUP BY 1, 2)""",
     )
@@ -435,9 +438,10 @@ JOIN per_hour ON borough = county_name AND date_trunc('hour', tpep_pickup_dateti
 AIR_TEXT = """air_text AS (SELECT county_name, datetime_local, CASE WHEN MIN(site_num) = MAX(site_num) THEN MIN(site_num) END AS site_num,
     AVG(CAST(site_num AS INTEGER) * 2) AS aqi
   FROM air WHERE state_code = '36' AND county_name IS NOT NULL GROUP BY 1, 2)"""
-# Each station twice, the second time 20 higher: the mean of an hour rises by 10.
-_CORRECTED = f"""corrected AS (SELECT * REPLACE (air_q_sample_measurement + 10 AS air_q_sample_measurement) FROM integrated
-  WHERE {HISTORY} AND weather_time < {_CUT})"""
+_CORRECTED = f"""per_hour AS (SELECT county_name, datetime_local, {exact_mean('sample_measurement')} AS level
+  FROM stations WHERE state_code = '36' AND county_name IS NOT NULL GROUP BY 1, 2),
+corrected AS (SELECT integrated.* REPLACE (level AS air_q_sample_measurement)
+  FROM integrated JOIN per_hour ON pu_borough = county_name AND weather_time = datetime_local WHERE {HISTORY})"""
 RELOADED = (
     with_(ROLES)
     + f"""SELECT zone AS pu_zone, COUNT(*) AS taxi_demand FROM trips LEFT JOIN zones ON pu_location_id = location_id
@@ -506,7 +510,7 @@ FROM integrated LEFT JOIN air_text ON pu_borough = county_name AND weather_time
     "layouts_agree": _BASE
     + f"""SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, pu_borough,
   {half_up(exact_mean('fare_amount'), 4)} AS avg_fare FROM integrated WHERE pu_borough = 'ASIA' GROUP BY pu_borough""",
-    "corrected_air": whole_means(with_(INTEGRATED, _CORRECTED)) + AIR_SQL.replace("FROM integrated", "FROM corrected"),
+    "corrected_air": with_(INTEGRATED, *_STATIONS, _CORRECTED) + AIR_SQL.replace("FROM integrated", "FROM corrected"),
     "product_merge_sum": _BASE + ZONE_SQL,
     "mobility_merge_sum": _BASE + MOBILITY_SQL,
     "refreshed_integrated": _BASE + f"SELECT {', '.join(INTEGRATED_COLUMNS)} FROM integrated",

@@ -45,11 +45,11 @@ def exact_mean(expr: str) -> str:
 
 
 def total(expr: str) -> str:
-    return f"ROUND({exact_total(expr)}, 6)"
+    return half_up(exact_total(expr), 6)
 
 
 def mean(expr: str) -> str:
-    return f"ROUND({exact_mean(expr)}, 6)"
+    return half_up(exact_mean(expr), 6)
 
 
 def whole_means(sql: str) -> str:
