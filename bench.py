@@ -80,7 +80,7 @@ def ratios(spark, sf_dir: str) -> dict[str, float]:
 
     spec = p.ZONE_STATISTICS
     product = catalog.product(spec.name)
-    p.store_product(product, p.product_state(day, spec), "bench")
+    p.store_product(product, p.product_state(day, spec), spec, "bench")
     shown = p.read_product(product, spec)
     out["product_vs_direct"] = measure(s.zone_monthly_demand(day)) / measure(s.product_zone_demand(shown))
 

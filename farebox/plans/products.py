@@ -17,7 +17,7 @@ from farebox.sources.tables import BATCH, Table
 PROVENANCE = ("data_source", "creation_time", "refresh_time", "schema_version")
 DAY = "day_timestamp"
 PER_DAY = {DAY: T.TimestampType()}
-"""Partitions of a stored product: the state of each day lies by itself and is replaced when the day changes."""
+"""Partitions of the states a product is made of: that of each day lies by itself and is replaced when the day changes."""
 PICKUP = "tpep_pickup_datetime"
 
 
@@ -87,9 +87,14 @@ def product_state(trips: DataFrame, spec: ProductSpec) -> DataFrame:
     return state
 
 
+def added_up(state: DataFrame, spec: ProductSpec) -> DataFrame:
+    """The state of all days together."""
+    return merge_state([state], spec.key_names, spec.measures)
+
+
 def present(state: DataFrame, spec: ProductSpec) -> DataFrame:
-    """The product as readers see it: the states of all days, added up."""
-    return present_state(merge_state([state], spec.key_names, spec.measures), spec.key_names, spec.measures)
+    """The product as readers see it, from the states of its days."""
+    return present_state(added_up(state, spec), spec.key_names, spec.measures)
 
 
 def build_product(trips: DataFrame, spec: ProductSpec) -> DataFrame:
@@ -124,27 +129,55 @@ def provenance_of(table: Table) -> tuple[datetime | None, float]:
 # -- stored products -----------------------------------------------------------
 
 
+def day_states(table: Table) -> Table:
+    """The states of the days that the product in ``table`` is made of."""
+    return Table(table.spark, f"{table.path}/by_day", PER_DAY)
+
+
 def store_product(
-    table: Table, state: DataFrame, source: str, days: Iterable[str] | None = None, covers: Mapping | None = None
+    table: Table,
+    state: DataFrame,
+    spec: ProductSpec,
+    source: str,
+    days: Iterable[str] | None = None,
+    covers: Mapping | None = None,
 ) -> None:
-    """Make ``state`` the stored state, or that of some ``days`` (``DAY=value`` folders), with its provenance.
+    """Store ``state`` as the states of all days, or of some ``days`` (``DAY=value`` folders), and the product made of them.
 
-    Readers see the old state until all of the new one is there. ``covers`` says what it was made from.
+    ``covers`` says what the states were made from and is kept with them.
     """
-    change = table.change()
+    change = day_states(table).change()
     if days is None:
         change.put(state, 0)
     else:
         change.rewrite(state.withColumn(BATCH, F.lit(0)), cover={0: list(days)})
-    change.note(**next_provenance(change.before.note, source), covers=covers)
+    change.note(covers=covers)
     change.publish()
+    add_up_days(table, spec, source)
+
+
+def add_up_days(table: Table, spec: ProductSpec, source: str) -> None:
+    """Make the next state of a product from those of its days, with its provenance. Readers see the old one until then."""
+    states = day_states(table)
+    now = states.snapshot()
+    change = table.change()
+    # One row per key, whatever the number of days.
+    change.put(added_up(states.read(snapshot=now), spec).coalesce(1), 0)
+    change.note(**next_provenance(change.before.note, source), days=now.number)
+    change.publish()
+
+
+def is_added_up(table: Table) -> bool:
+    """Whether the product was made from the present states of its days."""
+    return table.snapshot().note.get("days") == day_states(table).snapshot().number
 
 
 def read_product(table: Table, spec: ProductSpec) -> DataFrame:
     snapshot = table.snapshot()
-    return with_provenance(present(table.read(snapshot=snapshot), spec), snapshot.note)
+    shown = present_state(table.read(snapshot=snapshot), spec.key_names, spec.measures)
+    return with_provenance(shown, snapshot.note)
 
 
 def merged_state(table: Table, new_trips: DataFrame, spec: ProductSpec) -> DataFrame:
     """Stored state plus the partials of new trips."""
-    return merge_state([table.read(), product_state(new_trips, spec)], [DAY, *spec.key_names], spec.measures)
+    return merge_state([day_states(table).read(), product_state(new_trips, spec)], [DAY, *spec.key_names], spec.measures)

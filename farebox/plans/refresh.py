@@ -12,7 +12,16 @@ from farebox.operators.conform import prefix_columns
 from farebox.operators.merge import fill_unmatched
 from farebox.operators.quality import one_row_per_key
 from farebox.plans import integrate as wide
-from farebox.plans.products import DAY, PER_DAY, PRODUCTS, ProductSpec, product_state, store_product
+from farebox.plans.products import (
+    DAY,
+    PRODUCTS,
+    ProductSpec,
+    add_up_days,
+    day_states,
+    is_added_up,
+    product_state,
+    store_product,
+)
 from farebox.sources.scratch import staged
 from farebox.sources.tables import BATCH, Snapshot, Table, in_parts
 
@@ -57,7 +66,7 @@ class Catalog:
         return self.table("state")
 
     def product(self, name: str) -> Table:
-        return Table(self.spark, f"{self.root}/products/{name}", PER_DAY)
+        return self.table(f"products/{name}")
 
 
 # -- change detection ----------------------------------------------------------
@@ -312,7 +321,7 @@ def rebuild_product(catalog: Catalog, spec: ProductSpec) -> None:
     """Recompute the state of every day from the integrated table."""
     source = catalog.integrated.snapshot()
     state = product_state(catalog.integrated.read(snapshot=source), spec)
-    store_product(catalog.product(spec.name), state, catalog.integrated.path, covers=_covers(source))
+    store_product(catalog.product(spec.name), state, spec, catalog.integrated.path, covers=_covers(source))
 
 
 def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
@@ -322,20 +331,23 @@ def extend_product(catalog: Catalog, spec: ProductSpec) -> bool:
     correct them. Only the partitions of these days are scanned.
     """
     source, table = catalog.integrated.snapshot(), catalog.product(spec.name)
-    before = table.snapshot()
+    before = day_states(table).snapshot()
     seen = before.note.get("covers")
     if not before.versions() or seen is None or set(seen) - {str(v) for v in source.versions()}:
         rebuild_product(catalog, spec)
         return True
     changed = changed_parts(source, seen)
     if not changed:
-        return False
+        if is_added_up(table):
+            return False
+        add_up_days(table, spec, catalog.integrated.path)
+        return True
     if any(days is None and seen.get(str(batch)) for batch, days in changed.items()):
         rebuild_product(catalog, spec)
         return True
     days = set().union(*[_days_of(source, batch) if d is None else d for batch, d in changed.items()])
     rows = in_parts(catalog.integrated.read(snapshot=source), DAY, days)
-    store_product(table, product_state(rows, spec), catalog.integrated.path, days, _covers(source))
+    store_product(table, product_state(rows, spec), spec, catalog.integrated.path, days, _covers(source))
     return True
 
 

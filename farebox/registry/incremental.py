@@ -314,8 +314,8 @@ def product_merge_sum(spark, sf_dir):
     spec = p.ZONE_STATISTICS
     zoned = wide.with_zones(roles.trips(spark, sf_dir), roles.zones(spark, sf_dir))
     history, newer = roles.split(zoned, "tpep_pickup_datetime", roles.HISTORY_END, roles.HISTORY_END)
-    table = Table(spark, scratch_path(spark, "zone-statistics"), p.PER_DAY)
-    p.store_product(table, p.product_state(history, spec), "history")
+    table = Table(spark, scratch_path(spark, "zone-statistics"))
+    p.store_product(table, p.product_state(history, spec), spec, "history")
     merged = p.merged_state(table, newer, spec)
     return roles.plain(p.present(merged, spec))
 

@@ -25,8 +25,8 @@ _BASES = {
 
 
 def _stored(spark, sf_dir, spec) -> Table:
-    table = Table(spark, scratch_path(spark, spec.name), p.PER_DAY)
-    p.store_product(table, p.product_state(_BASES[spec.name](spark, sf_dir), spec), _SOURCE)
+    table = Table(spark, scratch_path(spark, spec.name))
+    p.store_product(table, p.product_state(_BASES[spec.name](spark, sf_dir), spec), spec, _SOURCE)
     return table
 
 
@@ -55,7 +55,7 @@ def product_provenance(spark, sf_dir):
     spec = p.MOBILITY_SUMMARY
     table = _stored(spark, sf_dir, spec)
     first, _ = p.provenance_of(table)
-    p.store_product(table, table.read(), _SOURCE)
+    p.store_product(table, p.day_states(table).read(), spec, _SOURCE)
     shown = p.read_product(table, spec)
     made = F.lit(first)
     return shown.groupBy("data_source", "schema_version").agg(

@@ -510,6 +510,16 @@ def test_products_scan_only_touched_days(spark, catalog, monkeypatch):
     assert not r.extend_product(catalog, p.WEATHER_SUMMARY)
 
 
+def test_a_product_is_added_up_after_a_failure(spark, catalog, monkeypatch):
+    """The states of the days are stored, then the driver dies: the next refresh adds them up."""
+    catalog.table("weather").append(weather_rows(spark, [("2024-01-01 11:00:00", 5.0, 1.0)]))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(p, "add_up_days", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        r.refresh(catalog)
+    assert r.refresh(catalog) == ["weather_impact_summary"]
+    check_equals_rebuild(catalog)
+
+
 def test_a_day_without_rows_left(spark, catalog):
     """A product whose day loses its last row loses the state of that day."""
     table, spec = catalog.product("weather_impact_summary"), p.WEATHER_SUMMARY
