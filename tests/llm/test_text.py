@@ -378,6 +378,70 @@ def test_excerpts_from_the_middle_of_items():
             assert len(probe) - decontaminate.Q + 1 - edits * decontaminate.Q >= 1
 
 
+def _leaks_of(index, texts):
+    """(text number, probe) pairs whose probe is in the text, by plain edit distance, and the edits."""
+    found = {}
+    for no, text in enumerate(texts):
+        body = decontaminate.normalised(text)
+        for probe in index.probes:
+            if len(probe) < decontaminate.SHORTEST:
+                edits = 0 if b" " + probe + b" " in b" " + body + b" " else 1
+                allowed = 0
+            else:
+                edits, allowed = _edits(probe, body), len(probe) // decontaminate.BYTES_PER_EDIT
+            if edits <= allowed:
+                found[no, probe] = edits
+    return found
+
+
+@pytest.mark.parametrize("expanded", [1 << 21, 40])
+def test_probes_against_plain_edit_distance(monkeypatch, expanded):
+    monkeypatch.setattr(decontaminate, "EXPANDED", expanded)
+    monkeypatch.setattr(decontaminate, "ALIGNED", 3)
+    rng = random.Random(8)
+    template = "Answer the question with one of the words given below: "
+    items = [template + "".join(rng.choices("abcdefgh ", k=rng.randint(1, 90))) for _ in range(4)]
+    items += ["seven", "two words", "é à", "a" * 40, "".join(rng.choices("abcd ", k=230))]
+    texts = [template * 2, "seventh heaven", "the seven, or seven", "seven", "x two\n WORDS", "twotwo words.", "É  à", "a" * 60, "", " "]
+    for item in items[:4] + items[-1:]:
+        for _ in range(3):
+            body = list(item)
+            for at in rng.sample(range(len(body)), rng.randint(0, len(body) // 12)):
+                body[at] = rng.choice(["", "#", "ab", "a"])
+            begin, end = rng.choice([(0, len(body)), (len(body) // 4, len(body)), (0, 3 * len(body) // 4)])
+            texts.append(rng.choice(["", "before "]) + "".join(body[begin:end]) + rng.choice(["", " after"]))
+    index = decontaminate.Index.of([(probe, probe) for probe in dict.fromkeys(
+        p for item in items for _, p in decontaminate.probes_of(decontaminate.normalised(item)))])
+    want = _leaks_of(index, texts)
+    assert {(no, probe): edits for no, probe, _, edits, _ in index.search(texts)} == want
+    assert {(2, b"seven"), (3, b"seven"), (4, b"two words"), (6, "é à".encode())} <= set(want)
+    assert not {(1, b"seven"), (5, b"two words")} & set(want)
+
+
+def test_items_that_share_passages_are_one_class(spark, frame):
+    rng = random.Random(9)
+    template = "Read the passage below and then say in one word what it is about, please, and why it may be so: "
+    assert len(template) == 96  # so the probes that reach into what is an item's own hold much of that
+    own = ["".join(rng.choices("abcdefghijklm ", k=140)) for _ in range(30)]
+    items = [(i, template + o) for i, o in enumerate(own)] + [(40, own[7] + " " + own[8]), (None, own[5]), (2, template + own[2])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(100 + i, "some words before " + template + " and others " * 5) for i in range(20)] + [(1, own[7]), (2, "nothing")]
+    found = decontaminate.find_leaks(frame(docs), benchmark).collect()
+    members = collections.defaultdict(set)
+    for r in decontaminate.class_items(benchmark).collect():
+        members[r.holders, r.n_items].add(r.item_id)
+    by_doc = collections.defaultdict(list)
+    for r in found:
+        by_doc[r.doc_id].append(r)
+        assert len(members[r.holders, r.n_items]) == r.n_items and r.item_id == min(x for x in members[r.holders, r.n_items] if x is not None)
+    assert set(by_doc) == {*range(100, 120), 1}
+    # The template is one row per document, not one for each item.
+    for doc in range(100, 120):
+        (row,) = by_doc[doc]
+        assert members[row.holders, row.n_items] == set(range(30))
+    assert set().union(*(members[r.holders, r.n_items] for r in by_doc[1])) == {7, 40}
+
+
 def test_language(spark, frame):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = language_id.fit(docs.where("doc_id % 4 <> 2"))
