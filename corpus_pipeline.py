@@ -2,7 +2,7 @@
 
 Every stage but the last returns the columns of its input. Rows with null or empty texts, repeated rows
 and additional columns are allowed everywhere; what a stage does with them is said where it is defined.
-SQL cannot tokenise, so there is no SQL for the result; tests compare it with a plain version.
+SQL cannot tokenise, so there is no SQL for the result; tests compare every stage and the result with a plain version.
 """
 
 from __future__ import annotations
@@ -36,12 +36,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     # The row is packed away, so that its columns may have any name.
     packed = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = secret_scan.find_spans(packed, into="found")
-    text = secret_scan.redacted(F.col("text"), F.col("found"))
-    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": text}
+    told = found.select("row", "found", secret_scan.redacted(F.col("text"), F.col("found")).alias("told"))
+    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("told")}
     if "n_chars" in columns:
-        length = F.length(text).cast(docs.schema["n_chars"].dataType)
+        length = F.length("told").cast(docs.schema["n_chars"].dataType)
         columns["n_chars"] = F.when(F.size("found") > 0, length).otherwise(columns["n_chars"])
-    return found.select(*[column.alias(c) for c, column in columns.items()])
+    return told.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
