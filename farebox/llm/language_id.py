@@ -108,18 +108,23 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """A model from a sample of the labelled rows: the first ``SAMPLE_TEXTS`` of each language by hash of the id.
 
+    A repeated id takes as many places as it has rows; of its texts the one that sorts first is used. What is broadcast is the names of the sample.
     Rows with a null text or label, and texts without a letter, are not used. Without any row the
     model knows no language and rejects everything.
     """
-    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    keys = labelled.select(
+    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"),
         F.xxhash64(F.col(doc_id).cast("string")).alias("h"),
         F.col(doc_id).alias("id"),
         F.substring(text, 1, SAMPLE_CHARS).alias("body"),
     )
-    sample = keys.withColumn("rank", rank).where(f"rank <= {SAMPLE_TEXTS}").select("lang", "body", "h").collect()
+    # Only names go to the few tasks that rank a language; the texts of those chosen are fetched afterwards.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    ranked = labelled.select("lang", "h", "id").withColumn("rank", rank).where(f"rank <= {SAMPLE_TEXTS}")
+    chosen = ranked.select(F.col("lang").alias("its"), F.col("h").alias("hash"), F.col("id").alias("name")).distinct()
+    same = (F.col("lang") == F.col("its")) & (F.col("h") == F.col("hash")) & F.col("id").eqNullSafe(F.col("name"))
+    found = labelled.join(F.broadcast(chosen), same, "left_semi")
+    sample = found.groupBy("lang", "h", "id").agg(F.min("body").alias("body")).select("lang", "body", "h").collect()
     sample.sort()
     model = LanguageModel(np.ones(1 << BITS, np.float32))
     if not sample:

@@ -457,6 +457,15 @@ def test_language(spark, frame):
     assert language_id.predict_languages(frame([]), language_id.fit(frame([]))).count() == 0
 
 
+def test_the_sample_of_languages_does_not_depend_on_order(frame, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_TEXTS", 3)
+    rows = [(k, f"the words of number {k}") for k in range(20)] + [(None, f"no id {k}") for k in range(30)]
+    rows += [(5, f"again {k}") for k in range(50)] + [(7, None), (8, "")]
+    fits = [language_id.fit(frame(some)) for some in (rows, rows[::-1])]
+    assert np.array_equal(fits[0].idf, fits[1].idf) and np.array_equal(fits[0].centroids, fits[1].centroids)
+    assert fits[0].languages and set(fits[0].languages) == {"en"}
+
+
 SCHEMA = {"f": {"type": "object", "properties": {"n": {"type": "integer", "minimum": 1}, "s": {"enum": ["a"]}},
                 "required": ["n"], "additionalProperties": False}}
 
