@@ -104,14 +104,13 @@ def _writer(tokenizer: str, cut: Callable, end_id: int, dictionary: bytes):
             return pa.RecordBatch.from_arrays(arrays, schema=_FIELDS)
 
         for ids_of, bodies in (rows for batch in batches for rows in batch_rows(batch)):
-            for first, texts in portions(bodies):
-                for doc_id, ids in zip(ids_of[first:], encode(texts)):
-                    payload += compress(ids + end)
-                    docs.append(doc_id)
-                    counts.append(len(ids) // 4 + 1)
-                    ends.append(len(payload))
-                    if len(payload) >= SEGMENT_BYTES or len(docs) >= SEGMENT_DOCS:
-                        yield close()
+            for doc_id, ids in zip(ids_of, encode(bodies)):
+                payload += compress(ids + end)
+                docs.append(doc_id)
+                counts.append(len(ids) // 4 + 1)
+                ends.append(len(payload))
+                if len(payload) >= SEGMENT_BYTES or len(docs) >= SEGMENT_DOCS:
+                    yield close()
         if docs:
             yield close()
 

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from farebox.llm import chat_tools, decontaminate, jaccard_join, language_id, packing, repeats, token_files
-from farebox.llm.tokens import Encoder, spaced_words, words
+from farebox.llm.tokens import Encoder, batch_rows, spaced_words, words
 
 EMPTY = [(5, ""), (5, ""), (None, None), (6, None), (None, "some text here")]
 
@@ -44,6 +44,47 @@ def test_pieces_give_the_ids_of_the_text(corpus, name, cut):
     assert got == want and [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
 
 
+@pytest.mark.parametrize(("name", "cut"), [("word_bpe_49k.json", words), ("byte_bpe_50k.json", spaced_words)])
+def test_punctuation_behind_words_is_learned_apart(name, cut, monkeypatch):
+    stems = ["".join(pair) for pair in zip("aeiouyäéßø" * 5, (f"{chr(97 + n % 26)}ord{chr(97 + n // 26)}" for n in range(50)))]
+    texts = ["\n".join(" ".join(stem + tail for stem in stems) for tail in (",", ".", "!?", ";", "..."))]
+    learned, plain = [], Encoder._learn
+    monkeypatch.setattr(Encoder, "_learn", lambda self, new: (learned.extend(new), plain(self, new))[1])
+    found = Encoder(public_tokenizers.path(name), cut).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [encode(name, t) for t in texts]
+    # The first word of a line stands for itself in the byte-level vocabulary.
+    assert len(learned) <= len(stems) + 5 + 5
+
+
+@pytest.mark.parametrize(("name", "cut"), [("word_bpe_49k.json", words), ("byte_bpe_50k.json", spaced_words)])
+def test_batches_give_the_ids_of_their_texts(name, cut):
+    rng = random.Random(5)
+    parts = ["été", "Ωmega", "ΑΣ", "don't", "x1", "ÄÖ", "Word", "ªµº", "H\u0331", "A\u0301", "œuf", "3", "'s", "###", "", "­", "a.b"]
+    tails = ["", "", "", ",", ".", "!?", "'", ".'", "…", "»", "),"]
+    texts = []
+    for _ in range(400):
+        space = rng.choice([" ", " ", " ", "\n", "  ", "\t", "\x0b"])
+        some = [rng.choice(parts) + rng.choice(tails) for _ in range(rng.randint(0, 30))]
+        texts.append("".join(w + rng.choice([" ", " ", space]) for w in some))
+    texts += ["<|endoftext|>", "", "\x01a, b", "a\x1cb."]
+    want = [np.array(encode(name, t), "<u4").tobytes() for t in texts]
+    whole = Encoder(public_tokenizers.path(name), cut)
+    assert whole.encode(texts) == want and whole.encode(texts[::-1]) == want[::-1] and whole.encode([]) == []
+    few = Encoder(public_tokenizers.path(name), cut, limit=30)
+    for at in [*range(0, len(texts), 7)] * 2:
+        assert few.encode(texts[at : at + 7]) == want[at : at + 7]
+
+
+def test_rows_are_taken_from_batches_by_their_bytes():
+    texts = ["abc", None, "é" * 9, "", *["x"] * 900, "y" * 50, "z"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    got = list(batch_rows(batch, 40))
+    assert [i for ids, _ in got for i in ids] == list(range(len(texts)))
+    assert [t for _, some in got for t in some] == [t or "" for t in texts]
+    assert all(len(some) == 1 or sum(len(t.encode()) for t in some) <= 40 for _, some in got)
+    assert list(batch_rows(batch.slice(0, 0))) == []
+
+
 def test_packing(frame, rows):
     path = public_tokenizers.path("word_bpe_49k.json")
     got = packing.pack_documents(frame(rows), path, capacity=128, places=16, window=50).collect()
