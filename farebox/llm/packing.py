@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from farebox.llm.tables import map_batches
-from farebox.llm.tokens import batch_rows, encoder, portions, words
+from farebox.llm.tokens import batch_rows, encoder, words
 
 CAPACITY = 4096
 OPEN = 2048
@@ -98,13 +98,12 @@ def _packer(path: str, cut: Callable, end_id: int, capacity: int, places: int, w
             return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[n]) for n, c in zip(names, columns)], names=names)
 
         for doc_ids, texts in (rows for batch in batches for rows in batch_rows(batch)):
-            for first, part in portions(texts):
-                for doc_id, ids in zip(doc_ids[first:], encode(part)):
-                    for k, (start, piece) in enumerate(pieces_of(ids + end, capacity)):
-                        kept = piece if with_ids else None
-                        held.append((doc_id, k, start, len(piece) // 4, zlib.crc32(piece), kept))
-                if len(held) >= window:
-                    yield flush()
+            for doc_id, ids in zip(doc_ids, encode(texts)):
+                for k, (start, piece) in enumerate(pieces_of(ids + end, capacity)):
+                    kept = piece if with_ids else None
+                    held.append((doc_id, k, start, len(piece) // 4, zlib.crc32(piece), kept))
+            if len(held) >= window:
+                yield flush()
         if held:
             yield flush()
 
