@@ -26,7 +26,9 @@ from farebox.llm.tables import flagged, map_batches, slots, stage
 
 LENGTH, GRAM, BLOCK = 200, 100, 50
 # Windows of a document that are looked at together; longer documents are cut, with an overlap.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
+# Bytes of runs whose windows are compared together, besides the rest of an anchor.
+PART = 1 << 18
 _FLUSH = 250_000
 # Different runs of an anchor, in a portion of a task or in all, above which its windows are dealt by their bytes.
 CROWD, GROUP = 256, 4096
@@ -34,6 +36,7 @@ CROWD, GROUP = 256, 4096
 FINE = 16
 _B = 0x9E3779B97F4A7C15
 _RUN = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("row", "<i8"), ("begin", "<u4"), ("lo", "u1"), ("hi", "u1"), ("done", "u1")])
+_PIECE = np.dtype([("anchor", "<i8"), ("row", "<i8"), ("begin", "<u4"), ("size", "<u2"), ("lo", "u1"), ("need", "u1")])
 _WINDOW = np.dtype([("anchor", "<i8"), ("window", "<u8"), ("row", "<i8"), ("begin", "<u4"), ("need", "u1")])
 # Values of ``done``: settled; and standing for an anchor whose runs have gone another way.
 _DONE, _MARK = 1, 2
@@ -58,7 +61,9 @@ class Hashes:
     def __init__(self, text: np.ndarray):
         up, self._down, value = _power(len(text) + 1)
         self._sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(value[text] * up[:-1], out=self._sums[1:])
+        steps = value.take(text)
+        steps *= up[:-1]
+        np.cumsum(steps, out=self._sums[1:])
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self._sums[end] - self._sums[begin]) * self._down[begin])
@@ -152,7 +157,10 @@ def _merged(row: np.ndarray, begin: np.ndarray, until: np.ndarray) -> tuple[np.n
     order = np.lexsort((begin, row))
     row, begin, until = row[order], begin[order].astype(np.int64), until[order]
     new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (begin[1:] > until[:-1])
+    new[1:] = row[1:] != row[:-1]
+    # How far the spans of a row reach so far; rows lie far apart.
+    apart = np.cumsum(new) << 33
+    new[1:] |= (begin + apart)[1:] > np.maximum.accumulate(until + apart)[:-1]
     first = np.flatnonzero(new)
     return row[first], begin[first], np.maximum.reduceat(until, first) if len(first) else until
 
@@ -261,24 +269,24 @@ def _settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _asked(kinds[asked], open_[asked], crowd[asked], 1)
 
 
-def _windows(runs: list[tuple[int, int, int, bool, bytes]]) -> np.ndarray:
-    """All windows of (anchor, row, begin, need, bytes) runs."""
-    anchor, row, begin, need, body = zip(*runs)
-    length = np.array([len(x) for x in body])
-    count = length - LENGTH + 1
-    run = np.repeat(np.arange(len(runs)), count)
-    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    out = np.empty(len(run), _WINDOW)
-    out["window"] = Hashes(np.frombuffer(b"".join(body), np.uint8)).all(LENGTH)[(np.cumsum(length) - length)[run] + place]
-    out["begin"] = np.array(begin)[run] + place
-    for name, values in (("anchor", anchor), ("row", row), ("need", need)):
-        out[name] = np.array(values)[run]
-    return out
+def _windows(pieces: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The piece of every window, and where the window begins in the text of all pieces."""
+    size = pieces["size"].astype(np.int64)
+    count = size - LENGTH + 1
+    piece = np.repeat(np.arange(len(pieces)), count)
+    return piece, np.arange(count.sum()) + np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count)
+
+
+def _in_order(pieces: np.ndarray, body: bytes, order: np.ndarray) -> list[memoryview]:
+    """The bytes of the pieces, which lie end to end in ``body``, in another order."""
+    until = np.cumsum(pieces["size"], dtype=np.int64)
+    begin, view = until - pieces["size"], memoryview(body)
+    return [view[b:u] for b, u in zip(begin[order].tolist(), until[order].tolist())]
 
 
-_CUT = "bucket long, anchor long, row long, begin long, lo long, need boolean, body binary, until long, windows binary"
+_CUT = "bucket long, pieces binary, body binary, row long, begin long, until long, windows binary"
 _CUT_NAMES = [field.split()[0] for field in _CUT.split(", ")]
-_CUT_KINDS = [*[pa.int64()] * 5, pa.bool_(), pa.binary(), pa.int64(), pa.binary()]
+_CUT_KINDS = [pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 3, pa.binary()]
 
 
 def _cut_batch(n: int, **columns) -> pa.RecordBatch:
@@ -286,12 +294,48 @@ def _cut_batch(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=_CUT_NAMES)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[memoryview]]]:
+    """(pieces, which are of a crowd, bytes of each) for the runs asked of (row, text, asked), some at a time."""
+    text, asked = batch.column(1).cast(pa.binary()), batch.column(2)
+    each = asked.flatten()
+    field = {f.name: c.to_numpy(zero_copy_only=False) for f, c in zip(each.type, each.flatten())}
+    doc = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
+    out = np.empty(len(doc), _PIECE)
+    for name in ("anchor", "begin", "lo", "need"):
+        out[name] = field[name]
+    out["row"], out["size"] = batch.column(0).to_numpy()[doc], field["until"] - field["begin"]
+    _, offsets, data = text.buffers()
+    view = memoryview(data)
+    begin = np.frombuffer(offsets, np.int32)[text.offset :][doc] + field["begin"]
+    until = begin + out["size"]
+    group = np.cumsum(out["size"], dtype=np.int64) // SEGMENT
+    for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(group)) + 1):
+        yield out[part], field["crowd"][part], [view[b:u] for b, u in zip(begin[part].tolist(), until[part].tolist())]
+
+
 def _cut(buckets: int):
-    """The bytes of the runs that are asked for, by the bucket of their anchor; of crowds the windows, packed
+    """The bytes of the runs that are asked for, packed by the bucket of their anchor; of crowds the windows, packed
     by a bucket of their own. Windows repeated within the task are settled, and only one of them goes on."""
 
-    def deal(crowd: list[tuple]) -> Iterator[pa.RecordBatch]:
-        windows, start, size = _sorted(_windows(crowd), "window")
+    def pack(pieces: np.ndarray, body: bytes) -> Iterator[pa.RecordBatch]:
+        bucket = pieces["anchor"] % buckets
+        order = np.argsort(bucket, kind="stable")
+        used, first = np.unique(bucket[order], return_index=True)
+        parts = _in_order(pieces, body, order)
+        ends = [*first[1:].tolist(), len(parts)]
+        bodies = [b"".join(parts[i:j]) for i, j in zip(first.tolist(), ends)]
+        yield _cut_batch(len(used), bucket=used, pieces=[_packed(x) for x in np.split(pieces[order], first[1:])], body=bodies)
+
+    def deal(pieces: np.ndarray, body: bytes) -> Iterator[pa.RecordBatch]:
+        text = np.frombuffer(body, np.uint8)
+        piece, at = _windows(pieces, text)
+        windows = np.empty(len(piece), _WINDOW)
+        windows["window"] = Hashes(text).of(at, at + LENGTH)
+        first = np.cumsum(pieces["size"], dtype=np.int64) - pieces["size"]
+        windows["begin"] = pieces["begin"][piece] + (at - first[piece])
+        for name in ("anchor", "row", "need"):
+            windows[name] = pieces[name][piece]
+        windows, start, size = _sorted(windows, "window")
         found = windows[np.repeat(size > 1, size) & (windows["need"] != 0)]
         if len(found):
             row, begin, until = _merged(found["row"], found["begin"], found["begin"].astype(np.int64) + LENGTH)
@@ -305,132 +349,136 @@ def _cut(buckets: int):
         yield _cut_batch(len(used), bucket=buckets + used, windows=[_packed(x) for x in np.split(sent, first[1:])])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "anchor", "row", "begin", "lo", "need", "body"]
-        crowd, size = [], 0
+        # Runs that meet others of their anchor, and those of crowds.
+        ways = ((False, pack, 1 << 23, []), (True, deal, 1 << 21, []))
         for batch in batches:
-            text = batch.column(1).cast(pa.binary())
-            out = []
-            for i, asked in enumerate(batch.column(2).to_pylist()):
-                body, row = text[i].as_py(), batch.column(0)[i].as_py()
-                for x in asked:
-                    part = body[x["begin"] : x["until"]]
-                    if not x["crowd"]:
-                        out.append((x["anchor"] % buckets, x["anchor"], row, x["begin"], x["lo"], x["need"], part))
-                        continue
-                    crowd.append((x["anchor"], row, x["begin"], x["need"], part))
-                    size += len(part)
-                    if size >= 2 * SEGMENT:
-                        yield from deal(crowd)
-                        crowd, size = [], 0
-            if out:
-                yield _cut_batch(len(out), **dict(zip(names, zip(*out))))
-        if crowd:
-            yield from deal(crowd)
+            for pieces, crowd, parts in _pieces(batch):
+                for kind, send, most, held in ways:
+                    of = np.flatnonzero(crowd == kind)
+                    if len(of):
+                        held.append((pieces[of], b"".join(parts if len(of) == len(parts) else [parts[i] for i in of.tolist()])))
+                    if sum(len(body) for _, body in held) >= most:
+                        yield from send(np.concatenate([x for x, _ in held]), b"".join(x for _, x in held))
+                        held.clear()
+        for _, send, _, held in ways:
+            if held:
+                yield from send(np.concatenate([x for x, _ in held]), b"".join(x for _, x in held))
 
     return run
 
 
 def repeated_windows(group: np.ndarray, text: np.ndarray, window: np.ndarray) -> np.ndarray:
-    """Which windows of ``text`` equal another of their group: one radix pass per block, singles dropped."""
-    left, rank = np.arange(len(window)), group
-    digits = Hashes(text).all(BLOCK)
-    for at in range(-1, LENGTH // BLOCK):
-        digit = digits[window[left] + at * BLOCK] if at >= 0 else np.zeros(len(left), np.uint64)
-        order = np.lexsort((digit, rank))
-        left, rank, digit = left[order], rank[order], digit[order]
-        new = np.ones(len(left), bool)
-        new[1:] = (rank[1:] != rank[:-1]) | (digit[1:] != digit[:-1])
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(left)))
-        kept = np.repeat(size > 1, size)
-        rank = np.repeat(np.arange(len(start)), size)[kept]
-        left = left[kept]
+    """Which windows of ``text`` equal another of their group: a pass by all their bytes, then one radix pass per
+    block over what is still together; singles are dropped after each."""
+    left, rank, hashes = np.arange(len(window)), group.astype(np.uint64), Hashes(text)
+    for begin, end in ((0, LENGTH), *((at, at + BLOCK) for at in range(0, LENGTH, BLOCK))):
+        key = mixed(hashes.of(window[left] + begin, window[left] + end) + rank * np.uint64(_B))
+        # Sorted with their places in the low bits; that is faster than sorting places.
+        bits = np.uint64(len(key).bit_length())
+        key = (key >> bits << bits) | np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        order = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        key >>= bits
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        several = ~new
+        several[:-1] |= ~new[1:]
+        left, rank = left[order[several]], np.cumsum(new)[several].astype(np.uint64)
     out = np.zeros(len(window), bool)
     out[left] = True
     return out
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Last passes: windows of the runs of an anchor, by place and blocks; those of crowds by their digit.
-    Rows come sorted by bucket and anchor."""
-    held: list[tuple] = []
-    size = 0
+    """Last passes: windows of the runs of an anchor, by place and bytes; those of crowds by their digit.
+    Rows come sorted by bucket."""
+    held: list[tuple[bytes, bytes]] = []
     packed: list[bytes] = []
     bucket = None
 
+    def covered(row: np.ndarray, begin: np.ndarray, until: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (row, begin, until)], names=["row", "begin", "until"])
+
     def settle() -> Iterator[pa.RecordBatch]:
         windows, _, size = _sorted(np.concatenate([_unpacked(body, _WINDOW) for body in packed]), "window")
         found = windows[np.repeat(size > 1, size) & (windows["need"] != 0)]
-        columns = _merged(found["row"], found["begin"], found["begin"].astype(np.int64) + LENGTH)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "begin", "until"])
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        anchor, row, begin, lo, need, body = zip(*held)
-        length = np.array([len(x) for x in body])
-        count = length - LENGTH + 1
-        first = np.cumsum(length) - length
-        run = np.repeat(np.arange(len(held)), count)
-        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        offset = np.array(lo)[run] - place
-        anchors = np.unique(np.array(anchor), return_inverse=True)[1]
-        text = np.frombuffer(b"".join(body), np.uint8)
-        again = repeated_windows(anchors[run] * LENGTH + offset, text, first[run] + place)
-        again &= np.array(need)[run]
-        at = np.flatnonzero(again)
+        yield covered(*_merged(found["row"], found["begin"], found["begin"].astype(np.int64) + LENGTH))
+
+    def meet() -> Iterator[pa.RecordBatch]:
+        pieces, body = np.concatenate([_unpacked(x, _PIECE) for x, _ in held]), b"".join(x for _, x in held)
+        order = np.argsort(pieces["anchor"], kind="stable")
+        parts, pieces = _in_order(pieces, body, order), pieces[order]
+        # Whole anchors, some at a time.
+        first, several = _anchors(pieces)
+        group = np.repeat((np.cumsum(pieces["size"], dtype=np.int64) // PART)[first], several)
+        edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(pieces)]
+        found = [x for i, j in zip(edges, edges[1:]) for x in again(pieces[i:j], b"".join(parts[i:j]))]
+        if found:
+            yield covered(*_merged(*(np.concatenate(c) for c in zip(*found))))
+
+    def again(pieces: np.ndarray, body: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        text = np.frombuffer(body, np.uint8)
+        run, window = _windows(pieces, text)
+        place = window - (np.cumsum(pieces["size"], dtype=np.int64) - pieces["size"])[run]
+        first, several = _anchors(pieces)
+        anchor = np.repeat(np.arange(len(first)), several)
+        at = repeated_windows(anchor[run] * LENGTH + pieces["lo"][run] - place, text, window)
+        at = np.flatnonzero(at & (pieces["need"][run] != 0))
         if len(at):
             new = np.ones(len(at), bool)
             new[1:] = (at[1:] != at[:-1] + 1) | (run[at[1:]] != run[at[:-1]])
-            head = at[new]
-            tail = np.append(at[np.flatnonzero(new)[1:] - 1], at[-1])
-            base = np.array(begin)[run[head]]
-            columns = [np.array(row)[run[head]], base + place[head], base + place[tail] + LENGTH]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["row", "begin", "until"])
+            head, tail = at[new], np.append(at[np.flatnonzero(new)[1:] - 1], at[-1])
+            base = pieces["begin"][run[head]].astype(np.int64)
+            yield pieces["row"][run[head]], base + place[head], base + place[tail] + LENGTH
 
     for batch in batches:
-        covered = batch.filter(batch.column(7).is_valid())
-        if covered.num_rows:
-            yield covered.select(["row", "begin", "until"])
-        dealt = batch.filter(batch.column(8).is_valid())
-        for now, body in zip(dealt.column(0).to_pylist(), dealt.column(8)):
-            if now != bucket and packed:
-                yield from settle()
-                packed = []
-            bucket = now
-            packed.append(body.as_py())
-        whole = batch.filter(batch.column(1).is_valid())
-        for x in zip(*(whole.column(i).to_pylist() for i in range(1, 7))):
-            if size >= SEGMENT and x[0] != held[-1][0]:
-                yield from flush()
-                held, size = [], 0
-            held.append(x)
-            size += len(x[5])
+        passed = batch.filter(batch.column(3).is_valid())
+        if passed.num_rows:
+            yield passed.select(["row", "begin", "until"])
+        dealt = batch.filter(batch.column(3).is_null())
+        for now, pieces, body, windows in zip(*(dealt.column(i).to_pylist() for i in (0, 1, 2, 6))):
+            if now != bucket:
+                if held:
+                    yield from meet()
+                if packed:
+                    yield from settle()
+                held, packed, bucket = [], [], now
+            if windows is None:
+                held.append((pieces, body))
+            else:
+                packed.append(windows)
     if held:
-        yield from flush()
+        yield from meet()
     if packed:
         yield from settle()
 
 
 def _finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("until", pa.int64())])), pa.binary()]
-    for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
-        for at in range(0, batch.num_rows, 256):
-            out = []
-            rows = zip(*(c.slice(at, 256).to_pylist() for c in (batch.column(0), texts, batch.column(2))))
-            for doc_id, body, spans in rows:
-                body = body or b""
-                merged: list[list[int]] = []
-                for begin, until in sorted((s["begin"], s["until"]) for s in spans or ()):
-                    if merged and begin <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], until)
-                    else:
-                        merged.append([begin, until])
-                edges = [0, *(x for span in merged for x in span), len(body)]
-                kept = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                gone = [{"begin": b, "until": u} for b, u in merged]
-                out.append((doc_id, len(body), len(body) - len(kept), gone, kept))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            # A copy that begins at its first byte, and has one for nulls too.
+            text = pa.concat_arrays([batch.column(1).cast(pa.binary()).fill_null(b""), pa.array([b""])])
+            _, offsets, data = text.buffers()
+            ends = np.frombuffer(offsets, np.int32)[: batch.num_rows + 1].astype(np.int64)
+            size, spans = np.diff(ends), batch.column(2)
+            each = spans.flatten()
+            begin, until = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in each.flatten())
+            doc, begin, until = _merged(np.repeat(np.arange(batch.num_rows), spans.value_lengths().fill_null(0).to_numpy()), begin, until)
+            gone = np.zeros(batch.num_rows, np.int64)
+            np.add.at(gone, doc, until - begin)
+            # What is left lies between the spans, in the order of the texts.
+            left = zip(np.sort(np.append(ends[:-1], ends[doc] + until)).tolist(), np.sort(np.append(ends[doc] + begin, ends[1:])).tolist())
+            view = memoryview(data or b"")
+            kept = b"".join([view[b:u] for b, u in left if b < u])
+            listed = pa.ListArray.from_arrays(
+                np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32),
+                pa.StructArray.from_arrays([pa.array(begin), pa.array(until)], names=["begin", "until"]),
+            )
+            starts = np.concatenate([[0], np.cumsum(size - gone)]).astype(np.int32)
+            kept = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(starts), pa.py_buffer(kept)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(gone), listed, kept], names=names)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -451,7 +499,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     each = asked.groupBy("row").agg(F.collect_list(F.struct("begin", "until", "anchor", "lo", "need", "crowd")).alias("asked"))
     wanted = flagged(long, asked, "row").where("maybe").drop("maybe")
     bodies = wanted.join(each, "row").select("row", "text", "asked")
-    cut = map_batches(bodies, _cut(parts), _CUT).repartition(parts, "bucket").sortWithinPartitions("bucket", "anchor")
+    cut = map_batches(bodies, _cut(parts), _CUT).repartition(parts, "bucket").sortWithinPartitions("bucket")
     compared = map_batches(cut, _compare, "row long, begin long, until long")
     covered = settled.where("anchor IS NULL").select("row", "begin", "until").union(compared)
     covered = stage(covered, "covered")
