@@ -8,7 +8,7 @@ The first digit is the window's anchor: of the ``GRAM``-byte strings in it, the
 Equal windows have equal anchors at equal places, and neighbouring windows mostly share one, so a run of
 about fifty windows with one anchor moves as one record. The second digit compares whole runs: equal runs
 are all repeated. Only runs that share an anchor but differ are sent with their bytes, and their windows
-are told apart by place and by blocks of ``BLOCK`` bytes. An anchor with very many different runs is split
+are told apart by place and all their bytes, what is left by blocks of ``BLOCK`` bytes. An anchor with very many different runs is split
 by what surrounds it: its windows are dealt by a digit of all their bytes, equal ones of a task as one
 record. Digits are compared by 64-bit hashes.
 """
@@ -372,7 +372,11 @@ def repeated_windows(group: np.ndarray, text: np.ndarray, window: np.ndarray) ->
     block over what is still together; singles are dropped after each."""
     left, rank, hashes = np.arange(len(window)), group.astype(np.uint64), Hashes(text)
     for begin, end in ((0, LENGTH), *((at, at + BLOCK) for at in range(0, LENGTH, BLOCK))):
-        key = mixed(hashes.of(window[left] + begin, window[left] + end) + rank * np.uint64(_B))
+        at = window[left]
+        key = hashes.of(at + begin, at + end)
+        if end - begin < LENGTH and not ((key[1:] != key[:-1]) & (rank[1:] == rank[:-1])).any():
+            continue  # it tells none apart
+        key = mixed(key + rank * np.uint64(_B))
         # Sorted with their places in the low bits; that is faster than sorting places.
         bits = np.uint64(len(key).bit_length())
         key = (key >> bits << bits) | np.arange(len(key), dtype=np.uint64)
