@@ -8,9 +8,10 @@ The first digit is the window's anchor: of the ``GRAM``-byte strings in it, the
 Equal windows have equal anchors at equal places, and neighbouring windows mostly share one, so a run of
 about fifty windows with one anchor moves as one record. The second digit compares whole runs: equal runs
 are all repeated. Only runs that share an anchor but differ are sent with their bytes, and their windows
-are told apart by place and all their bytes, what is left by blocks of ``BLOCK`` bytes. An anchor with very many different runs is split
-by what surrounds it: its windows are dealt by a digit of all their bytes, equal ones of a task as one
-record. Digits are compared by 64-bit hashes.
+are told apart by place and all their bytes, what is left by blocks of ``BLOCK`` bytes. An anchor with
+very many different runs is split by what surrounds it: its windows are dealt by a digit of all their
+bytes, equal ones of a task as one record. Digits are compared by 64-bit hashes; where a sort carries
+places, by the upper bits, some 45, and windows must agree in every pass.
 """
 
 from __future__ import annotations
